@@ -156,9 +156,107 @@ def duck_with(*ctes: tuple[str, str], base: tuple[str, ...] = ("zones", "trips")
         "trips": DUCK_TRIPS,
         "legacy": DUCK_LEGACY,
         "training_trips": DUCK_TRAINING_TRIPS,
+        "raw_wide": DUCK_RAW_WIDE,
     }
     for name in base:
         parts.append(f"{name} as ({known[name]})")
     for name, body in ctes:
         parts.append(f"{name} as ({body})")
     return "with " + ",\n".join(parts) + "\n"
+
+
+# ---------------------------------------------------------------------------
+# Raw trip files of differing schema families, derived from the same events.
+# The family of a record is a rule over ``event_type``:
+#   view -> yellow (tpep_*, PULocationID with a fractional part)
+#   click -> green (lpep_*), purchase -> generic (pickup_datetime,
+#   pu_location_id, fare_amount only), signup -> legacy (lat/lon, no zone id),
+#   error -> mixed (two aliases of the same field both set, passengers missing).
+# ---------------------------------------------------------------------------
+FAMILY_OF_EVENT_TYPE = {
+    "view": "yellow",
+    "click": "green",
+    "purchase": "generic",
+    "signup": "legacy",
+    "error": "mixed",
+}
+
+RAW_COLUMNS = [
+    "tpep_pickup_datetime", "tpep_dropoff_datetime", "lpep_pickup_datetime",
+    "lpep_dropoff_datetime", "pickup_datetime", "dropoff_datetime", "passenger_count",
+    "trip_distance", "PULocationID", "DOLocationID", "pu_location_id", "do_location_id",
+    "pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude",
+    "total_amount", "fare_amount", "tip_amount",
+]
+
+
+def raw_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All families in one wide frame (absent columns are null) + ``family``."""
+    t = trips(spark, sf_dir)
+    fam = F.col("source")
+    family = F.create_map(*[x for kv in FAMILY_OF_EVENT_TYPE.items() for x in map(F.lit, kv)])[fam]
+    yellow, green, generic = fam == "view", fam == "click", fam == "purchase"
+    legacy, mixed = fam == "signup", fam == "error"
+    e = F.col("event_id")
+    pu = F.col("pu_location_id").cast("double")
+    do = F.col("do_location_id").cast("double")
+    hour = F.make_dt_interval(F.lit(0), F.lit(1))
+    on = F.when
+    return t.select(
+        "event_id",
+        family.alias("family"),
+        on(yellow | mixed, F.col("pickup_datetime")).alias("tpep_pickup_datetime"),
+        on(yellow | mixed, F.col("dropoff_datetime")).alias("tpep_dropoff_datetime"),
+        on(green, F.col("pickup_datetime")).alias("lpep_pickup_datetime"),
+        on(green, F.col("dropoff_datetime")).alias("lpep_dropoff_datetime"),
+        on(generic | legacy, F.col("pickup_datetime"))
+        .when(mixed, F.col("pickup_datetime") + hour).alias("pickup_datetime"),
+        on(generic | legacy, F.col("dropoff_datetime"))
+        .when(mixed, F.col("dropoff_datetime") + hour).alias("dropoff_datetime"),
+        on(~mixed, F.col("passenger_count").cast("double")).alias("passenger_count"),
+        F.col("trip_distance"),
+        on(yellow, pu + (e % 10) / F.lit(10.0)).when(green | mixed, pu).alias("PULocationID"),
+        on(yellow | green | mixed, do).alias("DOLocationID"),
+        on(generic, pu).when(mixed, do).alias("pu_location_id"),
+        on(generic, do).when(mixed, pu).alias("do_location_id"),
+        on(legacy, F.lit(40.35) + (e % 700) / F.lit(1000.0)).alias("pickup_latitude"),
+        on(legacy, F.lit(-74.55) + ((e * 13) % 1100) / F.lit(1000.0)).alias("pickup_longitude"),
+        on(legacy, F.lit(40.35) + ((e * 3) % 700) / F.lit(1000.0)).alias("dropoff_latitude"),
+        on(legacy, F.lit(-74.55) + ((e * 7) % 1100) / F.lit(1000.0)).alias("dropoff_longitude"),
+        on(~generic, F.col("total_amount")).alias("total_amount"),
+        on(generic, F.col("total_amount"))
+        .when(mixed, F.col("total_amount") / F.lit(2.0)).alias("fare_amount"),
+        F.col("tip_amount"),
+    )
+
+
+DUCK_RAW_WIDE = """
+select event_id,
+  case source when 'view' then 'yellow' when 'click' then 'green' when 'purchase' then 'generic'
+              when 'signup' then 'legacy' when 'error' then 'mixed' end as family,
+  case when source in ('view','error') then pickup_datetime end as tpep_pickup_datetime,
+  case when source in ('view','error') then dropoff_datetime end as tpep_dropoff_datetime,
+  case when source = 'click' then pickup_datetime end as lpep_pickup_datetime,
+  case when source = 'click' then dropoff_datetime end as lpep_dropoff_datetime,
+  case when source in ('purchase','signup') then pickup_datetime
+       when source = 'error' then pickup_datetime + interval 1 hour end as pickup_datetime,
+  case when source in ('purchase','signup') then dropoff_datetime
+       when source = 'error' then dropoff_datetime + interval 1 hour end as dropoff_datetime,
+  case when source <> 'error' then cast(passenger_count as double) end as passenger_count,
+  trip_distance,
+  case when source = 'view' then cast(pu_location_id as double) + (event_id%10)/10.0::double
+       when source in ('click','error') then cast(pu_location_id as double) end as PULocationID,
+  case when source in ('view','click','error') then cast(do_location_id as double) end as DOLocationID,
+  case when source = 'purchase' then cast(pu_location_id as double)
+       when source = 'error' then cast(do_location_id as double) end as pu_location_id,
+  case when source = 'purchase' then cast(do_location_id as double)
+       when source = 'error' then cast(pu_location_id as double) end as do_location_id,
+  case when source = 'signup' then 40.35::double + (event_id%700)/1000::double end as pickup_latitude,
+  case when source = 'signup' then -74.55::double + ((event_id*13)%1100)/1000::double end as pickup_longitude,
+  case when source = 'signup' then 40.35::double + ((event_id*3)%700)/1000::double end as dropoff_latitude,
+  case when source = 'signup' then -74.55::double + ((event_id*7)%1100)/1000::double end as dropoff_longitude,
+  case when source <> 'purchase' then total_amount end as total_amount,
+  case when source = 'purchase' then total_amount when source = 'error' then total_amount/2.0::double end as fare_amount,
+  tip_amount
+from trips
+"""
