@@ -53,3 +53,17 @@ def clip(c: str | Column, lower: float | None = None, upper: float | None = None
 def safe_mean(sum_col: str | Column, count_col: str | Column) -> Column:
     """sum / count, null when count is zero or null."""
     return F.try_divide(col_of(sum_col), F.nullif(col_of(count_col), F.lit(0)).cast("double"))
+
+
+def stable_round(c: str | Column, digits: int) -> Column:
+    """Round to ``digits`` after first rounding to ``digits + 3``.
+
+    Sums and means of the same values computed in a different order differ in
+    the last bits; the first rounding removes that noise so exact decimal ties
+    (frequent for means over 2, 4, 8 values) resolve the same way everywhere.
+    """
+    return round_half_even(round_half_even(c, digits + 3), digits)
+
+
+def round6(c: str | Column) -> Column:
+    return stable_round(c, 6)

@@ -10,7 +10,8 @@ def r(expr: str, digits: int) -> str:
 
 
 def r6(expr: str) -> str:
-    return r(expr, 6)
+    """Twin of ``functions.numeric.round6`` (9-dp then 6-dp rounding)."""
+    return r(r(expr, 9), 6)
 
 
 def r2(expr: str) -> str:

@@ -78,13 +78,13 @@ def traffic_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def derive_duration_speed_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole-second duration (minutes) and speed; zero duration -> null speed."""
-    from ..functions.numeric import round_half_even as rh
+    from ..functions.numeric import round6 as r6
 
     t = stream_trips(spark, sf_dir)
     return t.select(
         "event_id",
-        rh("duration_min", 6).alias("duration_min"),
-        rh("speed_mph", 6).alias("speed_mph"),
+        r6("duration_min").alias("duration_min"),
+        r6("speed_mph").alias("speed_mph"),
     )
 
 
