@@ -42,13 +42,16 @@ select *, {D.SPEED} from (
 """
 DUCK_CLEAN = f"select * from stream_trips where {D.F1}"
 
-DUCK_TRAFFIC_AGG_BODY = f"""
+def duck_traffic_body(rounded: bool = True) -> str:
+    """DuckDB sliding-window aggregate over the ``clean`` CTE."""
+    rr = D.r6 if rounded else (lambda x: x)
+    return f"""
 select window_start, window_start + interval 10 minute as window_end, pu_location_id,
        cast(count(speed_mph) as bigint) as trip_count,
-       {D.r6('avg(speed_mph)')} as avg_speed_mph,
-       {D.r6('avg(duration_min)')} as avg_duration_min,
-       {D.r6('avg(trip_distance)')} as avg_trip_distance,
-       {D.r6('avg(total_amount)')} as avg_total_amount,
+       {rr('avg(speed_mph)')} as avg_speed_mph,
+       {rr('avg(duration_min)')} as avg_duration_min,
+       {rr('avg(trip_distance)')} as avg_trip_distance,
+       {rr('avg(total_amount)')} as avg_total_amount,
        cast(sum(case when speed_mph < 3 or speed_mph > 45 then 1 else 0 end) as bigint) as anomaly_count,
        cast(window_start as date) as service_date
 from (select c.*, time_bucket(interval 5 minute, pickup_ts) - o.k * interval 5 minute as window_start
@@ -57,8 +60,14 @@ group by window_start, pu_location_id
 """
 
 
-def duck_stream(*extra: tuple[str, str]) -> str:
-    return adapter.duck_with(("stream_trips", DUCK_STREAM_TRIPS), ("clean", DUCK_CLEAN), *extra)
+DUCK_TRAFFIC_AGG_BODY = duck_traffic_body(True)
+
+
+def duck_stream(*extra: tuple[str, str], base: tuple[str, ...] = ("zones", "trips")) -> str:
+    return adapter.duck_with(("stream_trips", DUCK_STREAM_TRIPS), ("clean", DUCK_CLEAN), *extra, base=base)
+
+
+STREAM_CTES = (("stream_trips", DUCK_STREAM_TRIPS), ("clean", DUCK_CLEAN))
 
 
 TRAFFIC_AGG_SQL = duck_stream(("traffic", DUCK_TRAFFIC_AGG_BODY)) + "select * from traffic"

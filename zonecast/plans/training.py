@@ -131,16 +131,17 @@ from (select f.*, row_number() over (order by window_start, pu_location_id) as r
 """
 
 
+TRAIN_CTES = (
+    ("tmeas", DUCK_TMEAS),
+    ("tclean", DUCK_TCLEAN),
+    ("partials", _duck_partials("tclean")),
+    ("feats", DUCK_FEATS),
+    ("pos", DUCK_POS),
+)
+
+
 def duck_train(*extra: tuple[str, str]) -> str:
-    return W(
-        ("tmeas", DUCK_TMEAS),
-        ("tclean", DUCK_TCLEAN),
-        ("partials", _duck_partials("tclean")),
-        ("feats", DUCK_FEATS),
-        ("pos", DUCK_POS),
-        *extra,
-        base=TRAIN_BASE,
-    )
+    return W(*TRAIN_CTES, *extra, base=TRAIN_BASE)
 
 
 # ---------------------------------------------------------------------------
