@@ -51,7 +51,9 @@ def zone_predictions(latest: DataFrame, tip_pred: Column, generated_at: Column)
     """Prediction rows for the next window of every zone.
 
     ``tip_pred`` is the raw tip estimate column (any scorer); it is stabilised to
-    9 dp, clipped at 0 and banded 0.9x / 1.1x at 2 dp.
+    9 dp, clipped at 0 and banded 0.9x / 1.1x at 2 dp.  The fare (a mean) is
+    likewise stabilised to 9 dp before its 2-dp rounding, so exact decimal ties
+    do not depend on the summation order.
     """
     tip = F.greatest(round_half_even(tip_pred, 9), F.lit(0.0))
     fare = F.greatest(F.coalesce(F.col("avg_total_amount"), F.lit(0.0)), F.lit(0.0))
@@ -63,7 +65,7 @@ def zone_predictions(latest: DataFrame, tip_pred: Column, generated_at: Column)
         "trip_count",
         "avg_speed_mph",
         "avg_trip_distance",
-        round_half_even(fare, 2).alias("predicted_avg_fare"),
+        round_half_even(round_half_even(fare, 9), 2).alias("predicted_avg_fare"),
         round_half_even(tip * F.lit(S.TIP_LOW_FACTOR), 2).alias("predicted_tip_low"),
         round_half_even(tip * F.lit(S.TIP_HIGH_FACTOR), 2).alias("predicted_tip_high"),
         "surge_multiplier",

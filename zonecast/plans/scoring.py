@@ -12,7 +12,7 @@ from ..functions.numeric import round6 as r6
 from ..operators import scoring as SC
 from ..operators.aggregate import baseline_table as baseline_op
 from ..operators.aggregate import sliding_traffic_agg
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sinks.tables import write_snapshot
 from ..sources import adapter
 from . import duck as D
@@ -26,8 +26,9 @@ from .training import TRAIN_CTES, positioned
 
 
 def traffic_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored aggregate table's content (unrounded A1 output)."""
-    return sliding_traffic_agg(clean_stream_trips(spark, sf_dir))
+    """The stored aggregate table (unrounded A1 output), materialised once: the
+    scorer reads it three times (newest window, latest row per zone, median)."""
+    return materialize(sliding_traffic_agg(clean_stream_trips(spark, sf_dir)))
 
 
 def latest_per_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +86,7 @@ from latest l, (select quantile_cont(trip_count, 0.5) as med from latest) m
 """
 DUCK_PRED = f"""
 select s.pu_location_id, s.window_start, s.window_end, s.trip_count, s.avg_speed_mph, s.avg_trip_distance,
-  {D.r2('greatest(coalesce(s.avg_total_amount, 0.0), 0.0)')} as predicted_avg_fare,
+  {D.r2(D.r('greatest(coalesce(s.avg_total_amount, 0.0), 0.0)', 9))} as predicted_avg_fare,
   {D.r2('greatest(' + D.r('coalesce(b.baseline_pred, g.gmean)', 9) + ', 0.0) * 0.9')} as predicted_tip_low,
   {D.r2('greatest(' + D.r('coalesce(b.baseline_pred, g.gmean)', 9) + ', 0.0) * 1.1')} as predicted_tip_high,
   s.surge_multiplier,

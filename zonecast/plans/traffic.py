@@ -42,8 +42,8 @@ select *, {D.SPEED} from (
 """
 DUCK_CLEAN = f"select * from stream_trips where {D.F1}"
 
-def duck_traffic_body(rounded: bool = True) -> str:
-    """DuckDB sliding-window aggregate over the ``clean`` CTE."""
+def duck_traffic_body(rounded: bool = True, src: str = "clean") -> str:
+    """DuckDB sliding-window aggregate over the ``src`` CTE (default ``clean``)."""
     rr = D.r6 if rounded else (lambda x: x)
     return f"""
 select window_start, window_start + interval 10 minute as window_end, pu_location_id,
@@ -55,7 +55,7 @@ select window_start, window_start + interval 10 minute as window_end, pu_locatio
        cast(sum(case when speed_mph < 3 or speed_mph > 45 then 1 else 0 end) as bigint) as anomaly_count,
        cast(window_start as date) as service_date
 from (select c.*, time_bucket(interval 5 minute, pickup_ts) - o.k * interval 5 minute as window_start
-      from clean c, (values (0), (1)) o(k))
+      from {src} c, (values (0), (1)) o(k))
 group by window_start, pu_location_id
 """
 

@@ -12,6 +12,7 @@ from ..operators.aggregate import baseline_table as baseline_op
 from ..operators.aggregate import finalize_features, merge_partials, tumbling_partials
 from ..operators.quality import clean_training, derive_duration_speed
 from ..operators.select import batch_index, dedup_last, global_row_number, label_split
+from ..session import materialize
 from ..sources import adapter
 from . import duck as D
 from .registry import query
@@ -56,8 +57,12 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def positioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feature rows with their position in the (window_start, zone) order and split labels."""
-    f = features(spark, sf_dir)
+    """Feature rows with their position in the (window_start, zone) order and split labels.
+
+    The feature table (zones x windows, far smaller than the trips) is
+    materialised once: the position, the split sizes and every downstream
+    baseline read it without rescanning the raw trips."""
+    f = materialize(features(spark, sf_dir))
     return label_split(global_row_number(f, "window_start", ["pu_location_id"]))
 
 

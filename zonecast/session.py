@@ -81,3 +81,12 @@ def local_path(path: str) -> str | None:
     if "://" in path:
         return None
     return path if os.path.isabs(path) else os.path.abspath(path)
+
+
+def materialize(df):
+    """Compute ``df`` once into reliable storage (``spark.checkpoint.dir``) and
+    return a frame reading it back: lineage is cut, so later uses (scalar
+    subqueries, self-joins) do not rescan the raw input, and a lost executor
+    recomputes from the checkpoint rather than from the source."""
+    scratch_root(df.sparkSession)
+    return df.checkpoint(eager=True)

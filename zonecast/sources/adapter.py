@@ -28,6 +28,30 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def read_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read a table; when it is stored in fewer files than the cluster has cores
+    (e.g. one small single-row-group file), spread it round-robin so the
+    per-row work before the first shuffle is not confined to one task.  Large
+    inputs (many files) are left as scanned: no extra shuffle at scale."""
+    df = read_table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) < cores:
+        df = df.repartition(cores)
+    return df
+
+
+def _prop_k():
+    """``props.k`` as bigint.  Fast path for the flat '{"k": N}' payload (plain
+    string slicing); any other shape goes through the JSON path parser."""
+    props = F.col("props")
+    prefix = '{"k": '
+    simple = props.startswith(prefix) & props.endswith("}")
+    digits = F.expr(f"substring(props, {len(prefix) + 1}, length(props) - {len(prefix) + 1})")
+    return F.when(simple, digits.try_cast("bigint")).otherwise(
+        F.get_json_object(props, "$.k").try_cast("bigint")
+    )
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """location_id, zone_name, latitude, longitude (one row per nation)."""
     n = read_table(spark, sf_dir, "nation")
@@ -41,9 +65,9 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events")
+    ev = read_spread(spark, sf_dir, "events")
     us = F.unix_micros(F.col("ts").cast("timestamp"))
-    k = F.get_json_object(F.col("props"), "$.k").try_cast("bigint")
+    k = _prop_k()
     return ev.select(
         "event_id",
         "user_id",
@@ -60,8 +84,8 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     origin = F.lit(CLOCK_ORIGIN_US)
     pus = origin + F.expr(f"div(us - {CLOCK_ORIGIN_US}, {CLOCK_COMPRESSION})")
     dur_us = (F.col("k") * 60 + F.col("event_id") % 60) * F.lit(1_000_000)
-    return b.select(
-        "event_id",
+    return _materialised(b, [
+        F.col("event_id"),
         F.timestamp_micros(pus).alias("pickup_datetime"),
         F.timestamp_micros(pus + dur_us).alias("dropoff_datetime"),
         (F.col("event_id") % 6 + 1).cast("int").alias("passenger_count"),
@@ -74,12 +98,21 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.timestamp_micros(F.col("us")).alias("pickup_raw"),
         F.timestamp_micros(F.col("us") + dur_us).alias("dropoff_raw"),
         F.col("event_type").alias("source"),
-    )
+    ])
+
+
+def _materialised(df: DataFrame, cols: list) -> DataFrame:
+    """Project ``cols`` through a one-element ``inline`` (a Generate node).
+
+    Predicates that later filter on these derived columns cannot be pushed
+    below a generator, so each derived value is computed once per row instead
+    of being re-derived inside every conjunct of a pushed-down filter."""
+    return df.select(F.inline(F.array(F.struct(*cols))))
 
 
 def legacy_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pickup coordinates for the lat/lon family (some fall outside the box)."""
-    ev = read_table(spark, sf_dir, "events").select("event_id")
+    ev = read_spread(spark, sf_dir, "events").select("event_id")
     e = F.col("event_id")
     return ev.select(
         "event_id",
