@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ingest, live, scoring, streams, traffic, training  # noqa: F401
+from . import files, ingest, live, models, scoring, streams, traffic, training  # noqa: F401
 from .registry import REGISTRY, Entry, query  # noqa: F401
 
 
