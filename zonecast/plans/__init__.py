@@ -14,5 +14,22 @@ def oracle_sql():
     return {name: e.oracle for name, e in REGISTRY.items() if e.oracle is not None}
 
 
+_KIND = {
+    "traffic_agg_stream": "stream",
+    "live_trips_stream": "stream",
+    "stage_history": "model",
+    "train_metrics": "model",
+    "predict_zones_gbt": "model",
+    "predict_trips": "model",
+    "scan_trips": "files",
+    "schema_family_union": "files",
+}
+
+
+def kind(name: str) -> str:
+    """batch | stream (micro-batch replay) | model (training) | files (writes a file set)."""
+    return _KIND.get(name, "batch")
+
+
 def headline():
     return [name for name, e in REGISTRY.items() if e.headline]

@@ -6,9 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import adapter
-from ..sources.files import list_trip_files, needed_columns, read_trip_files
+from ..sources.files import footer_columns, list_trip_files, needed_columns, read_trip_files
 from .registry import query
 
 # Column set of each written family (the schema of its files).  Two extra
@@ -39,7 +39,7 @@ DRIFT = {"green": {"passenger_count": "bigint"}, "generic": {"pu_location_id": "
 
 def write_family_files(spark: SparkSession, sf_dir: str) -> str:
     """Write each family's rows with only that family's columns; returns the root."""
-    raw = adapter.raw_wide(spark, sf_dir)
+    raw = materialize(adapter.raw_wide(spark, sf_dir))  # derived once, filtered per family
     root = scratch_path(spark, "tripfiles")
     for fam, cols in FAMILY_FILE_COLUMNS.items():
         src = SOURCE_FAMILY.get(fam, fam)
@@ -73,7 +73,7 @@ def scan_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = write_family_files(spark, sf_dir)
     files = list_trip_files(spark, root)
     usable = sorted({f.rsplit("/", 2)[-2] for f in files
-                     if needed_columns(set(spark.read.parquet(f).columns) - {"event_id"}) is not None})
+                     if needed_columns({n for n, _ in footer_columns(spark, f)} - {"event_id"}) is not None})
     rows = (
         spark.read.parquet(*files)
         .select(_family_of(F.input_file_name()).alias("family"))

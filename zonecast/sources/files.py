@@ -63,13 +63,29 @@ def needed_columns(names: set[str], need_tip: bool = True) -> list[str] | None:
     return [c for c in wanted if c in names]
 
 
+def footer_columns(spark: SparkSession, path: str) -> tuple[tuple[str, str], ...]:
+    """(name, type) of a parquet file's columns from its footer (metadata only).
+
+    Uses Arrow's parquet footer reader for any URI Arrow's file systems open;
+    otherwise asks Spark for the file's schema.
+    """
+    try:
+        import pyarrow.parquet as pq
+        from pyarrow import fs as pafs
+
+        filesystem, inner = pafs.FileSystem.from_uri(path)
+        schema = pq.read_schema(inner, filesystem=filesystem)
+        return tuple((f.name, str(f.type)) for f in schema)
+    except Exception:  # noqa: BLE001 - unsupported scheme: fall back to Spark
+        st = spark.read.parquet(path).schema
+        return tuple((f.name, f.dataType.simpleString()) for f in st.fields)
+
+
 def group_by_schema(spark: SparkSession, files: list[str]) -> dict[tuple, list[str]]:
     """Files keyed by their footer schema (one footer read per file, metadata only)."""
     groups: dict[tuple, list[str]] = {}
     for f in files:
-        schema = spark.read.parquet(f).schema
-        key = tuple((fld.name, fld.dataType.simpleString()) for fld in schema.fields)
-        groups.setdefault(key, []).append(f)
+        groups.setdefault(footer_columns(spark, f), []).append(f)
     return groups
 
 

@@ -26,8 +26,13 @@ def write_time_slices(
     Only the slice keys (bounded by the covered time span) reach the driver;
     each slice is written by the executors in its own job.
     """
-    sliced = events.withColumn(
-        "__slice", F.floor(F.unix_seconds(F.col(time_col)) / F.lit(slice_minutes * 60)).cast("long")
+    from ..session import materialize
+
+    # computed once; every slice job then reads the materialised rows
+    sliced = materialize(
+        events.withColumn(
+            "__slice", F.floor(F.unix_seconds(F.col(time_col)) / F.lit(slice_minutes * 60)).cast("long")
+        )
     )
     keys = [r[0] for r in sliced.select("__slice").distinct().orderBy("__slice").toLocalIterator()]
     for k in keys:

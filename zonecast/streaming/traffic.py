@@ -37,7 +37,13 @@ def run_traffic_stream(
     agg = traffic_plan(raw)
 
     def sink(batch_df: DataFrame, batch_id: int) -> None:
-        upsert_latest(spark, batch_df, batch_id, target_path)
+        # the sink runs more than one action on the micro-batch: keep it so the
+        # stateful aggregation is not executed again for each of them
+        batch_df.persist()
+        try:
+            upsert_latest(spark, batch_df, batch_id, target_path)
+        finally:
+            batch_df.unpersist()
 
     q = (
         agg.writeStream.outputMode("update")
