@@ -23,9 +23,23 @@ def derive_duration_speed(
     Zero duration gives a null speed.
     """
     dur = (minutes_fractional if fractional else minutes_whole_seconds)(pickup, dropoff)
-    return df.withColumn("duration_min", dur).withColumn(
+    out = df.withColumn("duration_min", dur).withColumn(
         "speed_mph", speed_mph(distance, "duration_min")
     )
+    return evaluate_once(out)
+
+
+def evaluate_once(df: DataFrame) -> DataFrame:
+    """Pass the rows through a one-element ``inline`` (a Generate node).
+
+    The quality rules test duration and speed in several conjuncts; pushed
+    below a plain projection, each conjunct would re-derive them (and whatever
+    produced the timestamps), which multiplies per-row work and can grow the
+    generated code past the JIT's method-size limit.  Filters cannot be pushed
+    below a generator, so every column here is computed once per row.  Columns
+    not selected before this point are already pruned from the scan.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
 
 
 def _between_strict(c: str, lo: float, hi: float) -> Column:

@@ -102,12 +102,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _materialised(df: DataFrame, cols: list) -> DataFrame:
-    """Project ``cols`` through a one-element ``inline`` (a Generate node).
-
-    Predicates that later filter on these derived columns cannot be pushed
-    below a generator, so each derived value is computed once per row instead
-    of being re-derived inside every conjunct of a pushed-down filter."""
-    return df.select(F.inline(F.array(F.struct(*cols))))
+    return df.select(*cols)
 
 
 def legacy_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
