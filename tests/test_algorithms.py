@@ -87,3 +87,29 @@ def test_staged_model_beats_baseline_and_reloads(spark, tmp_dir):
     a = sorted((r.rn, r.p) for r in scored.select("rn", "p").collect())
     b = sorted((r.rn, r.p) for r in again.select("rn", "p").collect())
     assert a == b
+
+
+def test_scoring_cycle_skips_without_model_or_aggregates(spark, tmp_dir):
+    from zonecast.ml.cycle import score_latest
+    from zonecast.ml.model import StagedModel, save_model, train_staged
+    from zonecast.operators.aggregate import sliding_traffic_agg
+    from zonecast.plans.traffic import clean_stream_trips
+    from zonecast.sinks.tables import upsert_latest
+    from tests.conftest import SF_SMALL
+
+    agg_path, model_path = os.path.join(tmp_dir, "agg"), os.path.join(tmp_dir, "model")
+    assert score_latest(spark, agg_path, model_path).count() == 0  # nothing yet
+    upsert_latest(spark, sliding_traffic_agg(clean_stream_trips(spark, SF_SMALL)), 0, agg_path)
+    assert score_latest(spark, agg_path, model_path).count() == 0  # no model yet
+    rows = [(i, 1 + i % 5, i % 24, i % 7, int(i % 7 >= 5), 2.0, 10.0, 12.0, 3, 0.5 + (i % 5) * 0.1) for i in range(1, 101)]
+    df = spark.createDataFrame(
+        rows,
+        "rn long, pu_location_id int, hour int, day_of_week int, is_weekend int, avg_trip_distance double,"
+        " avg_duration_min double, avg_speed_mph double, trip_count int, avg_tip_amount double",
+    )
+    model, _ = train_staged(df.filter("rn <= 80"), df.filter("rn > 80"), 100, 5, 3)
+    save_model(spark, model, model_path)
+    out = score_latest(spark, agg_path, model_path, F.lit("2024-01-01 12:00:00").cast("timestamp"))
+    zones = spark.read.parquet(agg_path).select("pu_location_id").distinct().count()
+    assert out.count() == zones
+    assert out.filter("predicted_tip_low > predicted_tip_high or predicted_tip_low < 0").count() == 0
