@@ -113,3 +113,11 @@ def test_scoring_cycle_skips_without_model_or_aggregates(spark, tmp_dir):
     zones = spark.read.parquet(agg_path).select("pu_location_id").distinct().count()
     assert out.count() == zones
     assert out.filter("predicted_tip_low > predicted_tip_high or predicted_tip_low < 0").count() == 0
+
+
+def test_missing_feature_column_scores_as_zero(spark):
+    from zonecast.ml.model import ensure_features
+
+    df = spark.createDataFrame([(1, 3)], "pu_location_id int, hour int")
+    out = ensure_features(df).first()
+    assert out.trip_count == 0.0 and out.avg_speed_mph == 0.0 and out.pu_location_id == 1

@@ -62,8 +62,9 @@ def upsert_latest(
     """Merge ``batch_df`` into the parquet table at ``path`` by ``keys``.
 
     * empty batch -> no-op;
-    * only partitions touched by the batch are read and rewritten (dynamic
-      partition overwrite; the touched set reaches the scan as a semi-join);
+    * only partitions touched by the batch are read (partition filter on the
+      batch's distinct partition values) and rewritten (dynamic partition
+      overwrite);
     * per key the row of the highest ``batch_id`` wins, so re-delivering a batch
       id is idempotent;
     * the merged rows are checkpointed (reliable storage) before the overwrite,
@@ -75,8 +76,10 @@ def upsert_latest(
         return
     new = batch_df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
     if path_exists(spark, path):
-        touched = new.select(partition).distinct()
-        old = spark.read.parquet(path).join(touched, partition, "left_semi")
+        # partition values touched by this micro-batch: a few dates, metadata
+        # sized; as a literal IN-list they prune the scan to those partitions
+        touched = [r[0] for r in new.select(partition).distinct().toLocalIterator()]
+        old = spark.read.parquet(path).filter(F.col(partition).isin(touched))
         merged = latest_per_key(old.unionByName(new.select(*old.columns)), keys, ["batch_id"])
         merged = merged.checkpoint(eager=True)
     else:
