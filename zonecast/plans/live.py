@@ -165,8 +165,8 @@ def active_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "trip_features",
     W()
-    + """select event_id, cast(pu_location_id as double) as pu_location_id, hour(pickup_datetime) as hour,
-  isodow(pickup_datetime) - 1 as day_of_week, cast(isodow(pickup_datetime) - 1 >= 5 as int) as is_weekend,
+    + """select event_id, cast(pu_location_id as double) as pu_location_id, cast(hour(pickup_datetime) as int) as hour,
+  cast(isodow(pickup_datetime) - 1 as int) as day_of_week, cast(isodow(pickup_datetime) - 1 >= 5 as int) as is_weekend,
   trip_distance as avg_trip_distance, """
     + D.r6("dur")
     + " as avg_duration_min, "

@@ -218,7 +218,7 @@ def _zone_or_number(zone_id, names):
 @query(
     "top_zones",
     duck_scoring(("lp", DUCK_LATEST_PRED))
-    + """select row_number() over (order by predicted_fare desc, pu_location_id) as rank, pu_location_id,
+    + """select cast(row_number() over (order by predicted_fare desc, pu_location_id) as int) as rank, pu_location_id,
   coalesce(nullif(z.zone_name, ''), 'Zone ' || cast(pu_location_id as varchar)) as zone_name,
   predicted_fare, predicted_tip, surge,
   case when surge >= 2 then 'red' when surge >= 1.3 then 'yellow' else 'green' end as surge_badge,

@@ -122,7 +122,7 @@ DUCK_FEATS = """
 select window_start, window_end, pu_location_id, trip_count,
        trip_distance_sum/trip_count as avg_trip_distance, duration_min_sum/trip_count as avg_duration_min,
        speed_mph_sum/trip_count as avg_speed_mph, tip_amount_sum/trip_count as avg_tip_amount,
-       hour(window_start) as hour, isodow(window_start) - 1 as day_of_week,
+       cast(hour(window_start) as int) as hour, cast(isodow(window_start) - 1 as int) as day_of_week,
        cast(isodow(window_start) - 1 >= 5 as int) as is_weekend
 from partials where trip_count > 0
 """
