@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import euclid_sq, haversine, rounded
 from ..functions.numeric import round_half_even
+from ..session import materialize
 from .dims import MAX_ZONE_ARRAY, row_count_at_most
 
 COORD_DIGITS = 3
@@ -152,11 +153,11 @@ def nearest_zone_grid(
             # lower bound of the central angle to any point outside the block
             safe = F.radians(edge) * F.cos(F.radians(F.least(F.abs(F.col(lat)) + 2 * size, F.lit(90.0))))
         ok = best if last else best.filter(F.col("__b.d") <= safe)
-        ok = ok.select(lat, lon, F.col("__b.id").alias(out)).checkpoint()
+        ok = materialize(ok.select(lat, lon, F.col("__b.id").alias(out)), "nearest-level")
         resolved = ok if resolved is None else resolved.unionByName(ok)
         if last:
             break
-        pending = pending.join(ok.select(lat, lon), [lat, lon], "left_anti").checkpoint()
+        pending = materialize(pending.join(ok.select(lat, lon), [lat, lon], "left_anti"), "nearest-pending")
         if pending.isEmpty():
             break
     return resolved

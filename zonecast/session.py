@@ -83,10 +83,16 @@ def local_path(path: str) -> str | None:
     return path if os.path.isabs(path) else os.path.abspath(path)
 
 
-def materialize(df):
-    """Compute ``df`` once into reliable storage (``spark.checkpoint.dir``) and
-    return a frame reading it back: lineage is cut, so later uses (scalar
-    subqueries, self-joins) do not rescan the raw input, and a lost executor
-    recomputes from the checkpoint rather than from the source."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, name: str = "stage"):
+    """Compute ``df`` once into the shared folder (under ``spark.checkpoint.dir``)
+    as parquet and return a frame reading it back.
+
+    Lineage is cut: later uses (scalar subqueries, self-joins, iterations) read
+    the compact columnar copy instead of rescanning the raw input, and a lost
+    executor recomputes from that copy.  One job computes the plan; an eager
+    ``checkpoint()`` would compute it twice (count, then write) unless cached.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

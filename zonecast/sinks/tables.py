@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators.select import latest_per_key
+from ..session import materialize
 
 
 def _fs(spark: SparkSession, path: str):
@@ -67,21 +68,21 @@ def upsert_latest(
       overwrite);
     * per key the row of the highest ``batch_id`` wins, so re-delivering a batch
       id is idempotent;
-    * the merged rows are checkpointed (reliable storage) before the overwrite,
-      so the write never reads the files it replaces and a lost executor
-      recomputes from the checkpoint, not from half-replaced partitions.
+    * the merged rows are first written to the shared folder, so the overwrite
+      never reads the files it replaces and a lost executor recomputes from that
+      copy, not from half-replaced partitions.
     """
     keys = keys or S.AGG_KEYS
-    if batch_df.isEmpty():
-        return
     new = batch_df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+    # partition values touched by this micro-batch: a few dates, metadata sized;
+    # none means an empty batch.  As a literal IN-list they prune the scan below.
+    touched = [r[0] for r in new.select(partition).distinct().toLocalIterator()]
+    if not touched:
+        return
     if path_exists(spark, path):
-        # partition values touched by this micro-batch: a few dates, metadata
-        # sized; as a literal IN-list they prune the scan to those partitions
-        touched = [r[0] for r in new.select(partition).distinct().toLocalIterator()]
         old = spark.read.parquet(path).filter(F.col(partition).isin(touched))
         merged = latest_per_key(old.unionByName(new.select(*old.columns)), keys, ["batch_id"])
-        merged = merged.checkpoint(eager=True)
+        merged = materialize(merged, "upsert-merge")
     else:
         merged = new
     (
