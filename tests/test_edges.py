@@ -198,3 +198,15 @@ def test_rounding_matches_pandas_rule(spark):
     # stable rounding removes last-bit noise before the tie is decided
     noisy = spark.createDataFrame([(33.00499999999999,), (33.00500000000001,)], "x double")
     assert len({r.y for r in noisy.select(stable_round("x", 2).alias("y")).collect()}) == 1
+
+
+def test_arrival_stamp_uses_injected_clock_whole_seconds(spark):
+    from zonecast.operators.normalize import stamp_arrival, shift_time
+
+    df = spark.createDataFrame([(1,)], "id int")
+    clock = F.lit("2024-03-05 06:07:08.987654").cast("timestamp")
+    assert stamp_arrival(df, clock).first().emitted_at == "2024-03-05 06:07:08"
+    t = spark.createDataFrame([("2024-01-31 23:59:59.5", "2024-02-01 00:10:00")], "p string, d string").select(
+        F.to_timestamp("p").alias("pickup_datetime"), F.to_timestamp("d").alias("dropoff_datetime"))
+    r = shift_time(t, 1).first()
+    assert (r.pickup_datetime, r.dropoff_datetime) == ("2024-03-02 23:59:59", "2024-03-03 00:10:00")

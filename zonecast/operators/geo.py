@@ -28,6 +28,9 @@ from ..session import materialize
 from .dims import MAX_ZONE_ARRAY, row_count_at_most
 
 COORD_DIGITS = 3
+# Broadcast bound for the snapped (lat, lon) -> zone table (3-dp points inside
+# the city box number about 600,000).
+MAX_SNAPPED_BROADCAST = 2_000_000
 
 
 def _metric_fn(metric: str):
@@ -92,7 +95,12 @@ def nearest_zone(
         )
     else:
         snapped = nearest_zone_grid(coords, zones, lat_r, lon_r, out, metric)
-    return keyed.join(snapped, [lat_r, lon_r], "left").drop(lat_r, lon_r)
+    # The snapped table is small (distinct 3-dp points); write it once, then
+    # broadcast it only if its row count proves it small.  Otherwise a shuffle
+    # join, where AQE splits a hot coordinate's partition.
+    snapped = materialize(snapped, "nearest-zone")
+    side = F.broadcast(snapped) if row_count_at_most(snapped, MAX_SNAPPED_BROADCAST) else snapped
+    return keyed.join(side, [lat_r, lon_r], "left").drop(lat_r, lon_r)
 
 
 def nearest_zone_grid(

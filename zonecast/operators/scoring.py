@@ -95,7 +95,7 @@ def latest_predictions(pred: DataFrame) -> DataFrame:
         "predicted_tip_high",
         F.col("surge_multiplier").alias("surge"),
         round_half_even((F.col("predicted_tip_low") + F.col("predicted_tip_high")) / 2, 2).alias("predicted_tip"),
-    )
+    ).orderBy(F.col("predicted_fare").desc(), F.col("pu_location_id"))  # W12 display order
 
 
 def prediction_summary(pred: DataFrame) -> DataFrame:

@@ -81,11 +81,16 @@ def footer_columns(spark: SparkSession, path: str) -> tuple[tuple[str, str], ...
         return tuple((f.name, f.dataType.simpleString()) for f in st.fields)
 
 
-def group_by_schema(spark: SparkSession, files: list[str]) -> dict[tuple, list[str]]:
-    """Files keyed by their footer schema (one footer read per file, metadata only)."""
+def group_by_schema(spark: SparkSession, files: list[str], threads: int = 32) -> dict[tuple, list[str]]:
+    """Files keyed by their footer schema (one footer read per file, metadata
+    only; reads overlap on a thread pool since they are I/O-latency bound)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
+        schemas = list(pool.map(lambda f: footer_columns(spark, f), files))
     groups: dict[tuple, list[str]] = {}
-    for f in files:
-        groups.setdefault(footer_columns(spark, f), []).append(f)
+    for f, key in zip(files, schemas):
+        groups.setdefault(key, []).append(f)
     return groups
 
 
