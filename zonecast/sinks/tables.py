@@ -68,9 +68,9 @@ def upsert_latest(
       overwrite);
     * per key the row of the highest ``batch_id`` wins, so re-delivering a batch
       id is idempotent;
-    * the merged rows are first written to the shared folder, so the overwrite
-      never reads the files it replaces and a lost executor recomputes from that
-      copy, not from half-replaced partitions.
+    * the merged rows are first checkpointed to the shared folder, so the
+      overwrite never reads the files it replaces and a lost executor recomputes
+      from that copy, not from half-replaced partitions.
     """
     keys = keys or S.AGG_KEYS
     new = batch_df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
