@@ -139,3 +139,26 @@ def test_zone_csv_and_fallback(spark, tmp_dir):
     assert read_zone_csv(spark, p).count() == 2
     fb = read_zone_csv(spark, os.path.join(tmp_dir, "missing.csv")).collect()
     assert [(r.location_id, r.latitude, r.longitude) for r in fb] == [(161, 40.7549, -73.984)]
+
+
+def test_file_listing_cap_and_family_skipping(spark):
+    from zonecast.plans.files import write_family_files
+    from zonecast.sources.files import group_by_schema, list_trip_files, read_trip_files
+
+    root = write_family_files(spark, SF_SMALL)
+    files = list_trip_files(spark, root)
+    assert files == sorted(files) and all(f.endswith(".parquet") for f in files)
+    assert list_trip_files(spark, root, max_files=3) == files[:3]
+    assert list_trip_files(spark, root + "/missing") == []
+    groups = group_by_schema(spark, files)
+    assert len(groups) == 7  # one schema per family, drifted types included
+    training = read_trip_files(spark, files, need_tip=True, keep=["event_id"])
+    stream = read_trip_files(spark, files, need_tip=False, keep=["event_id"])
+    n = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    yellow = sum(1 for f in files if "/yellow/" in f)
+    assert yellow > 0
+    assert training.count() == n  # no-tip and no-location copies skipped
+    # without the tip requirement the no-tip copy of the yellow rows is read too
+    extra = spark.read.parquet(*[f for f in files if "/yellow_notip/" in f]).count()
+    assert stream.count() == n + extra
+    assert dict(training.dtypes)["passenger_count"] == "double"
