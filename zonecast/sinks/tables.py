@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators.select import latest_per_key
-from ..session import materialize
 
 
 def _fs(spark: SparkSession, path: str):
@@ -68,9 +67,9 @@ def upsert_latest(
       overwrite);
     * per key the row of the highest ``batch_id`` wins, so re-delivering a batch
       id is idempotent;
-    * the merged rows are first checkpointed to the shared folder, so the
-      overwrite never reads the files it replaces and a lost executor recomputes
-      from that copy, not from half-replaced partitions.
+    * dynamic partition overwrite writes into a staging folder and replaces
+      the touched partitions only at job commit, after every task has read
+      the old rows; a task lost mid-job is retried against unchanged files.
     """
     keys = keys or S.AGG_KEYS
     new = batch_df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
@@ -82,7 +81,6 @@ def upsert_latest(
     if path_exists(spark, path):
         old = spark.read.parquet(path).filter(F.col(partition).isin(touched))
         merged = latest_per_key(old.unionByName(new.select(*old.columns)), keys, ["batch_id"])
-        merged = materialize(merged, "upsert-merge")
     else:
         merged = new
     (
