@@ -210,3 +210,11 @@ def test_arrival_stamp_uses_injected_clock_whole_seconds(spark):
         F.to_timestamp("p").alias("pickup_datetime"), F.to_timestamp("d").alias("dropoff_datetime"))
     r = shift_time(t, 1).first()
     assert (r.pickup_datetime, r.dropoff_datetime) == ("2024-03-02 23:59:59", "2024-03-03 00:10:00")
+
+
+def test_scale_settings_sizes_partitions():
+    from zonecast.session import scale_settings
+
+    s = scale_settings(100 * 1024**4, 8000)
+    assert int(s["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (256 * 1024**2) + 1
+    assert int(scale_settings(10 * 1024**2, 8)["spark.sql.shuffle.partitions"]) == 24

@@ -95,3 +95,30 @@ def materialize(df, name: str = "stage"):
     """
     scratch_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scale_settings(input_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict[str, str]:
+    """Session settings sized for a job reading ``input_bytes`` on ``total_cores``.
+
+    * file splits of 256 MB: a 100 TB scan becomes about 400,000 tasks, several
+      waves on 1,000 executors, each split small enough to decode in memory;
+    * initial shuffle width so that each reducer starts near the target size
+      (AQE then coalesces small partitions toward the advisory size);
+    * skew join / skewed partition splitting above 4x the median and 1 GB;
+    * stateful streaming: RocksDB state store (state larger than executor heap).
+    """
+    mb = 1024 * 1024
+    parts = max(total_cores * 3, int(input_bytes // (target_partition_mb * mb)) + 1)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_mb * mb),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_mb * mb),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * mb),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * mb),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
