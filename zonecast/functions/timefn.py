@@ -48,10 +48,6 @@ def add_minutes(c: str | Column, minutes: int) -> Column:
     return col_of(c) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes), F.lit(0))
 
 
-def add_seconds(c: str | Column, seconds: int) -> Column:
-    return col_of(c) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds))
-
-
 def add_days(c: str | Column, days: int | Column) -> Column:
     d = days if isinstance(days, Column) else F.lit(days)
     return col_of(c) + F.make_dt_interval(d)

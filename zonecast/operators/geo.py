@@ -170,8 +170,3 @@ def nearest_zone_grid(
             break
     return resolved
 
-
-def box_predicate(lat: str, lon: str) -> Column:
-    from .quality import in_box
-
-    return in_box(lat, lon)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.numeric import round_half_even
 from ..functions.timefn import add_minutes
+from .aggregate import latest_window_end
 from .select import latest_per_key
 
 AGG_VALUE_COLUMNS = [
@@ -23,7 +24,7 @@ def latest_agg_per_zone(agg: DataFrame, lookback_hours: int = S.LOOKBACK_HOURS)
     The newest window_end is a scalar subquery (one value, no cross join); the
     per-zone pick is a ``max_by`` aggregate (partial + final, skew-safe).
     """
-    newest = agg.select(F.max("window_end")).scalar()
+    newest = latest_window_end(agg)
     horizon = newest - F.make_dt_interval(F.lit(0), F.lit(lookback_hours))
     recent = agg.select(*AGG_VALUE_COLUMNS).filter(F.col("window_end") >= horizon)
     return latest_per_key(recent, ["pu_location_id"], ["window_end", "window_start"]).select(

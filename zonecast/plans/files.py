@@ -53,7 +53,6 @@ def _family_of(path_col):
     return F.regexp_extract(path_col, r"/([A-Za-z_]+)/[^/]+\.parquet$", 1)
 
 
-_USABLE = ["green", "generic", "legacy", "mixed", "yellow"]
 DUCK_SCAN = (
     adapter.duck_with(
         ("fams", """select family as fam from raw_wide

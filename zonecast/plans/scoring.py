@@ -11,7 +11,7 @@ from .. import schema as S
 from ..functions.numeric import round6 as r6
 from ..operators import scoring as SC
 from ..operators.aggregate import baseline_table as baseline_op
-from ..operators.aggregate import sliding_traffic_agg
+from ..operators.aggregate import global_mean, sliding_traffic_agg
 from ..session import materialize, scratch_path
 from ..sinks.tables import write_snapshot
 from ..sources import adapter
@@ -46,7 +46,7 @@ def baseline_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = latest_per_zone(spark, sf_dir)
     train = positioned(spark, sf_dir).filter(F.col("split") == "train")
     base = baseline_op(train)
-    gmean = train.select(F.avg(S.TARGET)).scalar()
+    gmean = global_mean(train)
     scored = latest.withColumn("hour", F.hour("window_start")).join(
         base, ["pu_location_id", "hour"], "left"
     )

@@ -19,7 +19,6 @@ from ..sources.events import json_file_stream
 from ..streaming.live import run_live_stream
 from ..streaming.replay import write_time_slices
 from ..streaming.traffic import run_traffic_stream
-from . import duck as D
 from .registry import query
 from .traffic import TRAFFIC_AGG_SQL, clean_stream_trips, duck_stream, duck_traffic_body
 

@@ -9,7 +9,7 @@ from .. import schema as S
 from ..functions.numeric import round6 as r6
 from ..functions.timefn import is_weekend, weekday_mon0
 from ..operators.aggregate import baseline_table as baseline_op
-from ..operators.aggregate import finalize_features, merge_partials, tumbling_partials
+from ..operators.aggregate import finalize_features, global_mean, merge_partials, tumbling_partials
 from ..operators.quality import clean_training, derive_duration_speed
 from ..operators.select import batch_index, dedup_last, global_row_number, label_split
 from ..session import materialize
@@ -80,7 +80,7 @@ def baseline_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = pos.filter(F.col("split") == "train")
     test = pos.filter(F.col("split") == "test")
     base = baseline_op(train)
-    gmean = train.select(F.avg(S.TARGET)).scalar()
+    gmean = global_mean(train)
     return test.join(base, ["pu_location_id", "hour"], "left").withColumn(
         "baseline_pred", F.coalesce(F.col("baseline_pred"), gmean)
     )

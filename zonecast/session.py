@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -74,15 +73,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str | None:
-    """Return a local filesystem path for ``path`` if it is local, else None."""
-    if path.startswith("file:"):
-        return path[5:]
-    if "://" in path:
-        return None
-    return path if os.path.isabs(path) else os.path.abspath(path)
-
-
 def materialize(df, name: str = "stage"):
     """Compute ``df`` once into reliable storage (``spark.checkpoint.dir``) and
     return a frame reading it back.

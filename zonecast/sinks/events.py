@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import schema as S
-
 
 def event_struct(emitted_at: Column | None = None) -> Column:
     """Typed event fields (ints as ints, amounts as doubles, times as text)."""
@@ -27,6 +25,3 @@ def to_event_json(df: DataFrame, keep: list[str] | None = None, emitted_at: Colu
     """Rows with text times -> ``value`` JSON string (one flat object per row)."""
     return df.select(*(keep or []), F.to_json(event_struct(emitted_at)).alias("value"))
 
-
-def time_text(c: str) -> Column:
-    return F.date_format(F.col(c), S.TS_TEXT_FORMAT)

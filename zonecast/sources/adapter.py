@@ -84,7 +84,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     origin = F.lit(CLOCK_ORIGIN_US)
     pus = origin + F.expr(f"div(us - {CLOCK_ORIGIN_US}, {CLOCK_COMPRESSION})")
     dur_us = (F.col("k") * 60 + F.col("event_id") % 60) * F.lit(1_000_000)
-    return _materialised(b, [
+    return b.select(
         F.col("event_id"),
         F.timestamp_micros(pus).alias("pickup_datetime"),
         F.timestamp_micros(pus + dur_us).alias("dropoff_datetime"),
@@ -98,11 +98,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.timestamp_micros(F.col("us")).alias("pickup_raw"),
         F.timestamp_micros(F.col("us") + dur_us).alias("dropoff_raw"),
         F.col("event_type").alias("source"),
-    ])
-
-
-def _materialised(df: DataFrame, cols: list) -> DataFrame:
-    return df.select(*cols)
+    )
 
 
 def legacy_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
