@@ -13,6 +13,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from .dims import bounded_broadcast
+
+# 10-minute windows over 38 years; offsets beyond this use a shuffle join
+MAX_OFFSET_ROWS = 2_000_000
 
 
 def latest_per_key(
@@ -64,9 +68,11 @@ def global_row_number(
         ).alias("__off"),
     )
     local = F.row_number().over(Window.partitionBy(group).orderBy(*within))
+    # offsets: one row per group value (calendar-bounded); broadcast once its
+    # row count is checked, so a large group never meets a shuffle join
     return (
         df.withColumn("__local", local)
-        .join(offsets, group, "inner")
+        .join(bounded_broadcast(offsets, MAX_OFFSET_ROWS), group, "inner")
         .withColumn(out, F.col("__off") + F.col("__local"))
         .drop("__off", "__local")
     )

@@ -12,6 +12,7 @@ from ..functions.numeric import round6 as r6
 from ..operators import scoring as SC
 from ..operators.aggregate import baseline_table as baseline_op
 from ..operators.aggregate import global_mean, sliding_traffic_agg
+from ..operators.dims import bounded_broadcast
 from ..session import materialize, scratch_path
 from ..sinks.tables import write_snapshot
 from ..sources import adapter
@@ -48,7 +49,7 @@ def baseline_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = baseline_op(train)
     gmean = global_mean(train)
     scored = latest.withColumn("hour", F.hour("window_start")).join(
-        base, ["pu_location_id", "hour"], "left"
+        bounded_broadcast(base), ["pu_location_id", "hour"], "left"
     )
     tip = F.coalesce(F.col("baseline_pred"), gmean)
     return SC.zone_predictions(scored.drop("hour"), tip, as_of(spark, sf_dir))

@@ -11,6 +11,7 @@ from ..functions.timefn import is_weekend, weekday_mon0
 from ..operators.aggregate import baseline_table as baseline_op
 from ..operators.aggregate import finalize_features, global_mean, merge_partials, tumbling_partials
 from ..operators.quality import clean_training, derive_duration_speed
+from ..operators.dims import bounded_broadcast
 from ..operators.select import batch_index, dedup_last, global_row_number, label_split
 from ..session import materialize
 from ..sources import adapter
@@ -81,7 +82,7 @@ def baseline_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     test = pos.filter(F.col("split") == "test")
     base = baseline_op(train)
     gmean = global_mean(train)
-    return test.join(base, ["pu_location_id", "hour"], "left").withColumn(
+    return test.join(bounded_broadcast(base), ["pu_location_id", "hour"], "left").withColumn(
         "baseline_pred", F.coalesce(F.col("baseline_pred"), gmean)
     )
 
