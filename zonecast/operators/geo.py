@@ -78,29 +78,55 @@ def nearest_zone(
     metric: str = "euclid",
 ) -> DataFrame:
     """Add column ``out`` = nearest zone id of (lat, lon) rounded to 3 dp."""
-    lat_r, lon_r = "__lat_r", "__lon_r"
-    keyed = df.withColumn(lat_r, round_half_even(F.col(lat), COORD_DIGITS)).withColumn(
-        lon_r, round_half_even(F.col(lon), COORD_DIGITS)
-    )
-    coords = keyed.select(lat_r, lon_r).filter(
-        F.col(lat_r).isNotNull() & F.col(lon_r).isNotNull()
-    ).distinct()
+    return nearest_zones(df, zones, [(lat, lon, out)], metric)
+
+
+def nearest_zones(
+    df: DataFrame,
+    zones: DataFrame,
+    points: list[tuple[str, str, str]],
+    metric: str = "euclid",
+) -> DataFrame:
+    """Add one nearest-zone column per (lat, lon, out) coordinate pair.
+
+    All pairs share one snapped table: the distinct rounded points of every
+    pair are unioned, snapped once and written once, then joined back per pair.
+    """
+    keyed = df
+    rounded_pairs = []
+    for i, (lat, lon, _) in enumerate(points):
+        la, lo = f"__lat_r{i}", f"__lon_r{i}"
+        keyed = keyed.withColumn(la, round_half_even(F.col(lat), COORD_DIGITS)).withColumn(
+            lo, round_half_even(F.col(lon), COORD_DIGITS)
+        )
+        rounded_pairs.append((la, lo))
+    coords = None
+    for la, lo in rounded_pairs:
+        c = keyed.select(F.col(la).alias("__lat_r"), F.col(lo).alias("__lon_r")).filter(
+            F.col("__lat_r").isNotNull() & F.col("__lon_r").isNotNull()
+        )
+        coords = c if coords is None else coords.unionByName(c)
+    coords = coords.distinct()
     if row_count_at_most(zones, MAX_ZONE_ARRAY):
         # The scalar subquery runs once; its value is projected as a column so
         # the lambda below can read it (subqueries are not allowed in lambdas).
         snapped = coords.withColumn("__zones", zone_array(zones)).select(
-            lat_r,
-            lon_r,
-            nearest_in_array(F.col(lat_r), F.col(lon_r), F.col("__zones"), metric).alias(out),
+            "__lat_r",
+            "__lon_r",
+            nearest_in_array(F.col("__lat_r"), F.col("__lon_r"), F.col("__zones"), metric).alias("__zone"),
         )
     else:
-        snapped = nearest_zone_grid(coords, zones, lat_r, lon_r, out, metric)
+        snapped = nearest_zone_grid(coords, zones, "__lat_r", "__lon_r", "__zone", metric)
     # The snapped table is small (distinct 3-dp points); write it once, then
     # broadcast it only if its row count proves it small.  Otherwise a shuffle
     # join, where AQE splits a hot coordinate's partition.
     snapped = materialize(snapped, "nearest-zone")
     side = F.broadcast(snapped) if row_count_at_most(snapped, MAX_SNAPPED_BROADCAST) else snapped
-    return keyed.join(side, [lat_r, lon_r], "left").drop(lat_r, lon_r)
+    out_df = keyed
+    for (la, lo), (_, _, out) in zip(rounded_pairs, points):
+        s_i = side.select(F.col("__lat_r").alias(la), F.col("__lon_r").alias(lo), F.col("__zone").alias(out))
+        out_df = out_df.join(s_i, [la, lo], "left").drop(la, lo)
+    return out_df
 
 
 def nearest_zone_grid(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.numeric import parse_zone_id, to_double
 from ..functions.timefn import add_days
-from .geo import nearest_zone
+from .geo import nearest_zones
 
 
 def coalesce_alias(df: DataFrame, names: list[str], cast: str | None = None) -> Column:
@@ -63,8 +63,12 @@ def normalize_events(df: DataFrame, zones: DataFrame, keep: list[str] | None = N
     c = c.withColumn("pu_id", parse_zone_id("pu_location_raw")).withColumn(
         "do_id", parse_zone_id("do_location_raw")
     )
-    c = nearest_zone(c, zones, "pickup_latitude", "pickup_longitude", "pu_snap", "euclid")
-    c = nearest_zone(c, zones, "dropoff_latitude", "dropoff_longitude", "do_snap", "euclid")
+    c = nearest_zones(
+        c,
+        zones,
+        [("pickup_latitude", "pickup_longitude", "pu_snap"), ("dropoff_latitude", "dropoff_longitude", "do_snap")],
+        "euclid",
+    )
     pick = F.col("pickup_datetime")
     drop = F.col("dropoff_datetime")
     out = c.select(
