@@ -1,27 +1,69 @@
-"""Whole-text tokenisation with the ``tokenizers`` library and a bounded word memo.
+"""Whole-text tokenisation with the ``tokenizers`` library and bounded memos.
 
 Byte-pair merges never cross the pre-tokeniser's pieces, so a text can be cut at
-safe blanks, each distinct piece encoded once, and the ids joined again.  The
-memo lives as long as the Python worker and is emptied at ``MEMO_WORDS`` entries;
-it changes the time, never the ids (texts with unusual blanks are encoded whole).
+safe blanks, each distinct word split into pieces, each distinct piece merged once
+by the library's model, and the ids joined again.  The memos live as long as the
+Python worker and are emptied at ``WORDS`` and ``PIECES`` entries; they change the time, never the
+ids.  Texts with unusual blanks, and words beyond plain Latin letters, go through
+the library's full encoder.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
-MEMO_WORDS = 400_000
-#: runs of blanks where a cut at a single space could change the pre-tokeniser's split
-_ODD_BLANKS = re.compile(r"\s{3}|  |\s\Z|\A\s")
+WORDS, PIECES = 250_000, 400_000
+#: ASCII marks that end a word
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: blanks other than space and newline, which the library and Python may class differently
+_RARE_BLANK = re.compile("[" + "".join(map(chr, (
+    0, 9, 11, 12, 13, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+))) + "]")
+
+# The Latin letters and numbers (up to U+017F) for which the piece patterns are used here.
+_L = "A-Za-zªµºÀ-ÖØ-öø-ſ"
+_N = "0-9²³¹¼-¾"
+_PLAIN = re.compile("[!-~\n¡-¬®-ſ]*\\Z")
+
+# The two tokenizers' piece patterns.
+_PIECES = {
+    "leading": re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+"),
+    "dropped": re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+"),
+}
+
+
+def _byte_letters() -> dict[int, int]:
+    """Byte-level alphabet: printable Latin-1 stands for itself, other bytes follow from 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in own]
+    return {b: b for b in own} | {b: 256 + k for k, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
 _LOADED: dict[tuple[str, str], "WordMemo"] = {}
 
 
+class _Memo(dict):
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, key):
+        value = self[key] = self.make(key)
+        return value
+
+
+def _lower(text: str) -> str:
+    """Letter by letter, as the library does (no rule for a sigma at a word's end)."""
+    return text.lower() if text.isascii() else "".join(c.lower() for c in text)
+
+
 class WordMemo:
     """Texts to ids; ``style`` 'leading' keeps the space before a word with the word
-    (byte-level pieces), 'dropped' is for tokenizers that discard blanks."""
+    (byte-level pieces), 'dropped' is for lower-casing tokenizers that discard blanks."""
 
     def __init__(self, path: str, style: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -29,45 +71,67 @@ class WordMemo:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
+        self.merge = self.tok.model.tokenize
         self.style = style
-        self.memo: dict[str, bytes] = {}
+        self.find = _PIECES[style].findall
+        self.words = _Memo(self.word)
+        self.pieces: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def pieces(self, text: str) -> list[str] | None:
+    def cut(self, text: str) -> list[str] | None:
+        """Words that can be encoded one by one; None if a cut could move a piece's border."""
         if self.style == "dropped":
             return text.replace("\n", " ").split(" ")
-        if _ODD_BLANKS.search(text):
+        if ("  " in text or "\n \n" in text or text[:1].isspace() or text[-1:].isspace()
+                or _RARE_BLANK.search(text)):
             return None
+        # a word with no space before it is marked by a zero character, which the text has not
+        if "\n" in text and "\n\n" not in text and " \n" not in text and "\n " not in text:
+            text = text.replace("\n", " \0\n \0")  # a lone line end is a piece of its own
         words = text.split(" ")
-        # a first word has no space before it: marked by a zero character, which no
-        # later key starts with
-        return ["\0" + words[0], *words[1:]] if "\0" not in text else None
+        words[0] = "\0" + words[0]
+        return words
 
-    def learn(self, missing: list[str]) -> None:
-        if self.style == "dropped":
-            texts = missing
+    def piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            letters = piece.encode().decode("latin-1").translate(_LETTERS)
+            ids = self.pieces[piece] = array("I", [t.id for t in self.merge(letters)]).tobytes()
+        return ids
+
+    def word(self, word: str) -> bytes:
+        letters = word.rstrip(_MARKS)
+        if letters.isalpha() and _PLAIN.match(letters):
+            # letters and perhaps one run of marks: two pieces at most
+            if self.style == "leading":
+                first = self.piece(" " + letters)
+            else:
+                first = self.piece(_lower(letters))
+            return first if len(letters) == len(word) else first + self.piece(word[len(letters):])
+        if self.style == "leading":
+            text = word[1:] if word[:1] == "\0" else " " + word
         else:
-            texts = [w[1:] if w[:1] == "\0" else " " + w for w in missing]
-        for k in range(0, len(texts), 5000):
-            for w, e in zip(missing[k:k + 5000], self.tok.encode_batch_fast(texts[k:k + 5000], add_special_tokens=False)):
-                self.memo[w] = np.asarray(e.ids, "<u4").tobytes()
+            text = word
+        if not _PLAIN.match(text[1:] if text[:1] == " " else text):
+            return self.whole(text)
+        if self.style == "dropped":
+            text = _lower(text)
+        return b"".join(map(self.piece, self.find(text)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        cut = [self.pieces(t) for t in texts]
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        memo = self.memo
-        missing: set[str] = set()
-        for words in cut:
-            if words is not None:
-                missing.update(w for w in words if w not in memo)
-        if missing:
-            self.learn(list(missing))
-        get = memo.__getitem__
-        return [self.whole(t) if words is None else b"".join(map(get, words)) for t, words in zip(texts, cut)]
+        known = self.words
+        out = []
+        for text in texts:
+            words = self.cut(text)
+            if len(known) > WORDS:
+                known.clear()
+            if len(self.pieces) > PIECES:
+                self.pieces.clear()
+            out.append(self.whole(text) if words is None else b"".join(map(known.__getitem__, words)))
+        return out
 
 
 def tokenizer(path: str, style: str) -> WordMemo:
