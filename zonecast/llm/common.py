@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructField, StructType
 
 from ..session import scratch_path
 
@@ -71,6 +73,37 @@ def batch(schema: pa.Schema, columns: dict[str, object]) -> pa.RecordBatch:
     )
 
 
+def annotate(docs: DataFrame, text_col: str, make, fields: list[StructField]) -> DataFrame:
+    """``docs`` as one struct column ``whole`` beside new ``fields``, computed from the text.
+
+    ``make()`` is called once in each task and gives a function from a list of
+    texts as UTF-8 bytes (null stays None) to a dict of arrays.  The input's
+    columns stay inside the struct, so none of them can clash with a new one.
+    """
+    ready(docs.sparkSession)
+    schema = StructType([StructField("whole", docs.schema, False), *fields])
+    position = docs.columns.index(text_col)
+    inner = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = make()
+        for b in slices(batches):
+            whole = b.column(0)
+            new = compute(whole.field(position).cast(pa.binary()).to_pylist())
+            kinds = [to_arrow_type(f.dataType) for f in fields]
+            yield pa.RecordBatch.from_arrays(
+                [whole, *(pa.array(new[f.name], type=k) for f, k in zip(fields, kinds))],
+                names=["whole", *(f.name for f in fields)],
+            )
+
+    return inner.mapInArrow(run, schema)
+
+
+def unwrapped(docs: DataFrame) -> list:
+    """The columns of ``docs`` out of ``whole``, to select from an annotated frame."""
+    return [F.col(f"whole.`{c}`").alias(c) for c in docs.columns]
+
+
 def slices(batches: Iterable[pa.RecordBatch], max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of at most about ``max_bytes`` (one row at least)."""
     for b in batches:
@@ -117,7 +150,7 @@ class RollingFiles:
             self.close()
             self.number += 1
             self.name, self.at = f"{self.stem}-{self.number:05d}{self.suffix}", 0
-            self.out = self.fs.open_output_stream(f"{self.folder}/{self.name}")
+            self.out = self.fs.open_output_stream(f"{self.folder}/{self.name}", compression=None)
         at = self.at
         self.out.write(data)
         self.at += len(data)

@@ -157,7 +157,7 @@ def _read(folder: str, keep_ids: bool):
         for b in batches:
             for name in b.column("file").to_pylist():
                 start = 0
-                with fs.open_input_stream(f"{path}/{name}", buffer_size=1 << 20) as stream:
+                with fs.open_input_stream(f"{path}/{name}", compression=None, buffer_size=1 << 20) as stream:
                     for offsets, payloads in unframe(stream, name):
                         rows = [parse(p) for p in payloads]
                         n = np.asarray([len(x) for _, x in rows], np.int64)
