@@ -2,6 +2,7 @@
 
 import os
 import time
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -12,14 +13,19 @@ from zonecast.sinks.events import to_event_json
 from zonecast.sinks.tables import (
     append_batch,
     export_csv,
-    prune_batches,
+    prune_minutes,
+    read_live,
+    read_snapshot,
     read_upserted,
     upsert_latest,
     within_retention,
     write_metrics_json,
+    write_snapshot,
 )
 from zonecast.sources.events import json_file_stream
 from zonecast.sources.files import read_zone_csv
+from zonecast.streaming.live import run_live_stream
+from zonecast.streaming.replay import write_time_slices
 from zonecast.streaming.traffic import run_traffic_stream
 from tests.conftest import SF_SMALL
 
@@ -49,21 +55,83 @@ def test_upsert_is_idempotent_and_last_wins(spark, tmp_dir):
     assert after.count() == len(first)
 
 
+def test_upsert_after_checkpoint_reset(spark, tmp_dir):
+    """A new run's batch 0 wins over an old run's batch 7; within a run older batches undo nothing."""
+    path = os.path.join(tmp_dir, "agg")
+    one = _agg(spark).limit(1).cache()
+    count = lambda: read_upserted(spark, path).first().trip_count
+    put = lambda n, batch, run: upsert_latest(spark, one.withColumn("trip_count", F.lit(n).cast("long")), batch, path, run_id=run)
+    put(5, 7, "old")
+    put(99, 0, "new")
+    assert count() == 99
+    put(100, 1, "new")
+    put(99, 0, "new")
+    assert count() == 100
+    twice = one.unionByName(one)
+    upsert_latest(spark, twice, 0, os.path.join(tmp_dir, "first"))  # one row per key from the first write on
+    assert read_upserted(spark, os.path.join(tmp_dir, "first")).count() == 1
+
+
 def test_append_batch_idempotent_and_retention(spark, tmp_dir):
     path = os.path.join(tmp_dir, "live")
     rows = spark.createDataFrame(
-        [(1, "2024-01-01 00:00:00"), (2, "2024-01-01 00:20:00"), (3, "2024-01-01 00:25:00")],
+        [(1, "2024-01-01 00:00:00"), (2, "2024-01-01 00:20:00"), (3, "2024-01-01 00:25:00"), (4, None)],
         "event_id int, t string",
     ).select("event_id", F.to_timestamp("t").alias("emitted_at"))
     append_batch(rows.filter("event_id = 1"), 0, path)
     append_batch(rows.filter("event_id > 1"), 1, path)
     append_batch(rows.filter("event_id > 1"), 1, path)  # replayed batch
-    table = spark.read.parquet(path)
-    assert table.count() == 3
+    append_batch(rows.filter("event_id = 3"), 0, path, "new")  # another checkpoint's batch 0
+    table = read_live(spark, path)
+    assert sorted(r.event_id for r in table.collect()) == [1, 2, 3, 3, 4]
     as_of = F.lit("2024-01-01 00:25:00").cast("timestamp")
-    assert sorted(r.event_id for r in within_retention(table, as_of).collect()) == [2, 3]
-    assert prune_batches(spark, path, as_of) == 1
-    assert sorted(r.event_id for r in spark.read.parquet(path).collect()) == [2, 3]
+    assert sorted(r.event_id for r in within_retention(table, as_of).collect()) == [2, 3, 3]
+    now = datetime(2024, 1, 1, 0, 25)
+    assert prune_minutes(spark, path, now) == 1 and prune_minutes(spark, path, now) == 0
+    assert sorted(r.event_id for r in read_live(spark, path).collect()) == [2, 3, 3, 4]
+    assert sorted(r.event_id for r in read_live(spark, path, since=datetime(2024, 1, 1, 0, 24)).collect()) == [3, 3]
+    assert prune_minutes(spark, os.path.join(tmp_dir, "none"), now) == 0
+
+
+def test_live_stream_deletes_expired_minutes(spark, tmp_dir):
+    feed, target, ckpt = (os.path.join(tmp_dir, n) for n in ("feed", "live", "ckpt"))
+    times = [f"2024-01-01 {h:02d}:{m:02d}:30" for h in (10, 11) for m in range(0, 60, 5)]
+    events = spark.createDataFrame([(f'{{"emitted_at": "{t}", "trip_distance": 1.0}}', t) for t in times], "value string, t string")
+    assert 2 <= write_time_slices(events, "t", feed, 4) <= 4
+    run_live_stream(spark, json_file_stream(spark, feed, 1), target, ckpt)
+    kept = sorted(str(r.emitted_at) for r in read_live(spark, target).collect())
+    assert kept == [t for t in times if t >= "2024-01-01 11:45"]
+    folders = [f for f in os.listdir(target) if f.startswith("emit_minute=")]
+    assert len(folders) == len(kept)
+
+
+def test_time_slices_are_ordered_and_disjoint(spark, tmp_dir):
+    feed = os.path.join(tmp_dir, "feed")
+    df = spark.range(1000).selectExpr("cast((id * 37) % 1000 as int) as t").selectExpr("t", "cast(t as string) as value")
+    n = write_time_slices(df, "t", feed, 5)
+    files = sorted((os.path.getmtime(os.path.join(feed, f)), f) for f in os.listdir(feed) if f.startswith("part-"))
+    assert len(files) == n and len({m for m, _ in files}) == n
+    rows = [int(x) for _, f in files for x in open(os.path.join(feed, f)).read().split()]
+    assert rows == list(range(1000))
+
+
+def test_snapshot_is_switched_whole(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "snap")
+    for n in (3, 5, 7):
+        write_snapshot(spark.range(n), path)
+        assert read_snapshot(spark, path).count() == n
+    os.makedirs(os.path.join(path, "v-999999999999999-half"))  # a write that never ended
+    assert read_snapshot(spark, path).count() == 7
+    os.unlink(os.path.join(path, "CURRENT"))
+    assert read_snapshot(spark, path).count() == 7
+
+
+def test_half_written_csv_is_written_anew(spark, tmp_dir):
+    src, dst = os.path.join(tmp_dir, "pq"), os.path.join(tmp_dir, "csv")
+    os.makedirs(src)
+    spark.range(5).toPandas().to_parquet(os.path.join(src, "a.parquet"))
+    os.makedirs(os.path.join(dst, "a"))
+    assert export_csv(spark, src, dst) == ["a"] and export_csv(spark, src, dst) == []
 
 
 def _write_file(spark, df, directory):
@@ -143,15 +211,15 @@ def test_zone_csv_and_fallback(spark, tmp_dir):
 
 def test_file_listing_cap_and_family_skipping(spark):
     from zonecast.plans.files import write_family_files
-    from zonecast.sources.files import group_by_schema, list_trip_files, read_trip_files
+    from zonecast.sources.files import file_families, list_trip_files, read_trip_files
 
     root = write_family_files(spark, SF_SMALL)
     files = list_trip_files(spark, root)
     assert files == sorted(files) and all(f.endswith(".parquet") for f in files)
     assert list_trip_files(spark, root, max_files=3) == files[:3]
     assert list_trip_files(spark, root + "/missing") == []
-    groups = group_by_schema(spark, files)
-    assert len(groups) == 7  # one schema per family, drifted types included
+    found = file_families(spark, files)
+    assert len(found.groups) == 7 and not found.unreadable  # one schema per family, drifted types included
     training = read_trip_files(spark, files, need_tip=True, keep=["event_id"])
     stream = read_trip_files(spark, files, need_tip=False, keep=["event_id"])
     n = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
@@ -162,3 +230,33 @@ def test_file_listing_cap_and_family_skipping(spark):
     extra = spark.read.parquet(*[f for f in files if "/yellow_notip/" in f]).count()
     assert stream.count() == n + extra
     assert dict(training.dtypes)["passenger_count"] == "double"
+
+
+def test_listing_leaves_hidden_parts_out_and_reports_corrupt_files(spark, tmp_dir):
+    from zonecast.sources.files import file_families, list_trip_files, read_trip_files
+
+    base = os.path.join(tmp_dir, "_hidden_above", "trips")  # a hidden part above the prefix does not count
+    df = spark.createDataFrame([(1, "2024-01-01 00:00:00", "2024-01-01 00:10:00", 2.0, 9.0, 1.0, 5)],
+                               "id int, pickup_datetime string, dropoff_datetime string, trip_distance double, total_amount double, tip_amount double, PULocationID int")
+    df.coalesce(1).write.parquet(f"{base}/ok")
+    for hidden in ("_temporary/0/t", ".tmp", "x/_attempt"):
+        df.coalesce(1).write.parquet(f"{base}/{hidden}/part")
+    with open(f"{base}/bad.parquet", "wb") as f:
+        f.write(b"PAR1 this is no parquet file PAR1")
+    files = list_trip_files(spark, base)
+    assert [f.split("/trips/")[1].split("/")[0] for f in files] == ["bad.parquet", "ok"]
+    found = file_families(spark, files)
+    assert [f.rsplit("/", 1)[1] for f in found.unreadable] == ["bad.parquet"] and len(found.groups) == 1
+    assert read_trip_files(spark, files, keep=["id"]).count() == 1
+    assert read_trip_files(spark, []) is None
+
+
+def test_usable_files_need_every_group():
+    from zonecast.sources.files import missing_groups, needed_columns
+
+    base = {"pickup_datetime", "dropoff_datetime", "trip_distance", "fare_amount", "tip_amount", "other"}
+    assert missing_groups(base) == ["pickup place"] and needed_columns(base) is None
+    assert missing_groups(base | {"pickup_latitude"}) == ["pickup place"]
+    assert set(needed_columns(base | {"pickup_latitude", "pickup_longitude"})) == base - {"other"} | {"pickup_latitude", "pickup_longitude"}
+    no_tip = base - {"tip_amount"} | {"PULocationID"}
+    assert missing_groups(no_tip) == ["tip"] and needed_columns(no_tip, need_tip=False) is not None

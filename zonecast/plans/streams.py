@@ -13,7 +13,7 @@ from ..operators.aggregate import sliding_traffic_agg
 from ..operators.select import dedup_first
 from ..session import scratch_path
 from ..sinks.events import to_event_json
-from ..sinks.tables import read_upserted, upsert_latest, within_retention
+from ..sinks.tables import append_batch, read_live, read_upserted, upsert_latest, within_retention
 from ..sources import adapter
 from ..sources.events import json_file_stream
 from ..streaming.live import run_live_stream
@@ -22,7 +22,7 @@ from ..streaming.traffic import run_traffic_stream
 from .registry import query
 from .traffic import TRAFFIC_AGG_SQL, clean_stream_trips, duck_stream, duck_traffic_body
 
-REPLAY_SLICE_MINUTES = 60
+REPLAY_SLICES = 6
 
 _AVG = ["avg_speed_mph", "avg_duration_min", "avg_trip_distance", "avg_total_amount"]
 
@@ -47,7 +47,7 @@ def replay_feed(spark: SparkSession, sf_dir: str) -> str:
     )
     payload = to_event_json(txt, keep=["__arrival"])
     directory = scratch_path(spark, "feed")
-    write_time_slices(payload, "__arrival", directory, REPLAY_SLICE_MINUTES)
+    write_time_slices(payload, "__arrival", directory, REPLAY_SLICES)
     return directory
 
 
@@ -76,14 +76,14 @@ where date_trunc('second', emitted_at) >=
 
 @query("live_trips_stream", adapter.duck_with() + DUCK_LIVE_STREAM)
 def live_trips_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T4 + K2: the feed streamed into batch-id partitions of the live table,
-    read back within the 10-minute retention of the newest arrival."""
+    """T4 + K2: the feed streamed into the live table, whose sink drops expired
+    minutes; read back within the 10-minute retention of the newest arrival."""
     feed = replay_feed(spark, sf_dir)
     target = scratch_path(spark, "live_trips")
     run_live_stream(
         spark, json_file_stream(spark, feed, max_files_per_trigger=1), target, scratch_path(spark, "ckpt-live")
     )
-    table = spark.read.parquet(target).drop("batch_id")
+    table = read_live(spark, target)
     as_of = table.select(F.max("emitted_at")).scalar()
     return within_retention(table, as_of, S.LIVE_RETENTION_MIN).select(*S.LIVE_TRIP_COLUMNS)
 
@@ -118,6 +118,43 @@ def upsert_latest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_agg(read_upserted(spark, target))
 
 
+@query(
+    "upsert_after_restart",
+    duck_stream(("traffic", duck_traffic_body(True, "clean")))
+    + "select * exclude (trip_count), cast(trip_count + case when pu_location_id % 2 = 0 then 100 else 0 end as bigint)"
+    " as trip_count from traffic",
+)
+def upsert_after_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 after a checkpoint reset: batch 0 of a new run replaces what batch 7 of
+    the old run wrote, and an older batch of the new run, delivered again, undoes nothing."""
+    agg = sliding_traffic_agg(clean_stream_trips(spark, sf_dir))
+    bump = lambda n: agg.withColumn("trip_count", F.col("trip_count") + n)
+    even = F.col("pu_location_id") % 2 == 0
+    target = scratch_path(spark, "upsert-restart")
+    upsert_latest(spark, bump(7), 7, target, run_id="old")
+    upsert_latest(spark, bump(0), 0, target, run_id="new")
+    upsert_latest(spark, bump(100).filter(even), 1, target, run_id="new")
+    upsert_latest(spark, bump(0).filter(even), 0, target, run_id="new")
+    return _round_agg(read_upserted(spark, target))
+
+
+@query(
+    "live_append_after_restart",
+    adapter.duck_with()
+    + "select event_id, emitted_at from trips where event_id % 3 = 0"
+    " union all select event_id, emitted_at from trips where event_id % 3 = 1",
+)
+def live_append_after_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 after a checkpoint reset: batch 0 of a new run is added to batch 0 of the
+    old one; batch 0 delivered twice in a run is stored once."""
+    t = adapter.trips(spark, sf_dir).select("event_id", "emitted_at")
+    target = scratch_path(spark, "append-restart")
+    append_batch(t.filter("event_id % 3 = 0"), 0, target, "old")
+    append_batch(t.filter("event_id % 3 = 1"), 0, target, "new")
+    append_batch(t.filter("event_id % 3 = 1"), 0, target, "new")
+    return read_live(spark, target)
+
+
 @query("dedup_agg", TRAFFIC_AGG_SQL)
 def dedup_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An aggregate table holding every key twice (second copy altered);

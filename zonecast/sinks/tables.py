@@ -1,5 +1,5 @@
-"""Table sinks: keyed upsert (K1), batch-partitioned live append + retention (K2),
-snapshot overwrite (K3), CSV export (K5), metrics document (K6).
+"""Table sinks: keyed upsert (K1), live append by emit minute + retention (K2),
+versioned snapshot (K3), CSV export (K5), metrics document (K6).
 
 All writers are Spark jobs over DataFrames; nothing is collected to the driver
 except file-system metadata (paths, partition values).
@@ -8,6 +8,9 @@ except file-system metadata (paths, partition values).
 from __future__ import annotations
 
 import json
+import time
+import uuid
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +54,12 @@ def list_files(spark: SparkSession, directory: str, suffix: str) -> list[str]:
 # ---------------------------------------------------------------------------
 
 
+def run_id_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Structured Streaming gave to a checkpoint when it was first started."""
+    line = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()
+    return json.loads(line[0])["id"]
+
+
 def upsert_latest(
     spark: SparkSession,
     batch_df: DataFrame,
@@ -58,31 +67,36 @@ def upsert_latest(
     path: str,
     keys: list[str] | None = None,
     partition: str = "service_date",
+    run_id: str = "",
 ) -> None:
-    """Merge ``batch_df`` into the parquet table at ``path`` by ``keys``.
+    """Merge ``batch_df`` into the parquet table at ``path`` by ``keys``: the last write wins.
 
     * empty batch -> no-op;
     * only partitions touched by the batch are read (partition filter on the
       batch's distinct partition values) and rewritten (dynamic partition
       overwrite);
-    * per key the row of the highest ``batch_id`` wins, so re-delivering a batch
-      id is idempotent;
+    * a batch's row replaces the stored row of its key.  Batch numbers are
+      compared only within one ``run_id`` (one checkpoint), where an older batch
+      that is delivered again does not undo a newer one; a new checkpoint, whose
+      numbers start at 0 again, always wins.  Delivering a batch twice changes
+      nothing;
     * dynamic partition overwrite writes into a staging folder and replaces
       the touched partitions only at job commit, after every task has read
       the old rows; a task lost mid-job is retried against unchanged files.
     """
     keys = keys or S.AGG_KEYS
-    new = batch_df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+    new = batch_df.withColumn("batch_id", F.lit(int(batch_id)).cast("long")).withColumn("run_id", F.lit(run_id))
     # partition values touched by this micro-batch: a few dates, metadata sized;
     # none means an empty batch.  As a literal IN-list they prune the scan below.
     touched = [r[0] for r in new.select(partition).distinct().toLocalIterator()]
     if not touched:
         return
+    both = new.withColumn("__rank", F.lit(1))
     if path_exists(spark, path):
-        old = spark.read.parquet(path).filter(F.col(partition).isin(touched))
-        merged = latest_per_key(old.unionByName(new.select(*old.columns)), keys, ["batch_id"])
-    else:
-        merged = new
+        old = spark.read.parquet(path).filter(F.col(partition).isin(touched)).select(*new.columns)
+        later = (F.col("run_id") == run_id) & (F.col("batch_id") > int(batch_id))
+        both = both.unionByName(old.withColumn("__rank", F.when(later, 2).otherwise(0)))
+    merged = latest_per_key(both, keys, ["__rank"]).drop("__rank")
     (
         merged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -92,50 +106,65 @@ def upsert_latest(
 
 
 def read_upserted(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("batch_id")
+    return spark.read.parquet(path).drop("batch_id", "run_id")
 
 
 # ---------------------------------------------------------------------------
-# K2: live rows appended per batch id, bounded by retention
+# K2: live rows appended by emit minute, bounded by retention
 # ---------------------------------------------------------------------------
 
+MINUTE_FORMAT = "yyyy-MM-dd_HH-mm"
+_LIVE_PARTITIONS = ["emit_minute", "run_id", "batch_id"]
 
-def append_batch(batch_df: DataFrame, batch_id: int, path: str) -> None:
-    """Write one micro-batch to its own ``batch_id=`` partition (overwrite):
-    delivering the same batch id twice leaves one copy."""
+
+def append_batch(batch_df: DataFrame, batch_id: int, path: str, run_id: str = "0", time_col: str = "emitted_at") -> None:
+    """Write one micro-batch under ``emit_minute=/run_id=/batch_id=`` (dynamic overwrite).
+
+    A batch that is delivered again replaces its own rows only; a new checkpoint
+    has another ``run_id``, so its batch 0 replaces nothing.
+    """
     (
-        batch_df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+        batch_df.withColumn("emit_minute", F.date_format(time_col, MINUTE_FORMAT))
+        .withColumn("run_id", F.lit(run_id))
+        .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
+        .partitionBy(*_LIVE_PARTITIONS)
         .parquet(path)
     )
 
 
+def read_live(spark: SparkSession, path: str, since=None) -> DataFrame:
+    """The live rows; ``since`` (a datetime) prunes the scan to newer emit minutes."""
+    table = spark.read.parquet(path)
+    if since is not None:
+        table = table.filter(F.col("emit_minute") >= since.strftime("%Y-%m-%d_%H-%M"))
+    return table.drop(*_LIVE_PARTITIONS)
+
+
 def within_retention(df: DataFrame, as_of, minutes: int = S.LIVE_RETENTION_MIN, col: str = "emitted_at") -> DataFrame:
     """Rows no older than ``minutes`` before ``as_of`` (a Column or timestamp literal)."""
     cutoff = as_of - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
     return df.filter(F.col(col) >= cutoff)
 
 
-def prune_batches(spark: SparkSession, path: str, as_of, minutes: int = S.LIVE_RETENTION_MIN) -> int:
-    """Delete whole ``batch_id`` partitions whose newest row is older than the
-    retention cutoff; returns how many were removed.  Only the partition ids
-    (one value per micro-batch) reach the driver."""
-    if not path_exists(spark, path):
+def prune_minutes(spark: SparkSession, path: str, as_of: datetime, minutes: int = S.LIVE_RETENTION_MIN) -> int:
+    """Delete the emit-minute folders that lie wholly before the retention; how many went.
+
+    Only folder names are read, and retention itself bounds their number.  Rows
+    without an arrival time stay, as no time comparison reaches them.
+    """
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
         return 0
-    df = spark.read.parquet(path)
-    cutoff = as_of - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
-    stale = (
-        df.groupBy("batch_id")
-        .agg(F.max("emitted_at").alias("newest"))
-        .filter(F.col("newest") < cutoff)
-        .select("batch_id")
-    )
-    ids = [r[0] for r in stale.toLocalIterator()]
-    for b in ids:
-        delete_path(spark, f"{path.rstrip('/')}/batch_id={b}")
-    return len(ids)
+    oldest = (as_of - timedelta(minutes=minutes)).strftime("%Y-%m-%d_%H-%M")
+    gone = 0
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        minute = name.removeprefix("emit_minute=")
+        if name != minute and minute[:1].isdigit() and minute < oldest:
+            gone += bool(fs.delete(st.getPath(), True))
+    return gone
 
 
 # ---------------------------------------------------------------------------
@@ -143,21 +172,60 @@ def prune_batches(spark: SparkSession, path: str, as_of, minutes: int = S.LIVE_R
 # ---------------------------------------------------------------------------
 
 
+CURRENT = "CURRENT"
+
+
 def write_snapshot(df: DataFrame, path: str) -> None:
-    """K3: replace the whole table (write to the path in overwrite mode)."""
-    df.write.mode("overwrite").parquet(path)
+    """K3: replace the whole table.
+
+    Rows go to a new version folder; then a pointer file is switched to it by one
+    rename.  Readers see the old version until then, and a crash leaves it whole.
+    Versions older than the one before are deleted.
+    """
+    spark = df.sparkSession
+    version = f"v-{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(f"{path.rstrip('/')}/{version}")
+    jvm = spark.sparkContext._jvm
+    fs, root = _fs(spark, path)
+    temporary = jvm.org.apache.hadoop.fs.Path(root, f"{CURRENT}.{version}")
+    out = fs.create(temporary, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    pointer = jvm.org.apache.hadoop.fs.Path(root, CURRENT)
+    if fs.exists(pointer):
+        fs.delete(pointer, False)
+    fs.rename(temporary, pointer)
+    old = sorted(st.getPath().getName() for st in fs.listStatus(root) if st.getPath().getName().startswith("v-"))
+    for name in old[:-2]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(root, name), True)
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The current version; while the pointer is being switched, the newest complete one."""
+    fs, root = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    if fs.exists(jvm.org.apache.hadoop.fs.Path(root, CURRENT)):
+        version = spark.read.text(f"{path.rstrip('/')}/{CURRENT}").first()[0]
+    else:
+        version = max(
+            st.getPath().getName() for st in fs.listStatus(root)
+            if st.getPath().getName().startswith("v-")
+            and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
+        )
+    return spark.read.parquet(f"{path.rstrip('/')}/{version}")
 
 
 def export_csv(spark: SparkSession, input_dir: str, output_dir: str) -> list[str]:
-    """K5: one CSV directory per parquet file stem; stems already exported are
-    skipped; '._*' files are ignored.  One Spark job per new file."""
+    """K5: one CSV directory per parquet file stem; finished stems are skipped;
+    '._*' files are ignored.  A target counts as finished only with its
+    ``_SUCCESS`` mark; a half-written one is written anew."""
     done = []
     for f in list_files(spark, input_dir, ".parquet"):
         stem = f.rsplit("/", 1)[-1][: -len(".parquet")]
         target = f"{output_dir.rstrip('/')}/{stem}"
-        if path_exists(spark, target):
+        if path_exists(spark, f"{target}/_SUCCESS"):
             continue
-        spark.read.parquet(f).write.mode("ignore").option("header", True).csv(target)
+        spark.read.parquet(f).write.mode("overwrite").option("header", True).csv(target)
         done.append(stem)
     return done
 

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..sinks.tables import append_batch
+from .. import schema as S
+from ..sinks.tables import append_batch, prune_minutes, run_id_of
 from ..sources.events import decode_events, live_rows
 
 
@@ -13,6 +18,11 @@ def live_plan(raw: DataFrame) -> DataFrame:
     return live_rows(decode_events(raw))
 
 
+def newest_arrival(batch_df: DataFrame) -> datetime | None:
+    """The feed's own clock: the newest arrival time in a micro-batch."""
+    return batch_df.agg(F.max("emitted_at")).first()[0]
+
+
 def run_live_stream(
     spark: SparkSession,
     raw: DataFrame,
@@ -20,14 +30,32 @@ def run_live_stream(
     checkpoint: str,
     trigger: dict | None = None,
     await_termination: bool = True,
+    retention_minutes: int | None = S.LIVE_RETENTION_MIN,
+    clock: Callable[[DataFrame], datetime | None] = newest_arrival,
 ):
-    """Append each micro-batch to its own ``batch_id=`` partition (overwrite),
+    """Append each micro-batch to the live table, then drop what retention has passed.
+
+    Rows lie under their emit minute, the checkpoint's id and the batch number,
     so a batch replayed after a failure replaces its own rows: exactly once per
-    batch id, where the row-by-row consumer was at-least-once."""
+    batch, where the row-by-row consumer was at-least-once.  ``clock`` gives the
+    present for retention: by default the newest arrival in the batch (a replay
+    then prunes as the live job would); pass ``lambda _: datetime.now(timezone.utc)``
+    for the wall clock, or ``retention_minutes=None`` to keep everything.
+    """
     rows = live_plan(raw)
+    run: dict[str, str] = {}
 
     def sink(batch_df: DataFrame, batch_id: int) -> None:
-        append_batch(batch_df, batch_id, target_path)
+        if "id" not in run:
+            run["id"] = run_id_of(spark, checkpoint)
+        batch_df.persist()
+        try:
+            append_batch(batch_df, batch_id, target_path, run["id"])
+            now = clock(batch_df) if retention_minutes is not None else None
+        finally:
+            batch_df.unpersist()
+        if now is not None:
+            prune_minutes(spark, target_path, now, retention_minutes)
 
     q = (
         rows.writeStream.outputMode("append")

@@ -1,46 +1,47 @@
 """File-backed event feed for Structured Streaming runs and tests.
 
 The broker is replaced by a directory of JSON-lines files (one payload per
-line, column ``value`` when read as text).  Files are written in event-time
-order, one slice per job, so a file stream with ``maxFilesPerTrigger=1``
-delivers them as successive micro-batches in time order, the way a broker
-partition would.
+line, column ``value`` when read as text).  One distributed write makes the files:
+rows are range-partitioned by event time and sorted inside each file, so the
+files hold disjoint, ascending time spans.  Their modification times are then
+set in that order (metadata only), which is the order in which a file stream
+delivers them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from ..sinks.tables import _fs
+
+#: modification times are this far apart, in milliseconds
+STEP_MS = 2000
 
 
 def write_time_slices(
     events: DataFrame,
     time_col: str,
     directory: str,
-    slice_minutes: int = 60,
+    slices: int = 6,
     value_col: str = "value",
 ) -> int:
-    """Append one text file per ``slice_minutes`` of ``time_col`` to
-    ``directory``, oldest slice first; returns the number of slices.
+    """Write ``events`` as at most ``slices`` files of ascending time; returns how many.
 
-    Only the slice keys (bounded by the covered time span) reach the driver;
-    each slice is written by the executors in its own job.
+    Equal times stay in one file.  Only file names reach the driver.
     """
-    from ..session import materialize
-
-    # computed once; every slice job then reads the materialised rows
-    sliced = materialize(
-        events.withColumn(
-            "__slice", F.floor(F.unix_seconds(F.col(time_col)) / F.lit(slice_minutes * 60)).cast("long")
-        )
+    spark = events.sparkSession
+    (
+        events.repartitionByRange(slices, time_col)
+        .sortWithinPartitions(time_col)
+        .select(value_col)
+        .write.text(directory)
+    )
+    fs, root = _fs(spark, directory)
+    files = sorted(
+        (st.getPath() for st in fs.listStatus(root) if st.getPath().getName().startswith("part-")),
+        key=lambda p: p.getName(),
     )
-    keys = [r[0] for r in sliced.select("__slice").distinct().orderBy("__slice").toLocalIterator()]
-    for k in keys:
-        (
-            sliced.filter(F.col("__slice") == k)
-            .select(value_col)
-            .coalesce(1)
-            .write.mode("append")
-            .text(directory)
-        )
-    return len(keys)
+    newest = max((fs.getFileStatus(p).getModificationTime() for p in files), default=0)
+    for n, p in enumerate(files):
+        fs.setTimes(p, newest - STEP_MS * (len(files) - 1 - n), -1)
+    return len(files)

@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import schema as S
 from ..operators.aggregate import sliding_traffic_agg
-from ..operators.quality import clean_stream, derive_duration_speed
-from ..sinks.tables import upsert_latest
+from ..operators.quality import clean_stream
+from ..sinks.tables import run_id_of, upsert_latest
 from ..sources.events import decode_events, parse_event_times
 
 
 def traffic_plan(raw: DataFrame, watermark: str = S.WATERMARK) -> DataFrame:
     """Payload stream (``value``) -> decoded -> F1 -> watermark -> A1."""
     parsed = parse_event_times(decode_events(raw))
-    cleaned = clean_stream(derive_duration_speed(parsed))
+    cleaned = clean_stream(parsed)
     return sliding_traffic_agg(cleaned.withWatermark("pickup_ts", watermark))
 
 
@@ -35,13 +35,16 @@ def run_traffic_stream(
     first run for the expected key volume.
     """
     agg = traffic_plan(raw)
+    run: dict[str, str] = {}
 
     def sink(batch_df: DataFrame, batch_id: int) -> None:
+        if "id" not in run:
+            run["id"] = run_id_of(spark, checkpoint)
         # the sink runs more than one action on the micro-batch: keep it so the
         # stateful aggregation is not executed again for each of them
         batch_df.persist()
         try:
-            upsert_latest(spark, batch_df, batch_id, target_path)
+            upsert_latest(spark, batch_df, batch_id, target_path, run_id=run["id"])
         finally:
             batch_df.unpersist()
 
