@@ -1,9 +1,8 @@
-"""Dimension helpers: size-checked broadcast and zone lookups.
+"""Zone labels (P11): one left join per id column, whatever the dimension's size.
 
-A dimension is only shipped whole to every task (broadcast hint or scalar
-subquery) after its row count has been checked against a bound.  Beyond the
-bound the plain join is used and Spark/AQE choose the strategy from measured
-sizes.
+The dimension is first reduced to one name per id (the last one wins), so the
+join never multiplies rows; the adaptive planner broadcasts it when its measured
+bytes are small.
 """
 
 from __future__ import annotations
@@ -13,40 +12,20 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 
-# Upper bound on rows we ship to every task as a broadcast dimension.
-MAX_BROADCAST_ROWS = 1_000_000
-# Upper bound on zones embedded as one array value in the plan (nearest-zone).
-MAX_ZONE_ARRAY = 100_000
 
-
-class DimensionTooLarge(ValueError):
-    pass
-
-
-def row_count_at_most(df: DataFrame, bound: int) -> bool:
-    """True when ``df`` has at most ``bound`` rows (reads at most bound+1 rows)."""
-    return df.limit(bound + 1).count() <= bound
-
-
-def bounded_broadcast(df: DataFrame, bound: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if row_count_at_most(df, bound) else df
-
-
-def zone_name_map(zones: DataFrame) -> Column:
-    """Scalar-subquery map location_id -> zone_name (zones must be size-checked)."""
-    return zones.select(
-        F.map_from_entries(
-            F.collect_list(F.struct(F.col("location_id"), F.col("zone_name")))
-        )
-    ).scalar()
+def one_per_zone(zones: DataFrame, *columns: str) -> DataFrame:
+    """``zones`` with one row per location_id: of repeated ids the last row's columns."""
+    value = F.struct(*columns)
+    return (
+        zones.withColumn("__place", F.monotonically_increasing_id())
+        .groupBy("location_id").agg(F.max(F.struct("__place", value.alias("v"))).alias("__last"))
+        .select("location_id", *(F.col(f"__last.v.{c}").alias(c) for c in columns))
+    )
 
 
-def label_zone(zone_id: Column, names: Column, prefix: str = S.UNKNOWN_ZONE_PREFIX) -> Column:
+def label(name: Column, zone_id: Column, prefix: str = S.UNKNOWN_ZONE_PREFIX) -> Column:
     """Zone name, or '<prefix><id>' when the id has no (non-empty) name."""
-    name = F.try_element_at(names, zone_id)
-    fallback = F.concat(F.lit(prefix), zone_id.cast("string"))
-    return F.when((name.isNotNull()) & (name != ""), name).otherwise(fallback)
+    return F.when(name.isNotNull() & (name != ""), name).otherwise(F.concat(F.lit(prefix), zone_id.cast("string")))
 
 
 def add_zone_labels(
@@ -55,23 +34,12 @@ def add_zone_labels(
     cols: dict[str, str],
     prefix: str = S.UNKNOWN_ZONE_PREFIX,
 ) -> DataFrame:
-    """Add a label column per {id_col: label_col} via a bounded broadcast join."""
-    z = zones.select(F.col("location_id"), F.col("zone_name"))
-    if not row_count_at_most(z, MAX_BROADCAST_ROWS):
-        # Large dimension: plain equi-joins; AQE picks the join strategy.
-        out = df
-        for id_col, label_col in cols.items():
-            zz = z.select(F.col("location_id").alias(f"__id_{label_col}"), F.col("zone_name").alias(f"__nm_{label_col}"))
-            out = out.join(zz, out[id_col] == zz[f"__id_{label_col}"], "left")
-            nm = F.col(f"__nm_{label_col}")
-            out = out.withColumn(
-                label_col,
-                F.when(nm.isNotNull() & (nm != ""), nm).otherwise(
-                    F.concat(F.lit(prefix), F.col(id_col).cast("string"))
-                ),
-            ).drop(f"__id_{label_col}", f"__nm_{label_col}")
-        return out
-    names = zone_name_map(z)
-    return df.select(
-        "*", *[label_zone(F.col(i), names, prefix).alias(lbl) for i, lbl in cols.items()]
-    )
+    """Add a label column per {id_col: label_col}."""
+    names = one_per_zone(zones, "zone_name")
+    out = df
+    for id_col, label_col in cols.items():
+        side = names.select(F.col("location_id").alias("__zid"), F.col("zone_name").alias("__name"))
+        out = out.join(side, F.col(id_col) == F.col("__zid"), "left").withColumn(
+            label_col, label(F.col("__name"), F.col(id_col), prefix)
+        ).drop("__zid", "__name")
+    return out

@@ -1,36 +1,35 @@
-"""Nearest-zone lookup (J1 Euclidean, J2 haversine) and the city box.
+"""Nearest-zone lookup (J1 Euclidean, J2 haversine).
 
 Plan shape
 ----------
-1. Round coordinates to 3 dp (about 100 m) and take the DISTINCT pairs: the
-   partial aggregate collapses duplicates map-side, so even a single hot
-   coordinate holding a third of all rows becomes one row per partition.
-2. Snap each distinct pair with a pure projection: the zone table, after a
-   row-count check, is embedded once as an array via a scalar subquery and
-   ``array_min(transform(zones, z -> (distance, id)))`` picks the nearest
-   (ties: lowest id).  No cross join, no nested-loop join, no UDF.
-3. Equi-join the snapped pairs back on the rounded key.  The distinct table is
-   bounded by the coordinate resolution; AQE broadcasts it when it measures
-   small, otherwise a shuffle join with skew splitting is used.
-
-Beyond the zone-array bound an exact grid search is used instead (see
-``nearest_zone_grid``).
+1. Round coordinates to 3 dp (about 100 m); all coordinate pairs of a row are
+   read in one pass and the DISTINCT points kept: the partial aggregate collapses
+   duplicates map-side, so a hot coordinate becomes one row per partition.  Rows
+   that need no lookup stay out of it.
+2. The zone dimension is cut into blocks of ``ZONES_PER_BLOCK`` zones, each an
+   array in one row.  Every distinct point meets every block (an equi-join on the
+   block number; the blocks are broadcast, their number is checked), takes the
+   nearest zone of each by ``array_min(transform(...))`` and keeps the least
+   (distance, id).  All zones are compared by the metric itself, so the answer is
+   exact for any coordinates, also across the antimeridian; ties go to the
+   lowest id.
+3. The snapped points are joined back on the rounded key.  A row without a
+   lookup carries a key of its own that matches nothing, so such rows spread
+   evenly instead of meeting under one null key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import euclid_sq, haversine, rounded
 from ..functions.numeric import round_half_even
-from ..session import materialize
-from .dims import MAX_ZONE_ARRAY, row_count_at_most
 
 COORD_DIGITS = 3
-# Broadcast bound for the snapped (lat, lon) -> zone table (3-dp points inside
-# the city box number about 600,000).
-MAX_SNAPPED_BROADCAST = 2_000_000
+ZONES_PER_BLOCK = 512
+#: proven bound of the broadcast blocks (24 bytes a zone)
+MAX_ZONES = 1_000_000
 
 
 def _metric_fn(metric: str):
@@ -41,24 +40,28 @@ def _metric_fn(metric: str):
     raise ValueError(f"unknown metric {metric!r}")
 
 
-def zone_array(zones: DataFrame) -> Column:
-    """Scalar-subquery Column: array<struct<id, lat, lon>> of zones with coordinates."""
-    z = zones.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    return z.select(
-        F.collect_list(
-            F.struct(
-                F.col("location_id").alias("id"),
-                F.col("latitude").cast("double").alias("lat"),
-                F.col("longitude").cast("double").alias("lon"),
-            )
-        )
-    ).scalar()
+def zone_blocks(zones: DataFrame) -> DataFrame:
+    """block, zones (array of id, lat, lon) for the zones that have coordinates.
+
+    The single-task numbering is over the dimension only; a dimension beyond
+    ``MAX_ZONES`` fails with an error instead of being broadcast.
+    """
+    z = zones.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(
+        F.col("location_id").alias("id"), F.col("latitude").cast("double").alias("lat"),
+        F.col("longitude").cast("double").alias("lon"),
+    )
+    place = F.row_number().over(Window.orderBy("id", "lat", "lon"))
+    checked = F.when(place > MAX_ZONES, F.raise_error(F.lit(f"more than {MAX_ZONES} zones")).cast("int")).otherwise(place)
+    return (
+        z.withColumn("__block", F.floor((checked - 1) / ZONES_PER_BLOCK).cast("int"))
+        .groupBy("__block").agg(F.collect_list(F.struct("id", "lat", "lon")).alias("__zones"))
+    )
 
 
 def nearest_in_array(lat: Column, lon: Column, zarr: Column, metric: str = "euclid") -> Column:
-    """Id of the nearest zone in ``zarr``; null when a coordinate is null."""
+    """(distance, id) of the nearest zone in ``zarr``."""
     dist = _metric_fn(metric)
-    best = F.array_min(
+    return F.array_min(
         F.transform(
             zarr,
             lambda z: F.struct(
@@ -66,7 +69,19 @@ def nearest_in_array(lat: Column, lon: Column, zarr: Column, metric: str = "eucl
             ),
         )
     )
-    return F.when(lat.isNotNull() & lon.isNotNull(), best["id"])
+
+
+def snap(points: DataFrame, zones: DataFrame, lat: str, lon: str, out: str, metric: str = "euclid") -> DataFrame:
+    """lat, lon, ``out``: the nearest zone of each distinct point."""
+    blocks = zone_blocks(zones)
+    last = blocks.select(F.max("__block")).scalar()
+    each = points.select(lat, lon).withColumn("__block", F.explode(F.sequence(F.lit(0), F.coalesce(last, F.lit(0)))))
+    return (
+        each.join(F.broadcast(blocks), "__block")
+        .select(lat, lon, nearest_in_array(F.col(lat), F.col(lon), F.col("__zones"), metric).alias("__best"))
+        .groupBy(lat, lon).agg(F.min("__best").alias("__best"))
+        .select(lat, lon, F.col("__best.id").alias(out))
+    )
 
 
 def nearest_zone(
@@ -86,113 +101,34 @@ def nearest_zones(
     zones: DataFrame,
     points: list[tuple[str, str, str]],
     metric: str = "euclid",
+    unless: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Add one nearest-zone column per (lat, lon, out) coordinate pair.
+    """Add one nearest-zone column per (lat, lon, out); null without coordinates.
 
-    All pairs share one snapped table: the distinct rounded points of every
-    pair are unioned, snapped once and written once, then joined back per pair.
+    ``unless``: out column -> condition under which a row needs no lookup.
     """
-    keyed = df
-    rounded_pairs = []
-    for i, (lat, lon, _) in enumerate(points):
-        la, lo = f"__lat_r{i}", f"__lon_r{i}"
-        keyed = keyed.withColumn(la, round_half_even(F.col(lat), COORD_DIGITS)).withColumn(
-            lo, round_half_even(F.col(lon), COORD_DIGITS)
-        )
-        rounded_pairs.append((la, lo))
-    coords = None
-    for la, lo in rounded_pairs:
-        c = keyed.select(F.col(la).alias("__lat_r"), F.col(lo).alias("__lon_r")).filter(
-            F.col("__lat_r").isNotNull() & F.col("__lon_r").isNotNull()
+    unless = unless or {}
+    keyed, keys = df, []
+    for i, (lat, lon, out) in enumerate(points):
+        la, lo = f"__lat{i}", f"__lon{i}"
+        wanted = F.col(lat).isNotNull() & F.col(lon).isNotNull()
+        if out in unless:
+            wanted = wanted & ~F.coalesce(unless[out], F.lit(False))
+        keyed = keyed.withColumn(la, F.when(wanted, round_half_even(F.col(lat), COORD_DIGITS))).withColumn(
+            lo, F.when(wanted, round_half_even(F.col(lon), COORD_DIGITS))
         )
-        coords = c if coords is None else coords.unionByName(c)
-    coords = coords.distinct()
-    if row_count_at_most(zones, MAX_ZONE_ARRAY):
-        # The scalar subquery runs once; its value is projected as a column so
-        # the lambda below can read it (subqueries are not allowed in lambdas).
-        snapped = coords.withColumn("__zones", zone_array(zones)).select(
-            "__lat_r",
-            "__lon_r",
-            nearest_in_array(F.col("__lat_r"), F.col("__lon_r"), F.col("__zones"), metric).alias("__zone"),
-        )
-    else:
-        snapped = nearest_zone_grid(coords, zones, "__lat_r", "__lon_r", "__zone", metric)
-    # The snapped table is small (distinct 3-dp points); write it once, then
-    # broadcast it only if its row count proves it small.  Otherwise a shuffle
-    # join, where AQE splits a hot coordinate's partition.
-    snapped = materialize(snapped, "nearest-zone")
-    side = F.broadcast(snapped) if row_count_at_most(snapped, MAX_SNAPPED_BROADCAST) else snapped
-    out_df = keyed
-    for (la, lo), (_, _, out) in zip(rounded_pairs, points):
-        s_i = side.select(F.col("__lat_r").alias(la), F.col("__lon_r").alias(lo), F.col("__zone").alias(out))
-        out_df = out_df.join(s_i, [la, lo], "left").drop(la, lo)
-    return out_df
-
-
-def nearest_zone_grid(
-    coords: DataFrame,
-    zones: DataFrame,
-    lat: str,
-    lon: str,
-    out: str,
-    metric: str,
-    cell_deg: float = 0.05,
-    levels: int = 15,
-) -> DataFrame:
-    """Exact nearest zone for zone tables too large to embed, via a grid search.
-
-    Level L uses square cells of ``cell_deg * 2**L`` degrees.  Each pending point
-    is equi-joined with the zones of its own and the 8 neighbouring cells; it is
-    final once its best distance is provably shorter than anything outside that
-    3x3 block.  Unresolved points go to the next (coarser) level; at the last
-    level the block spans the whole globe, so every zone is a candidate and the
-    answer is exact.  Points are normally resolved at level 0 or 1.
-    """
-    dist = _metric_fn(metric)
-    offs = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"))
-                     for dy in (-1, 0, 1) for dx in (-1, 0, 1)])
-    resolved = None
-    pending = coords.select(lat, lon)
-    for level in range(levels + 1):
-        size = cell_deg * (2 ** level)
-        last = level == levels
-        z = zones.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(
-            F.col("location_id").alias("__zid"),
-            F.col("latitude").alias("__zlat"),
-            F.col("longitude").alias("__zlon"),
-            F.floor(F.col("latitude") / size).cast("long").alias("__cy"),
-            F.floor(F.col("longitude") / size).cast("long").alias("__cx"),
-        )
-        py = F.floor(F.col(lat) / size).cast("long")
-        px = F.floor(F.col(lon) / size).cast("long")
-        cand = pending.select(lat, lon, py.alias("__py"), px.alias("__px"), F.explode(offs).alias("__o"))
-        cand = cand.select(lat, lon, "__py", "__px",
-                           (F.col("__py") + F.col("__o.dy")).alias("__cy"),
-                           (F.col("__px") + F.col("__o.dx")).alias("__cx"))
-        j = cand.join(z, ["__cy", "__cx"], "inner").select(
-            lat, lon, "__py", "__px",
-            F.struct(rounded(dist(F.col(lat), F.col(lon), F.col("__zlat"), F.col("__zlon"))).alias("d"),
-                     F.col("__zid").alias("id")).alias("__c"),
-        )
-        best = j.groupBy(lat, lon, "__py", "__px").agg(F.min("__c").alias("__b"))
-        edge = F.least(
-            F.col(lat) - (F.col("__py") - 1) * size,
-            (F.col("__py") + 2) * size - F.col(lat),
-            F.col(lon) - (F.col("__px") - 1) * size,
-            (F.col("__px") + 2) * size - F.col(lon),
-        )
-        if metric == "euclid":
-            safe = edge * edge
-        else:
-            # lower bound of the central angle to any point outside the block
-            safe = F.radians(edge) * F.cos(F.radians(F.least(F.abs(F.col(lat)) + 2 * size, F.lit(90.0))))
-        ok = best if last else best.filter(F.col("__b.d") <= safe)
-        ok = materialize(ok.select(lat, lon, F.col("__b.id").alias(out)), "nearest-level")
-        resolved = ok if resolved is None else resolved.unionByName(ok)
-        if last:
-            break
-        pending = materialize(pending.join(ok.select(lat, lon), [lat, lon], "left_anti"), "nearest-pending")
-        if pending.isEmpty():
-            break
-    return resolved
-
+        keys.append((la, lo))
+    pairs = F.array(*(F.struct(F.col(la).alias("lat"), F.col(lo).alias("lon")) for la, lo in keys))
+    distinct = (
+        keyed.select(F.explode(pairs).alias("__p")).select(F.col("__p.lat").alias("__lat"), F.col("__p.lon").alias("__lon"))
+        .filter("__lat is not null and __lon is not null").distinct()
+    )
+    snapped = snap(distinct, zones, "__lat", "__lon", "__zone", metric)
+    result = keyed
+    for (la, lo), (_, _, out) in zip(keys, points):
+        side = snapped.select(F.col("__lat").alias("__la"), F.col("__lon").alias("__lo"), F.col("__zone").alias(out))
+        # no coordinate reaches this far, so such a key matches nothing
+        own = F.coalesce(F.col(la), F.lit(1e6) + F.monotonically_increasing_id())
+        result = result.withColumn(la, own).join(side, (F.col(la) == F.col("__la")) & (F.col(lo) == F.col("__lo")), "left")
+        result = result.drop("__la", "__lo", la, lo)
+    return result

@@ -35,8 +35,6 @@ def newest(live: DataFrame, n: int = S.LIVE_SAMPLE) -> DataFrame:
 def kpi_row(sample: DataFrame, zones: DataFrame) -> DataFrame:
     """A11 + A16: sample size, mean fare and miles, hottest pickup zone
     (most frequent, lowest id on ties) and the newest arrival."""
-    from .dims import label_zone, zone_name_map
-
     agg = sample.agg(
         F.count(F.lit(1)).alias("n"),
         F.avg("total_amount").alias("avg_fare"),
@@ -44,13 +42,19 @@ def kpi_row(sample: DataFrame, zones: DataFrame) -> DataFrame:
         F.mode("pu_location_id", deterministic=True).alias("hottest_zone_id"),
         F.max("emitted_at").alias("latest_emitted_at"),
     )
-    names = zone_name_map(zones)
-    return agg.withColumn("hottest_zone", label_zone(F.col("hottest_zone_id"), names, prefix="Zone "))
+    return add_zone_labels(agg, zones, {"hottest_zone_id": "hottest_zone"}, prefix="Zone ")
 
 
-def live_table(sample: DataFrame, zones: DataFrame, n: int = S.LIVE_TABLE_ROWS) -> DataFrame:
-    """W5 + P13: top rows of the sample with display text."""
+def live_table(
+    sample: DataFrame, zones: DataFrame, n: int = S.LIVE_TABLE_ROWS, tips: DataFrame | None = None
+) -> DataFrame:
+    """W5 + P13: top rows of the sample with display text.  ``tips`` (event_id, model_tip)
+    are the model's estimates; without a model the column is null."""
     top = newest(sample, n)
+    if tips is None:
+        top = top.withColumn("model_tip", F.lit(None).cast("double"))
+    else:
+        top = top.join(tips.select("event_id", "model_tip"), "event_id", "left")
     labelled = add_zone_labels(
         top, zones, {"pu_location_id": "pickup_name", "do_location_id": "dropoff_name"}
     )
@@ -61,9 +65,18 @@ def live_table(sample: DataFrame, zones: DataFrame, n: int = S.LIVE_TABLE_ROWS)
         "dropoff_name",
         F.format_string("%.1f mi", round_half_even("trip_distance", 1)).alias("miles_text"),
         round_half_even("total_amount", 2).alias("fare"),
+        round_half_even("model_tip", 2).alias("model_tip"),
     )
 
 
+def station_hover(stations: DataFrame, with_total: bool = False) -> DataFrame:
+    """Hover text of the map markers (the popular ones also state their total)."""
+    count = lambda text, c: F.concat(F.lit(f"<br>{text}: "), F.col(c).cast("string"))
+    total = [count("Total", "total_trips")] if with_total else []
+    text = F.concat(F.col("zone_name"), *total, count("Pickup", "pickup_trips"), count("Dropoff", "dropoff_trips"))
+    return stations.withColumn("hover_text", text)
+
+
 def station_popularity(sample: DataFrame, zones: DataFrame) -> DataFrame:
     """J4 + A13: every zone with pickup / dropoff counts of the sample (0 fill)."""
     pick = sample.groupBy(F.col("pu_location_id").alias("location_id")).agg(

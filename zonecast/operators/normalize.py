@@ -6,38 +6,47 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.numeric import parse_zone_id, to_double
+from ..functions.numeric import nan_to_null, parse_zone_id, to_double
 from ..functions.timefn import add_days
 from .geo import nearest_zones
 
 
-def coalesce_alias(df: DataFrame, names: list[str], cast: str | None = None) -> Column:
-    """First non-null among the aliases present in ``df`` (in list order)."""
-    present = [F.col(c) for c in names if c in df.columns]
-    if not present:
-        out = F.lit(None)
-    elif len(present) == 1:
-        out = present[0]
-    else:
-        out = F.coalesce(*present)
+def _present(df: DataFrame, name: str) -> Column:
+    """The column, with NaN as missing (so that it cannot hide a later alias)."""
+    c = F.col(name)
+    return nan_to_null(c) if dict(df.dtypes)[name] in ("float", "double") else c
+
+
+def coalesce_alias(df: DataFrame, names: list[str], cast: str | None = None, by_schema: bool = False) -> Column:
+    """First non-null among the aliases present in ``df`` (in list order).
+
+    ``by_schema``: the first alias that ``df`` has, for all its rows.
+    """
+    present = [_present(df, c) for c in names if c in df.columns][: 1 if by_schema else None]
+    out = F.coalesce(*present) if present else F.lit(None)
     return out.cast(cast) if cast else out
 
 
-def canonical(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Resolve every alias list to one canonical column (absent -> null)."""
+def canonical(df: DataFrame, keep: list[str] | None = None, by_schema: bool = False) -> DataFrame:
+    """Resolve every alias list to one canonical column (absent -> null).
+
+    Row by row for the event producer; ``by_schema`` for the trainer, which picks
+    one column per file and drops rows where that one is null.
+    """
+    pick = lambda names, cast=None: coalesce_alias(df, names, cast, by_schema)
     cols = [
-        coalesce_alias(df, S.PICKUP_ALIASES, "timestamp").alias("pickup_datetime"),
-        coalesce_alias(df, S.DROPOFF_ALIASES, "timestamp").alias("dropoff_datetime"),
-        to_double(coalesce_alias(df, S.PASSENGER_ALIASES)).alias("passenger_count"),
-        to_double(coalesce_alias(df, S.DISTANCE_ALIASES)).alias("trip_distance"),
-        coalesce_alias(df, S.PU_LOCATION_ALIASES).alias("pu_location_raw"),
-        coalesce_alias(df, S.DO_LOCATION_ALIASES).alias("do_location_raw"),
-        to_double(coalesce_alias(df, S.PICKUP_LAT_ALIASES)).alias("pickup_latitude"),
-        to_double(coalesce_alias(df, S.PICKUP_LON_ALIASES)).alias("pickup_longitude"),
-        to_double(coalesce_alias(df, S.DROPOFF_LAT_ALIASES)).alias("dropoff_latitude"),
-        to_double(coalesce_alias(df, S.DROPOFF_LON_ALIASES)).alias("dropoff_longitude"),
-        to_double(coalesce_alias(df, S.AMOUNT_ALIASES)).alias("total_amount"),
-        to_double(coalesce_alias(df, S.TIP_ALIASES)).alias("tip_amount"),
+        pick(S.PICKUP_ALIASES, "timestamp").alias("pickup_datetime"),
+        pick(S.DROPOFF_ALIASES, "timestamp").alias("dropoff_datetime"),
+        to_double(pick(S.PASSENGER_ALIASES)).alias("passenger_count"),
+        to_double(pick(S.DISTANCE_ALIASES)).alias("trip_distance"),
+        pick(S.PU_LOCATION_ALIASES).alias("pu_location_raw"),
+        pick(S.DO_LOCATION_ALIASES).alias("do_location_raw"),
+        to_double(pick(S.PICKUP_LAT_ALIASES)).alias("pickup_latitude"),
+        to_double(pick(S.PICKUP_LON_ALIASES)).alias("pickup_longitude"),
+        to_double(pick(S.DROPOFF_LAT_ALIASES)).alias("dropoff_latitude"),
+        to_double(pick(S.DROPOFF_LON_ALIASES)).alias("dropoff_longitude"),
+        to_double(pick(S.AMOUNT_ALIASES)).alias("total_amount"),
+        to_double(pick(S.TIP_ALIASES)).alias("tip_amount"),
     ]
     return df.select(*(keep or []), *cols)
 
@@ -68,6 +77,7 @@ def normalize_events(df: DataFrame, zones: DataFrame, keep: list[str] | None = N
         zones,
         [("pickup_latitude", "pickup_longitude", "pu_snap"), ("dropoff_latitude", "dropoff_longitude", "do_snap")],
         "euclid",
+        unless={"pu_snap": F.col("pu_id").isNotNull(), "do_snap": F.col("do_id").isNotNull()},
     )
     pick = F.col("pickup_datetime")
     drop = F.col("dropoff_datetime")

@@ -43,48 +43,47 @@ def evaluate_once(df: DataFrame) -> DataFrame:
 
 
 def _between_strict(c: str, lo: float, hi: float) -> Column:
+    # the upper bound also rejects NaN, which Spark orders above every number
     return (F.col(c) > F.lit(lo)) & (F.col(c) < F.lit(hi))
 
 
-def stream_quality(pickup: str = "pickup_ts", dropoff: str = "dropoff_ts") -> Column:
-    """times present, strict duration/distance/speed bounds, pickup zone > 0."""
-    return (
-        F.col(pickup).isNotNull()
-        & F.col(dropoff).isNotNull()
-        & _between_strict("duration_min", S.MIN_DURATION_MIN, S.MAX_DURATION_MIN)
+def raw_quality(pickup: str = "pickup_ts", dropoff: str = "dropoff_ts", training: bool = False) -> Column:
+    """The part of F1 (and F2) that needs no derived measure: times present, distance and
+    zone in range, for training also amount and tip.  It sits below the derivation,
+    next to the scan."""
+    rule = (
+        F.col(pickup).isNotNull() & F.col(dropoff).isNotNull()
         & _between_strict("trip_distance", S.MIN_DISTANCE_MI, S.MAX_DISTANCE_MI)
-        & _between_strict("speed_mph", S.MIN_SPEED_MPH, S.MAX_SPEED_MPH)
         & (F.col("pu_location_id") > 0)
     )
+    if training:
+        rule = (
+            rule & _between_strict("total_amount", S.MIN_AMOUNT, S.MAX_AMOUNT)
+            & (F.col("tip_amount") >= F.lit(S.MIN_TIP)) & (F.col("tip_amount") < F.lit(S.MAX_TIP))
+        )
+    return rule
+
+
+def measured_quality() -> Column:
+    """The part of F1 on duration and speed."""
+    return _between_strict("duration_min", S.MIN_DURATION_MIN, S.MAX_DURATION_MIN) & _between_strict(
+        "speed_mph", S.MIN_SPEED_MPH, S.MAX_SPEED_MPH
+    )
 
 
 def clean_stream(df: DataFrame, pickup: str = "pickup_ts", dropoff: str = "dropoff_ts") -> DataFrame:
-    """F1 applied.  NaN measures never pass (NaN is first turned into null)."""
-    return df.filter(F.coalesce(stream_quality(pickup, dropoff), F.lit(False)) & _no_nan())
-
-
-def _no_nan() -> Column:
-    return ~F.isnan(F.col("trip_distance")) & ~F.isnan(F.col("speed_mph"))
-
-
-def training_quality(pickup: str = "pickup_ts", dropoff: str = "dropoff_ts") -> Column:
-    """F2 = F1 + 0 < amount < 500, tip present with 0 <= tip < 100."""
-    return (
-        stream_quality(pickup, dropoff)
-        & _between_strict("total_amount", S.MIN_AMOUNT, S.MAX_AMOUNT)
-        & F.col("tip_amount").isNotNull()
-        & (F.col("tip_amount") >= F.lit(S.MIN_TIP))
-        & (F.col("tip_amount") < F.lit(S.MAX_TIP))
-    )
+    """the passing rows with ``duration_min`` (whole seconds) and ``speed_mph``.
+    Null and NaN never pass."""
+    raw = df.filter(raw_quality(pickup, dropoff))
+    return derive_duration_speed(raw, pickup, dropoff).filter(measured_quality())
 
 
 def clean_training(
     df: DataFrame, pickup: str = "pickup_ts", dropoff: str = "dropoff_ts"
 ) -> DataFrame:
-    nan_free = (
-        _no_nan() & ~F.isnan(F.col("total_amount")) & ~F.isnan(F.col("tip_amount"))
-    )
-    return df.filter(F.coalesce(training_quality(pickup, dropoff) & nan_free, F.lit(False)))
+    """F2 = F1 with fractional durations + 0 < amount < 500, 0 <= tip < 100."""
+    raw = df.filter(raw_quality(pickup, dropoff, training=True))
+    return derive_duration_speed(raw, pickup, dropoff, fractional=True).filter(measured_quality())
 
 
 def in_box(lat: str = "pickup_latitude", lon: str = "pickup_longitude") -> Column:

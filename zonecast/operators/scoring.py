@@ -57,7 +57,10 @@ def zone_predictions(latest: DataFrame, tip_pred: Column, generated_at: Column)
     do not depend on the summation order.
     """
     tip = F.greatest(round_half_even(tip_pred, 9), F.lit(0.0))
-    fare = F.greatest(F.coalesce(F.col("avg_total_amount"), F.lit(0.0)), F.lit(0.0))
+    if "avg_total_amount" in latest.columns:
+        fare = F.greatest(F.coalesce(F.col("avg_total_amount"), F.lit(0.0)), F.lit(0.0))
+    else:  # M8 without amounts
+        fare = tip * F.lit(S.FARE_FROM_TIP_FACTOR)
     s = with_surge(latest)
     return s.select(
         "pu_location_id",
@@ -76,6 +79,12 @@ def zone_predictions(latest: DataFrame, tip_pred: Column, generated_at: Column)
     )
 
 
+def prediction_defaults(pred: DataFrame) -> DataFrame:
+    """K3: what a stored prediction has in place of null: 0 for counts and measures, surge 1.0."""
+    zero = {c: 0 for c in ("trip_count", "avg_speed_mph", "avg_trip_distance", "predicted_avg_fare", "predicted_tip_low", "predicted_tip_high")}
+    return pred.fillna(zero | {"surge_multiplier": S.SURGE_MIN})
+
+
 def latest_predictions(pred: DataFrame) -> DataFrame:
     """W3 + P12: newest prediction per zone, renamed for display, midpoint tip."""
     latest = latest_per_key(

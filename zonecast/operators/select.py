@@ -1,9 +1,8 @@
 """Dedup, latest-per-key, top-n and positional splits.
 
-Latest/first-per-key use ``max_by``/``min_by`` aggregates rather than a
-``row_number`` window: they run as partial + final aggregation, so a key
-holding a third of all rows is reduced map-side instead of being sorted in
-one task.
+Latest/first-per-key number the rows of a key and keep number 1.  Spark turns
+that filter into a group limit before the shuffle, so each task sends at most
+one row per key, and a key holding a third of all rows is not gathered.
 """
 
 from __future__ import annotations
@@ -13,23 +12,16 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from .dims import bounded_broadcast
-
-# 10-minute windows over 38 years; offsets beyond this use a shuffle join
-MAX_OFFSET_ROWS = 2_000_000
 
 
 def latest_per_key(
     df: DataFrame, keys: list[str], order: list[str | Column], latest: bool = True
 ) -> DataFrame:
-    """One row per key: the row with the greatest (or least) ``order`` tuple."""
-    value_cols = [c for c in df.columns if c not in keys]
-    ordering = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
-    payload = F.struct(*[F.col(c) for c in value_cols])
-    pick = F.max_by if latest else F.min_by
-    return df.groupBy(*keys).agg(pick(payload, ordering).alias("__row")).select(
-        *keys, *[F.col(f"__row.{c}").alias(c) for c in value_cols]
-    )
+    """One row per key: the row with the greatest (or least) ``order`` tuple (null is least)."""
+    columns = [F.col(o) if isinstance(o, str) else o for o in order]
+    ordering = [c.desc_nulls_last() if latest else c.asc_nulls_first() for c in columns]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering))
+    return df.withColumn("__place", place).filter(F.col("__place") == 1).drop("__place")
 
 
 def dedup_first(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
@@ -68,11 +60,11 @@ def global_row_number(
         ).alias("__off"),
     )
     local = F.row_number().over(Window.partitionBy(group).orderBy(*within))
-    # offsets: one row per group value (calendar-bounded); broadcast once its
-    # row count is checked, so a large group never meets a shuffle join
+    # offsets: one row per group value (calendar-bounded); the adaptive planner
+    # broadcasts it when its measured bytes are small
     return (
         df.withColumn("__local", local)
-        .join(bounded_broadcast(offsets, MAX_OFFSET_ROWS), group, "inner")
+        .join(offsets, group, "inner")
         .withColumn(out, F.col("__off") + F.col("__local"))
         .drop("__off", "__local")
     )
@@ -104,6 +96,7 @@ def label_split(df: DataFrame, rn: str = "rn", n: Column | None = None) -> DataF
     ).drop("__t", "__core")
 
 
-def batch_index(rn: str, rows_per_batch: int) -> Column:
+def batch_index(rn: str | Column, rows_per_batch: int) -> Column:
     """Chronological batch number floor((rn - 1) / N)."""
-    return F.floor((F.col(rn) - 1) / F.lit(rows_per_batch)).cast("long")
+    position = F.col(rn) if isinstance(rn, str) else rn
+    return F.floor((position - 1) / F.lit(rows_per_batch)).cast("long")

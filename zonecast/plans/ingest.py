@@ -11,7 +11,7 @@ from .. import schema as S
 from ..functions.numeric import parse_zone_id, to_double
 from ..operators.dims import add_zone_labels
 from ..operators.geo import nearest_zone
-from ..operators.normalize import canonical, normalize_events, shift_time
+from ..operators.normalize import canonical, normalize_events, shift_time, stamp_arrival
 from ..operators.quality import bbox_filter
 from ..sinks.events import to_event_json
 from ..sources import adapter
@@ -35,7 +35,8 @@ def zone_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # JSON payloads.  Corruption rule for the decode checks (applied to every row,
 # none dropped): id divisible by 97 -> payload '{'; by 101 -> pickup text
-# 'not-a-time'.
+# 'not-a-time'; by 7 -> passengers with a fraction; by 11 -> distance as text;
+# by 13 -> a zone id beyond its range; by 17 -> passengers that are no number.
 # ---------------------------------------------------------------------------
 
 
@@ -56,7 +57,12 @@ def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("emitted_at", S.TS_TEXT_FORMAT).alias("emitted_at"),
     )
     js = to_event_json(txt, keep=["event_id"])
-    return js.select("event_id", F.when(e % 97 == 0, F.lit("{")).otherwise(F.col("value")).alias("value"))
+    body = F.col("value")
+    body = F.when(e % 7 == 0, F.regexp_replace(body, r'"passenger_count":([0-9]+)', r'"passenger_count":$1.75')).otherwise(body)
+    body = F.when(e % 17 == 0, F.regexp_replace(body, r'"passenger_count":[0-9.]+', '"passenger_count":"few"')).otherwise(body)
+    body = F.when(e % 11 == 0, F.regexp_replace(body, r'"trip_distance":([0-9.]+)', r'"trip_distance":"far $1"')).otherwise(body)
+    body = F.when(e % 13 == 0, F.regexp_replace(body, r'"do_location_id":[0-9]+', '"do_location_id":3000000000')).otherwise(body)
+    return js.select("event_id", F.when(e % 97 == 0, F.lit("{")).otherwise(body).alias("value"))
 
 
 DUCK_PAYLOAD_FIELDS = """
@@ -64,10 +70,10 @@ select event_id, (event_id % 97 = 0) as is_malformed,
   case when event_id % 97 = 0 then null when event_id % 101 = 0 then 'not-a-time'
        else strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S') end as pickup_datetime,
   case when event_id % 97 <> 0 then strftime(dropoff_datetime, '%Y-%m-%d %H:%M:%S') end as dropoff_datetime,
-  case when event_id % 97 <> 0 then passenger_count end as passenger_count,
-  case when event_id % 97 <> 0 then trip_distance end as trip_distance,
+  case when event_id % 97 <> 0 and event_id % 17 <> 0 then passenger_count end as passenger_count,
+  case when event_id % 97 <> 0 and event_id % 11 <> 0 then trip_distance end as trip_distance,
   case when event_id % 97 <> 0 then pu_location_id end as pu_location_id,
-  case when event_id % 97 <> 0 then do_location_id end as do_location_id,
+  case when event_id % 97 <> 0 and event_id % 13 <> 0 then do_location_id end as do_location_id,
   case when event_id % 97 <> 0 then total_amount end as total_amount,
   case when event_id % 97 <> 0 then strftime(emitted_at, '%Y-%m-%d %H:%M:%S') end as emitted_at
 from trips
@@ -368,3 +374,13 @@ def nearest_zone_haversine(spark: SparkSession, sf_dir: str) -> DataFrame:
         c, adapter.zones(spark, sf_dir), "pickup_latitude", "pickup_longitude", "location_id", "haversine"
     )
     return out.select("event_id", "location_id")
+
+
+@query(
+    "arrival_stamp",
+    W() + "select event_id, strftime(date_trunc('second', emitted_at), '%Y-%m-%d %H:%M:%S') as emitted_at from trips",
+)
+def arrival_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: arrival time as whole-second text; the clock is the trip's own arrival."""
+    t = adapter.trips(spark, sf_dir).select("event_id", F.col("emitted_at").alias("clock"))
+    return stamp_arrival(t, F.col("clock")).select("event_id", "emitted_at")

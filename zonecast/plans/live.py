@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.numeric import round6 as r6
 from ..operators import live as L
-from ..sinks.tables import within_retention
 from ..sources import adapter
 from . import duck as D
 from .registry import query
@@ -22,12 +21,10 @@ W = adapter.duck_with
 
 
 def live_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = adapter.trips(spark, sf_dir).select(
+    return adapter.trips_within(spark, sf_dir, S.LIVE_RETENTION_MIN * 60).select(
         "event_id", "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_distance",
         "pu_location_id", "do_location_id", "total_amount", "emitted_at",
     )
-    as_of = t.select(F.max("emitted_at")).scalar()
-    return within_retention(t, as_of, S.LIVE_RETENTION_MIN)
 
 
 def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,8 +68,7 @@ def live_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trips_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A10 + F7: trips that arrived in the last 60 seconds."""
     live = live_trips(spark, sf_dir)
-    as_of = adapter.trips(spark, sf_dir).select(F.max("emitted_at")).scalar()
-    return L.trips_per_minute(live, as_of)
+    return L.trips_per_minute(live, adapter.newest_arrival(spark, sf_dir))
 
 
 _REC_COLS = "event_id, emitted_at, pu_location_id, do_location_id, total_amount, trip_distance"
@@ -94,7 +90,7 @@ def recent_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     + D.r("s.trip_distance", 1)
     + ") as miles_text, "
     + D.r2("s.total_amount")
-    + """ as fare
+    + """ as fare, cast(null as double) as model_tip
 from (select * from sample order by emitted_at desc, event_id desc limit 20) s
 left join zones zp on zp.location_id = s.pu_location_id
 left join zones zd on zd.location_id = s.do_location_id""",
@@ -149,6 +145,23 @@ def popular_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.withColumn("marker_size", r6("marker_size"))
 
 
+_HOVER = "'<br>Pickup: ' || cast(pickup_trips as varchar) || '<br>Dropoff: ' || cast(dropoff_trips as varchar)"
+
+
+@query(
+    "station_hover",
+    duck_live(("top", "select * from stations order by total_trips desc, location_id limit 12"))
+    + f"select location_id, false as popular, zone_name || {_HOVER} as hover_text from stations union all"
+    f" select location_id, true, zone_name || '<br>Total: ' || cast(total_trips as varchar) || {_HOVER} from top",
+)
+def station_hover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hover text of all stations and of the popular ones."""
+    stations = _stations(spark, sf_dir)
+    every = L.station_hover(stations).select("location_id", F.lit(False).alias("popular"), "hover_text")
+    top = L.station_hover(L.popular_stations(stations), with_total=True)
+    return every.unionByName(top.select("location_id", F.lit(True).alias("popular"), "hover_text"))
+
+
 @query(
     "active_zones",
     duck_live()

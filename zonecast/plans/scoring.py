@@ -12,9 +12,9 @@ from ..functions.numeric import round6 as r6
 from ..operators import scoring as SC
 from ..operators.aggregate import baseline_table as baseline_op
 from ..operators.aggregate import global_mean, sliding_traffic_agg
-from ..operators.dims import bounded_broadcast
+from ..operators.dims import add_zone_labels
 from ..session import materialize, scratch_path
-from ..sinks.tables import write_snapshot
+from ..sinks.tables import read_snapshot, write_snapshot
 from ..sources import adapter
 from . import duck as D
 from .registry import query
@@ -38,7 +38,7 @@ def latest_per_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_of(spark: SparkSession, sf_dir: str):
     """Newest arrival time over all trips (scalar subquery)."""
-    return adapter.trips(spark, sf_dir).select(F.max("emitted_at")).scalar()
+    return adapter.newest_arrival(spark, sf_dir)
 
 
 def baseline_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +49,7 @@ def baseline_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = baseline_op(train)
     gmean = global_mean(train)
     scored = latest.withColumn("hour", F.hour("window_start")).join(
-        bounded_broadcast(base), ["pu_location_id", "hour"], "left"
+        base, ["pu_location_id", "hour"], "left"
     )
     tip = F.coalesce(F.col("baseline_pred"), gmean)
     return SC.zone_predictions(scored.drop("hour"), tip, as_of(spark, sf_dir))
@@ -58,8 +58,8 @@ def baseline_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: write the snapshot (overwrite) to the shared scratch area and read it back."""
     path = scratch_path(spark, "predictions")
-    write_snapshot(baseline_predictions(spark, sf_dir), path)
-    return spark.read.parquet(path)
+    write_snapshot(SC.prediction_defaults(baseline_predictions(spark, sf_dir)), path)
+    return read_snapshot(spark, path)
 
 
 def _round_pred(df: DataFrame) -> DataFrame:
@@ -210,18 +210,13 @@ def max_surge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("max_surge", SC.surge_label(F.col("max_surge")).alias("surge_level"))
 
 
-def _zone_or_number(zone_id, names):
-    from ..operators.dims import label_zone
-
-    return label_zone(zone_id, names, prefix="Zone ")
-
-
 @query(
     "top_zones",
     duck_scoring(("lp", DUCK_LATEST_PRED))
     + """select cast(row_number() over (order by predicted_fare desc, pu_location_id) as int) as rank, pu_location_id,
   coalesce(nullif(z.zone_name, ''), 'Zone ' || cast(pu_location_id as varchar)) as zone_name,
-  predicted_fare, predicted_tip, surge,
+  predicted_fare, predicted_tip, surge, printf('%.0f mph', round_even(coalesce(avg_speed_mph, 0), 0)) as speed_text,
+  cast(trip_count as varchar) || case when trip_count <> 1 then ' trips' else ' trip' end as trips_text,
   case when surge >= 2 then 'red' when surge >= 1.3 then 'yellow' else 'green' end as surge_badge,
   printf('%.1fx', surge) as surge_text
 from lp left join zones z on z.location_id = lp.pu_location_id
@@ -229,22 +224,51 @@ order by predicted_fare desc, pu_location_id limit 6""",
 )
 def top_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top 6 zones by predicted fare (ties: lowest zone id), rank and surge badge."""
-    from ..operators.dims import zone_name_map
+    from pyspark.sql import Window
 
     lp = SC.latest_predictions(stored_predictions(spark, sf_dir))
     top = lp.orderBy(F.col("predicted_fare").desc(), F.col("pu_location_id")).limit(S.TOP_ZONES)
-    names = zone_name_map(adapter.zones(spark, sf_dir))
-    from pyspark.sql import Window
-
+    top = add_zone_labels(top, adapter.zones(spark, sf_dir), {"pu_location_id": "zone_name"}, prefix="Zone ")
     # ``rank`` is computed over the <= 6 rows that survive the limit.
     w = Window.orderBy(F.col("predicted_fare").desc(), F.col("pu_location_id"))
     return top.select(
         F.row_number().over(w).alias("rank"),
         "pu_location_id",
-        _zone_or_number(F.col("pu_location_id"), names).alias("zone_name"),
+        "zone_name",
         "predicted_fare",
         "predicted_tip",
         "surge",
+        F.format_string("%.0f mph", F.rint(F.coalesce("avg_speed_mph", F.lit(0.0)))).alias("speed_text"),
+        F.concat(F.col("trip_count").cast("string"), F.when(F.col("trip_count") != 1, " trips").otherwise(" trip")).alias("trips_text"),
         SC.surge_badge(F.col("surge")).alias("surge_badge"),
         F.format_string("%.1fx", F.col("surge")).alias("surge_text"),
     )
+
+
+@query(
+    "predictions_defaults",
+    duck_scoring()
+    + f"""select pu_location_id, case when pu_location_id % 3 = 0 then 0 else trip_count end as trip_count,
+  case when pu_location_id % 2 = 0 then 0.0 else {D.r6('avg_speed_mph')} end as avg_speed_mph,
+  case when pu_location_id % 5 = 0 then 1.0 else surge_multiplier end as surge_multiplier from pred""",
+)
+def predictions_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: predictions with missing values, as stored."""
+    zone = F.col("pu_location_id")
+    pred = baseline_predictions(spark, sf_dir)
+    holes = {"trip_count": 3, "avg_speed_mph": 2, "surge_multiplier": 5}
+    pred = pred.select(*(F.when(zone % holes[c] != 0, F.col(c)).alias(c) if c in holes else F.col(c) for c in pred.columns))
+    path = scratch_path(spark, "predictions")
+    write_snapshot(SC.prediction_defaults(pred), path)
+    return read_snapshot(spark, path).select("pu_location_id", "trip_count", r6("avg_speed_mph").alias("avg_speed_mph"), "surge_multiplier")
+
+
+@query(
+    "fare_fallback",
+    duck_scoring() + f"select pu_location_id, {D.r2('5 * ' + D.r('2.0 + pu_location_id / 7.0', 9))} as predicted_avg_fare from latest",
+)
+def fare_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8: without amounts in the aggregates the fare is five times the tip estimate."""
+    latest = latest_per_zone(spark, sf_dir).drop("avg_total_amount")
+    tip = F.lit(2.0) + F.col("pu_location_id") / F.lit(7.0)
+    return SC.zone_predictions(latest, tip, as_of(spark, sf_dir)).select("pu_location_id", "predicted_avg_fare")

@@ -13,8 +13,8 @@ from .registry import query
 
 
 def stream_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Adapter trips in the stream's shape: pickup_ts/dropoff_ts + measures."""
-    t = adapter.trips(spark, sf_dir).select(
+    """Adapter trips in the stream's shape: pickup_ts / dropoff_ts."""
+    return adapter.trips(spark, sf_dir).select(
         "event_id",
         F.col("pickup_datetime").alias("pickup_ts"),
         F.col("dropoff_datetime").alias("dropoff_ts"),
@@ -25,7 +25,6 @@ def stream_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "total_amount",
         "emitted_at",
     )
-    return derive_duration_speed(t)
 
 
 def clean_stream_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +88,7 @@ def derive_duration_speed_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole-second duration (minutes) and speed; zero duration -> null speed."""
     from ..functions.numeric import round6 as r6
 
-    t = stream_trips(spark, sf_dir)
+    t = derive_duration_speed(stream_trips(spark, sf_dir))
     return t.select(
         "event_id",
         r6("duration_min").alias("duration_min"),

@@ -9,9 +9,8 @@ from .. import schema as S
 from ..functions.numeric import round6 as r6
 from ..functions.timefn import is_weekend, weekday_mon0
 from ..operators.aggregate import baseline_table as baseline_op
-from ..operators.aggregate import finalize_features, global_mean, merge_partials, tumbling_partials
-from ..operators.quality import clean_training, derive_duration_speed
-from ..operators.dims import bounded_broadcast
+from ..operators.aggregate import finalize_features, global_mean, mae_mape, merge_partials, tumbling_partials
+from ..operators.quality import clean_training
 from ..operators.select import batch_index, dedup_last, global_row_number, label_split
 from ..session import materialize
 from ..sources import adapter
@@ -20,7 +19,6 @@ from .registry import query
 
 W = adapter.duck_with
 TRAIN_BASE = ("zones", "trips", "training_trips")
-BATCH_ROWS_CATALOGUE = 1000  # rows per chronological batch in the catalogue query
 
 
 # ---------------------------------------------------------------------------
@@ -29,10 +27,9 @@ BATCH_ROWS_CATALOGUE = 1000  # rows per chronological batch in the catalogue que
 
 
 def training_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = adapter.training_trips(spark, sf_dir).withColumnRenamed(
+    return adapter.training_trips(spark, sf_dir).withColumnRenamed(
         "pickup_datetime", "pickup_ts"
     ).withColumnRenamed("dropoff_datetime", "dropoff_ts")
-    return derive_duration_speed(t, fractional=True)
 
 
 def clean_training_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +61,8 @@ def positioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     materialised once: the position, the split sizes and every downstream
     baseline read it without rescanning the raw trips."""
     f = materialize(features(spark, sf_dir))
-    return label_split(global_row_number(f, "window_start", ["pu_location_id"]))
+    n = f.select(F.count(F.lit(1))).scalar()  # of the stored features, not of the numbered join
+    return label_split(global_row_number(f, "window_start", ["pu_location_id"]), n=n)
 
 
 def train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,18 +80,11 @@ def baseline_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     test = pos.filter(F.col("split") == "test")
     base = baseline_op(train)
     gmean = global_mean(train)
-    return test.join(bounded_broadcast(base), ["pu_location_id", "hour"], "left").withColumn(
+    return test.join(base, ["pu_location_id", "hour"], "left").withColumn(
         "baseline_pred", F.coalesce(F.col("baseline_pred"), gmean)
     )
 
 
-def mae_mape(df: DataFrame, truth: str, pred: str) -> list:
-    """A6 / A7 aggregate Columns (MAPE: zero truth counts as 1e-6)."""
-    err = F.abs(F.col(truth) - F.col(pred))
-    denom = F.when(F.col(truth) == 0, F.lit(S.MAPE_ZERO_TRUTH)).otherwise(F.col(truth))
-    return [F.avg(err).alias("mae"), (F.avg(err / denom) * F.lit(100.0)).alias("mape")]
-
-
 # ---------------------------------------------------------------------------
 # DuckDB side
 # ---------------------------------------------------------------------------
@@ -267,13 +258,13 @@ def validation_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "train_batches",
     duck_train()
-    + f"""select cast(floor((rn - 1) / {BATCH_ROWS_CATALOGUE}) as bigint) as batch, cast(count(*) as bigint) as rows,
+    + f"""select cast(floor((rn - 1) / {S.TRAIN_BATCH_ROWS}) as bigint) as batch, cast(count(*) as bigint) as rows,
   min(rn) as first_rn, max(rn) as last_rn from pos where part = 'core' group by 1""",
 )
 def train_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chronological batches of the core training rows."""
     core = positioned(spark, sf_dir).filter(F.col("part") == "core")
-    return core.groupBy(batch_index("rn", BATCH_ROWS_CATALOGUE).alias("batch")).agg(
+    return core.groupBy(batch_index("rn", S.TRAIN_BATCH_ROWS).alias("batch")).agg(
         F.count(F.lit(1)).alias("rows"), F.min("rn").alias("first_rn"), F.max("rn").alias("last_rn")
     )
 
@@ -325,5 +316,5 @@ from scored""",
 def error_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Baseline MAE and MAPE on the test rows."""
     s = baseline_scored(spark, sf_dir)
-    m = s.agg(F.count(F.lit(1)).alias("rows"), *mae_mape(s, S.TARGET, "baseline_pred"))
+    m = s.agg(F.count(F.lit(1)).alias("rows"), *mae_mape(S.TARGET, "baseline_pred"))
     return m.select("rows", r6("mae").alias("mae"), r6("mape").alias("mape"))

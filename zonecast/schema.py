@@ -104,16 +104,12 @@ MIN_TRAIN_ROWS, MIN_TEST_ROWS = 10, 5
 MIN_CORE_ROWS, MIN_VAL_ROWS = 10, 5
 
 AGG_KEYS = ["window_start", "window_end", "pu_location_id"]
-PARTIAL_SUMS = [
-    "trip_count",
-    "trip_distance_sum",
-    "duration_min_sum",
-    "speed_mph_sum",
-    "tip_amount_sum",
-]
+#: trip measures summed per training window
+TRAIN_MEASURES = ["trip_distance", "duration_min", "speed_mph", "tip_amount"]
+PARTIAL_SUMS = ["trip_count", *(f"{m}_sum" for m in TRAIN_MEASURES)]
 
 # ---------------------------------------------------------------------------
-# Schemas
+# Field and column names of the wire format and the stored tables
 # ---------------------------------------------------------------------------
 TRIP_EVENT_SCHEMA = T.StructType(
     [

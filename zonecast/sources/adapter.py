@@ -28,18 +28,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read a table; when it is stored in fewer files than the cluster has cores
-    (e.g. one small single-row-group file), spread it round-robin so the
-    per-row work before the first shuffle is not confined to one task.  Large
-    inputs (many files) are left as scanned: no extra shuffle at scale."""
-    df = read_table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < cores:
-        df = df.repartition(cores)
-    return df
-
-
 def _prop_k():
     """``props.k`` as bigint.  Fast path for the flat '{"k": N}' payload (plain
     string slicing); any other shape goes through the JSON path parser."""
@@ -64,8 +52,10 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _event_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_spread(spark, sf_dir, "events")
+def _event_base(spark: SparkSession, sf_dir: str, since=None) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events")
+    if since is not None:
+        ev = ev.filter(F.col("ts") >= since)
     us = F.unix_micros(F.col("ts").cast("timestamp"))
     k = _prop_k()
     return ev.select(
@@ -78,9 +68,30 @@ def _event_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def newest_arrival(spark: SparkSession, sf_dir: str):
+    """The newest arrival on the dense clock, from the event clock's column alone."""
+    us = F.unix_micros(F.max("ts").cast("timestamp"))
+    dense = F.lit(CLOCK_ORIGIN_US) + F.floor((us - CLOCK_ORIGIN_US) / CLOCK_COMPRESSION)
+    return read_table(spark, sf_dir, "events").select(F.timestamp_micros(dense.cast("long"))).scalar()
+
+
+def trips_within(spark: SparkSession, sf_dir: str, seconds: int) -> DataFrame:
+    """Trips that arrived at most ``seconds`` before the newest arrival.
+
+    An arrival a is floor((us - origin) / 60) after the origin, and floor(x / 60) >= k
+    is the same as x >= 60 k: the bound is set on the scanned column itself, so
+    row groups and files outside the window are skipped.
+    """
+    us = F.unix_micros(F.max("ts").cast("timestamp")) - CLOCK_ORIGIN_US
+    first = F.floor(us / CLOCK_COMPRESSION).cast("long") - seconds * 1_000_000
+    bound = F.timestamp_micros(F.lit(CLOCK_ORIGIN_US) + first * CLOCK_COMPRESSION).cast("timestamp_ntz")
+    since = read_table(spark, sf_dir, "events").select(bound).scalar()
+    return trips(spark, sf_dir, since)
+
+
+def trips(spark: SparkSession, sf_dir: str, since=None) -> DataFrame:
     """Typed trip records derived from ``events`` (see module docstring)."""
-    b = _event_base(spark, sf_dir)
+    b = _event_base(spark, sf_dir, since)
     origin = F.lit(CLOCK_ORIGIN_US)
     pus = origin + F.expr(f"div(us - {CLOCK_ORIGIN_US}, {CLOCK_COMPRESSION})")
     dur_us = (F.col("k") * 60 + F.col("event_id") % 60) * F.lit(1_000_000)
@@ -103,7 +114,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def legacy_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pickup coordinates for the lat/lon family (some fall outside the box)."""
-    ev = read_spread(spark, sf_dir, "events").select("event_id")
+    ev = read_table(spark, sf_dir, "events").select("event_id")
     e = F.col("event_id")
     return ev.select(
         "event_id",
@@ -239,7 +250,8 @@ def raw_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(mixed, F.col("dropoff_datetime") + hour).alias("dropoff_datetime"),
         on(~mixed, F.col("passenger_count").cast("double")).alias("passenger_count"),
         F.col("trip_distance"),
-        on(yellow, pu + (e % 10) / F.lit(10.0)).when(green | mixed, pu).alias("PULocationID"),
+        # some mixed rows lack the first of their two zone aliases
+        on(yellow, pu + (e % 10) / F.lit(10.0)).when(green | (mixed & (e % 5 != 0)), pu).alias("PULocationID"),
         on(yellow | green | mixed, do).alias("DOLocationID"),
         on(generic, pu).when(mixed, do).alias("pu_location_id"),
         on(generic, do).when(mixed, pu).alias("do_location_id"),
@@ -269,7 +281,7 @@ select event_id,
   case when source <> 'error' then cast(passenger_count as double) end as passenger_count,
   trip_distance,
   case when source = 'view' then cast(pu_location_id as double) + (event_id%10)/10.0::double
-       when source in ('click','error') then cast(pu_location_id as double) end as PULocationID,
+       when source = 'click' or (source = 'error' and event_id % 5 <> 0) then cast(pu_location_id as double) end as PULocationID,
   case when source in ('view','click','error') then cast(do_location_id as double) end as DOLocationID,
   case when source = 'purchase' then cast(pu_location_id as double)
        when source = 'error' then cast(do_location_id as double) end as pu_location_id,
