@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from zonecast.operators.geo import nearest_zone, nearest_zone_grid
+from zonecast.operators.geo import nearest_zone
 from zonecast.operators.select import global_row_number, label_split, split_sizes
 
 
@@ -39,23 +39,59 @@ def test_label_split_counts(spark):
     assert parts == {"core": 54, "val": 26, "test": 20}
 
 
-def test_grid_nearest_equals_array_search(spark):
+def _great_circle(a, b, c, d):
+    import math
+
+    a, b, c, d = map(math.radians, (a, b, c, d))
+    h = math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2
+    return 2 * math.asin(math.sqrt(h))
+
+
+def test_nearest_zone_equals_brute_force(spark, monkeypatch):
+    """Any number of blocks, coordinates across the antimeridian, ties and missing coordinates."""
+    from zonecast.operators import geo
+
     rnd = random.Random(7)
-    zones = spark.createDataFrame(
-        [(i, f"Z{i}", 40.5 + rnd.random() * 0.5, -74.3 + rnd.random() * 0.8) for i in range(1, 60)],
-        "location_id int, zone_name string, latitude double, longitude double",
-    )
-    pts = spark.createDataFrame(
-        [(i, round(40.0 + rnd.random() * 1.5, 3), round(-75.0 + rnd.random() * 2.0, 3)) for i in range(300)]
-        + [(999, 10.0, 10.0)],  # far away: resolved only at a coarse level
-        "id int, lat double, lon double",
-    )
-    for metric in ("euclid", "haversine"):
-        ref = {r.id: r.z for r in nearest_zone(pts, zones, "lat", "lon", "z", metric).collect()}
-        coords = pts.select(F.col("lat").alias("a"), F.col("lon").alias("b")).distinct()
-        grid = {(r.a, r.b): r.z for r in nearest_zone_grid(coords, zones, "a", "b", "z", metric).collect()}
-        got = {r.id: grid[(r.lat, r.lon)] for r in pts.collect()}
-        assert got == ref
+    places = [(i, 40.5 + rnd.random() * 0.5, -74.3 + rnd.random() * 0.8) for i in range(1, 60)]
+    places += [(101, 10.0, -179.9), (102, 10.0, 179.5), (201, 0.0, 1.0), (202, 0.0, -1.0), (203, None, 3.0)]
+    zones = spark.createDataFrame([(i, f"Z{i}", a, b) for i, a, b in places], "location_id int, zone_name string, latitude double, longitude double")
+    points = [(i, round(40.0 + rnd.random() * 1.5, 3), round(-75.0 + rnd.random() * 2.0, 3)) for i in range(200)]
+    points += [(900, 10.0, 179.95), (901, 0.0, 0.0), (902, None, 1.0), (903, 10.0, 10.0), (904, 40.7001, -74.0004)]
+    pts = spark.createDataFrame(points, "id int, lat double, lon double")
+    metrics = {"euclid": lambda p, z: (p[0] - z[1]) ** 2 + (p[1] - z[2]) ** 2, "haversine": lambda p, z: _great_circle(p[0], p[1], z[1], z[2])}
+    for size in (512, 7):
+        monkeypatch.setattr(geo, "ZONES_PER_BLOCK", size)
+        for metric, dist in metrics.items():
+            got = {r.id: r.z for r in nearest_zone(pts, zones, "lat", "lon", "z", metric).collect()}
+            for i, a, b in points:
+                if a is None:
+                    assert got[i] is None
+                    continue
+                p = (round(a, 3), round(b, 3))
+                want = min((round(dist(p, z), 12), z[0]) for z in places if z[1] is not None)
+                assert got[i] == want[1], (metric, i)
+    assert {r.id: r.z for r in nearest_zone(pts, zones, "lat", "lon", "z", "haversine").collect()}[900] == 101
+    assert nearest_zone(pts, zones.limit(0), "lat", "lon", "z").filter("z is not null").count() == 0
+
+
+def test_zone_limit_is_loud(spark, monkeypatch):
+    import pytest
+
+    from zonecast.operators import geo
+
+    monkeypatch.setattr(geo, "MAX_ZONES", 2)
+    zones = spark.createDataFrame([(i, 1.0, float(i)) for i in range(3)], "location_id int, latitude double, longitude double")
+    with pytest.raises(Exception, match="more than 2 zones"):
+        geo.zone_blocks(zones).collect()
+
+
+def test_repeated_zone_ids_keep_the_last_name(spark):
+    from zonecast.operators.dims import add_zone_labels
+
+    zones = spark.createDataFrame([(1, "old"), (2, "b"), (1, "new"), (3, "")], "location_id int, zone_name string").coalesce(1)
+    rows = spark.createDataFrame([(1, 2), (3, 1), (None, 9)], "a int, b int")
+    got = {(r.x, r.y) for r in add_zone_labels(rows, zones, {"a": "x", "b": "y"}, prefix="Zone ").collect()}
+    assert got == {("new", "b"), ("Zone 3", "new"), (None, "Zone 9")}
 
 
 def test_staged_model_beats_baseline_and_reloads(spark, tmp_dir):
@@ -115,6 +151,30 @@ def test_scoring_cycle_skips_without_model_or_aggregates(spark, tmp_dir):
     assert out.filter("predicted_tip_low > predicted_tip_high or predicted_tip_low < 0").count() == 0
 
 
+def test_size_guards_raise():
+    import pytest
+
+    from zonecast.ml.model import NotEnoughData, check_sizes
+
+    check_sizes({"train": 10, "test": 5, "core": 10, "val": 5})
+    for short in ({"train": 9}, {"test": 4}, {"core": 0}, {"val": 4}):
+        with pytest.raises(NotEnoughData, match=next(iter(short))):
+            check_sizes({"train": 10, "test": 5, "core": 10, "val": 5} | short)
+
+
+def test_metrics_document_rounds_and_keeps_the_first_best_batch():
+    from zonecast.ml.model import metrics_document
+
+    names = [f"{n}_{m}" for n in ("baseline", "train", "val", "test") for m in ("mae", "mape")]
+    doc = metrics_document(
+        {n: 1.23456 for n in names} | {"training_rows": 8, "testing_rows": 2, "test_period_start": "2024-01-05"},
+        [{"batch": 1, "val_mae": 0.5, "val_mape": 3.14159}, {"batch": 2, "val_mae": 0.5, "val_mape": 3.0}], 250_000, 120, 40, "now",
+    )
+    assert doc["baseline"] == {"mae": 1.2346, "mape": 1.23} and doc["improvement_mae"] == 0.0
+    run = doc["model"]["continued_training"]
+    assert run["selected_best_batch"] == 1 and run["history"][0] == {"batch": 1, "val_mae": 0.5, "val_mape": 3.14}
+
+
 def test_missing_feature_column_scores_as_zero(spark):
     from zonecast.ml.model import ensure_features
 

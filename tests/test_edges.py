@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from zonecast.functions.numeric import parse_zone_id, round_half_even, stable_round
@@ -80,12 +81,16 @@ def test_training_duration_keeps_fractional_seconds(spark):
 
 
 def test_json_shapes(spark):
-    vals = ["{", "[]", "null", '{"passenger_count": "abc"}', '{"trip_distance": 2.5}', "", None, '[{"a": 1}]']
+    vals = ["{", "[]", "null", '{"passenger_count": "abc", "trip_distance": 1.5}', '{"trip_distance": 2.5}', "", None, '[{"a": 1}]',
+            '{"passenger_count": 1.9, "pu_location_id": 3000000000, "do_location_id": -2.7, "total_amount": "7.5", "trip_distance": true}']
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, value string")
     out = {r.i: r for r in decode_events(df, keep=["i"]).collect()}
-    assert [out[i].is_malformed for i in range(len(vals))] == [True, True, True, True, False, True, True, True]
+    assert [out[i].is_malformed for i in range(len(vals))] == [True, True, True, False, False, True, True, True, False]
     assert out[4].trip_distance == 2.5 and out[4].pickup_datetime is None
-    for i in (0, 1, 2, 3, 5, 6, 7):
+    assert out[3].passenger_count is None and out[3].trip_distance == 1.5  # a bad field is null alone
+    r = out[8]
+    assert (r.passenger_count, r.pu_location_id, r.do_location_id, r.total_amount, r.trip_distance) == (1, None, -2, 7.5, None)
+    for i in (0, 1, 2, 5, 6, 7):
         assert all(out[i][c] is None for c in ("pickup_datetime", "trip_distance", "pu_location_id"))
 
 
@@ -212,9 +217,27 @@ def test_arrival_stamp_uses_injected_clock_whole_seconds(spark):
     assert (r.pickup_datetime, r.dropoff_datetime) == ("2024-03-02 23:59:59", "2024-03-03 00:10:00")
 
 
-def test_scale_settings_sizes_partitions():
+def test_scale_settings_size_the_shuffle_by_what_is_shuffled():
     from zonecast.session import scale_settings
 
-    s = scale_settings(100 * 1024**4, 8000)
-    assert int(s["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (256 * 1024**2) + 1
-    assert int(scale_settings(10 * 1024**2, 8)["spark.sql.shuffle.partitions"]) == 24
+    width = lambda shuffled, cores: int(scale_settings(shuffled, cores)["spark.sql.shuffle.partitions"])
+    assert width(10 * 1024**2, 8) == 24
+    assert width(100 * 1024**3, 8000) == 20_000  # aggregates of a 100 TB scan
+    assert width(20 * 1024**4, 8000) == 20 * 1024**4 // (256 * 1024**2) + 1
+
+
+def test_shared_folder_is_needed_off_local(monkeypatch):
+    from types import SimpleNamespace
+
+    from zonecast.session import scratch_root
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(fake)
+
+
+def test_nan_first_alias_does_not_hide_the_second(spark):
+    df = spark.createDataFrame([(float("nan"), 7.0), (3.0, 7.0)], "total_amount double, fare_amount double")
+    assert [r.total_amount for r in canonical(df).collect()] == [7.0, 3.0]
+    assert [r.total_amount for r in canonical(df, by_schema=True).collect()] == [None, 3.0]

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..operators.aggregate import mae_mape
 from ..operators.select import batch_index
 from ..session import materialize
 
@@ -82,9 +83,28 @@ class StagedModel:
 
 def mae_mape_frame(df: DataFrame, truth: str, pred: str) -> DataFrame:
     """A6/A7 as a one-row frame (mae, mape)."""
-    err = F.abs(F.col(truth) - F.col(pred))
-    denom = F.when(F.col(truth) == 0, F.lit(S.MAPE_ZERO_TRUTH)).otherwise(F.col(truth))
-    return df.agg(F.avg(err).alias("mae"), (F.avg(err / denom) * F.lit(100.0)).alias("mape"))
+    return df.agg(*mae_mape(truth, pred))
+
+
+class NotEnoughData(ValueError):
+    """A split is smaller than training needs."""
+
+
+def check_sizes(sizes: dict[str, int]) -> None:
+    """W10 guards: raise unless every split of ``sizes`` (train, test, core, val) is large enough."""
+    least = {"train": S.MIN_TRAIN_ROWS, "test": S.MIN_TEST_ROWS, "core": S.MIN_CORE_ROWS, "val": S.MIN_VAL_ROWS}
+    short = {k: sizes.get(k, 0) for k, n in least.items() if k in sizes and sizes[k] < n}
+    if short:
+        raise NotEnoughData("not enough rows: " + ", ".join(f"{n} {k} (at least {least[k]})" for k, n in short.items()))
+
+
+def split_counts(positioned: DataFrame) -> dict[str, int]:
+    """Rows of the train and test split and of the core and validation part."""
+    r = positioned.agg(
+        F.count_if(F.col("split") == "train").alias("train"), F.count_if(F.col("split") == "test").alias("test"),
+        F.count_if(F.col("part") == "core").alias("core"), F.count_if(F.col("part") == "val").alias("val"),
+    ).first()
+    return r.asDict()
 
 
 def train_staged(
@@ -98,21 +118,19 @@ def train_staged(
     """M5: chronological residual stages; returns the best prefix and the history.
 
     ``core`` must carry ``rn`` (global position); batches are
-    floor((rn - first_rn) / rows_per_batch).
+    floor((rn - first_rn) / rows_per_batch).  The validation rows carry their
+    prediction so far: a stage adds its own share and the sum is stored, so
+    validation costs one stage per batch.
     """
-    first = core.agg(F.min("rn")).first()[0]
-    core_b = materialize(
-        core.withColumn("__rn0", F.col("rn") - F.lit(first) + 1).withColumn(
-            "__batch", batch_index("__rn0", rows_per_batch)
-        )
-    )
-    n_batches = core_b.agg(F.max("__batch")).first()[0]
-    n_batches = 0 if n_batches is None else int(n_batches) + 1
-    val_m = materialize(val)
+    bounds = core.agg(F.min("rn").alias("first"), F.count(F.lit(1)).alias("n")).first()
+    check_sizes({"core": bounds.n})
+    core_b = materialize(core.withColumn("__batch", batch_index(F.col("rn") - F.lit(bounds.first) + 1, rows_per_batch)))
+    sizes = {r["__batch"]: r["count"] for r in core_b.groupBy("__batch").count().collect()}
+    running = materialize(assemble(val).withColumn("__f", F.lit(0.0)))
     stages: list[GBTRegressionModel] = []
     history: list[dict] = []
     best_mae, best_k = float("inf"), 0
-    for b in range(n_batches):
+    for b in sorted(sizes):
         batch = core_b.filter(F.col("__batch") == b)
         if stages:
             scored = StagedModel(stages).predict(batch, "__f")
@@ -120,23 +138,69 @@ def train_staged(
             label, n_trees = "__residual", trees_per_batch
         else:
             label, n_trees = target, init_trees
-        train_df = materialize(assemble(batch))
-        stages.append(gbt(n_trees, label).fit(train_df))
-        vs = StagedModel(stages).predict(val_m, "__p")
-        m = mae_mape_frame(vs, target, "__p").first()
-        history.append({"batch": b + 1, "val_mae": float(m["mae"]), "val_mape": float(m["mape"]),
-                        "trees": n_trees})
-        if m["mae"] < best_mae:
-            best_mae, best_k = float(m["mae"]), len(stages)
+        stage = gbt(n_trees, label).fit(materialize(assemble(batch)))
+        stages.append(stage)
+        added = stage.copy({stage.predictionCol: "__share"}).transform(running)
+        running = materialize(added.withColumn("__f", F.col("__f") + F.col("__share")).drop("__share"))
+        m = mae_mape_frame(running, target, "__f").first()
+        if m.mae is None:
+            raise NotEnoughData("no validation rows")
+        history.append({"batch": len(stages), "rows": sizes[b], "trees": n_trees, "val_mae": float(m.mae), "val_mape": float(m.mape)})
+        if m.mae < best_mae:
+            best_mae, best_k = float(m.mae), len(stages)
     return StagedModel(stages[:best_k] if best_k else stages), history
 
 
+def metrics_row(scored: DataFrame, target: str = S.TARGET) -> DataFrame:
+    """M6 in one pass: errors of ``tip_pred`` by split and part and of ``baseline_pred`` on the test split."""
+    def where(condition):
+        return scored_errors("tip_pred", condition)
+
+    def scored_errors(pred, condition):
+        err = F.abs(F.col(target) - F.col(pred))
+        denom = F.when(F.col(target) == 0, F.lit(S.MAPE_ZERO_TRUTH)).otherwise(F.col(target))
+        return F.avg(F.when(condition, err)), F.avg(F.when(condition, err / denom)) * F.lit(100.0)
+
+    train, test, val = F.col("split") == "train", F.col("split") == "test", F.col("part") == "val"
+    out = [F.count_if(train).alias("training_rows"), F.count_if(test).alias("testing_rows"),
+           F.to_date(F.min(F.when(test, F.col("window_start")))).alias("test_period_start")]
+    for name, (mae, mape) in {
+        "baseline": scored_errors("baseline_pred", test), "train": where(train), "val": where(val), "test": where(test),
+    }.items():
+        out += [mae.alias(f"{name}_mae"), mape.alias(f"{name}_mape")]
+    return scored.agg(*out)
+
+
+def metrics_document(metrics: dict, history: list[dict], batch_rows: int, init_trees: int, trees_per_batch: int, generated_at: str) -> dict:
+    """K6: the metrics document (errors 4 dp, percentages 2 dp) with the batch history."""
+    pair = lambda name: {"mae": round(metrics[f"{name}_mae"], 4), "mape": round(metrics[f"{name}_mape"], 2)}
+    best = min(history, key=lambda h: (h["val_mae"], h["batch"]))
+    return {
+        "generated_at": generated_at,
+        "training_rows": metrics["training_rows"],
+        "testing_rows": metrics["testing_rows"],
+        "test_period_start": str(metrics["test_period_start"]),
+        "target": S.TARGET,
+        "baseline": pair("baseline"),
+        "model": {
+            "train": pair("train"), "validation": pair("val"), "test": pair("test"),
+            "continued_training": {
+                "batch_rows": batch_rows, "init_trees": init_trees, "trees_per_batch": trees_per_batch,
+                "selected_best_batch": best["batch"], "selected_best_val_mae": round(best["val_mae"], 4),
+                "history": [{"batch": h["batch"], "val_mae": round(h["val_mae"], 4), "val_mape": round(h["val_mape"], 2)} for h in history],
+            },
+        },
+        "improvement_mae": round(metrics["baseline_mae"] - metrics["test_mae"], 4),
+    }
+
+
 # ---------------------------------------------------------------------------
 # K7: save / load
 # ---------------------------------------------------------------------------
 
 
-def save_model(spark: SparkSession, model: StagedModel, path: str) -> None:
+def save_model(spark: SparkSession, model: StagedModel, path: str, history: list[dict] | None = None) -> None:
+    """K7: stages first, the description last: a model without one is not complete."""
     for i, m in enumerate(model.stages):
         m.write().overwrite().save(f"{path}/stage_{i:03d}")
     meta = {
@@ -145,12 +209,17 @@ def save_model(spark: SparkSession, model: StagedModel, path: str) -> None:
         "training_rows": model.training_rows,
         "stages": len(model.stages),
         "target": S.TARGET,
+        "history": history or [],
     }
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(
         f"{path}/meta"
     )
 
 
+def load_history(spark: SparkSession, path: str) -> list[dict]:
+    return json.loads(spark.read.text(f"{path}/meta").first()[0]).get("history", [])
+
+
 def load_model(spark: SparkSession, path: str) -> StagedModel:
     meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
     stages = [GBTRegressionModel.load(f"{path}/stage_{i:03d}") for i in range(meta["stages"])]

@@ -18,6 +18,13 @@ _KIND = {
     "traffic_agg_stream": "stream",
     "live_trips_stream": "stream",
     "stage_history": "model",
+    "metrics_document": "model",
+    "model_reload": "model",
+    "score_cycle": "model",
+    "train_features_from_files": "files",
+    "csv_export": "files",
+    "upsert_after_restart": "files",
+    "live_append_after_restart": "files",
     "train_metrics": "model",
     "predict_zones_gbt": "model",
     "predict_trips": "model",

@@ -33,6 +33,7 @@ def build_session(
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -55,13 +56,17 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written tables and stream checkpoints.
 
     Reads ``spark.checkpoint.dir`` (or the SparkContext checkpoint dir) from the
-    session.  Only when neither is set (local runs, tests) a local temp folder is
-    created and registered as the checkpoint dir.
+    session.  Only where neither is set and everything runs in this process
+    (``local`` masters: tests) a local temp folder is created and registered; on a
+    cluster that would be a folder the executors cannot see, so it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master.split("[")[0] != "local":
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder shared by all executors (master {master})")
         root = tempfile.mkdtemp(prefix="zonecast-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
@@ -74,31 +79,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df, name: str = "stage"):
-    """Compute ``df`` once into reliable storage (``spark.checkpoint.dir``) and
-    return a frame reading it back.
+    """Compute a small intermediate once into reliable storage
+    (``spark.checkpoint.dir``) and return a frame reading it back.
 
+    For aggregates and feature tables (zones x windows), never for whole inputs.
     Lineage is cut: later uses (scalar subqueries, self-joins, iterations) read
     the stored rows instead of rescanning the raw input, and a lost executor
-    recomputes from that copy.  An eager ``checkpoint()`` writes while it
-    computes (one result job; measured: no second pass), and for the small
-    intermediates stored this way it costs less than a parquet round trip.
+    recomputes from that copy.  With
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` Spark deletes the files
+    once the frame is no longer referenced.
     """
-    scratch_root(df.sparkSession)
+    root = scratch_root(df.sparkSession)
+    if not df.sparkSession.sparkContext.getCheckpointDir():
+        df.sparkSession.sparkContext.setCheckpointDir(root)
     return df.checkpoint(eager=True)
 
 
-def scale_settings(input_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict[str, str]:
-    """Session settings sized for a job reading ``input_bytes`` on ``total_cores``.
+def scale_settings(shuffle_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict[str, str]:
+    """Session settings for a job whose largest exchange moves ``shuffle_bytes``.
 
     * file splits of 256 MB: a 100 TB scan becomes about 400,000 tasks, several
       waves on 1,000 executors, each split small enough to decode in memory;
-    * initial shuffle width so that each reducer starts near the target size
-      (AQE then coalesces small partitions toward the advisory size);
+    * initial shuffle width from what is shuffled, not from what is read:
+      aggregates here shrink to zones x windows before the exchange, and
+      mappers x reducers blocks must be tracked.  Three waves of the cores at
+      least, and AQE coalesces small partitions toward the advisory size;
     * skew join / skewed partition splitting above 4x the median and 1 GB;
     * stateful streaming: RocksDB state store (state larger than executor heap).
     """
     mb = 1024 * 1024
-    parts = max(total_cores * 3, int(input_bytes // (target_partition_mb * mb)) + 1)
+    parts = max(min(total_cores * 3, 20_000), int(shuffle_bytes // (target_partition_mb * mb)) + 1)
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_mb * mb),
         "spark.sql.shuffle.partitions": str(parts),
