@@ -16,7 +16,7 @@ from array import array
 
 import numpy as np
 
-WORDS, PIECES = 250_000, 400_000
+WORDS, PIECES = 250_000, 800_000
 #: ASCII marks that end a word
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: blanks other than space and newline, which the library and Python may class differently
