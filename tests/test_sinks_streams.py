@@ -260,3 +260,14 @@ def test_usable_files_need_every_group():
     assert set(needed_columns(base | {"pickup_latitude", "pickup_longitude"})) == base - {"other"} | {"pickup_latitude", "pickup_longitude"}
     no_tip = base - {"tip_amount"} | {"PULocationID"}
     assert missing_groups(no_tip) == ["tip"] and needed_columns(no_tip, need_tip=False) is not None
+
+
+def test_clear_scratch_deletes_what_was_handed_out(spark):
+    from zonecast.session import clear_scratch, scratch_path
+
+    clear_scratch(spark)
+    used, unused = scratch_path(spark, "a"), scratch_path(spark, "b")
+    spark.range(3).write.parquet(used)
+    assert used != unused and spark.read.parquet(used).count() == 3
+    assert clear_scratch(spark) == 1 and clear_scratch(spark) == 0
+    assert not os.path.exists(used.removeprefix("file:"))

@@ -73,9 +73,30 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: folders handed out per application, for ``clear_scratch``
+_HANDED_OUT: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of the shared scratch root."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _HANDED_OUT.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the folders that this application got from ``scratch_path``; how many existed.
+
+    Frames that still read them stop working: call it when a job's results are
+    written.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    for path in _HANDED_OUT.pop(spark.sparkContext.applicationId, []):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        gone += bool(p.getFileSystem(conf).delete(p, True))
+    return gone
 
 
 def materialize(df, name: str = "stage"):

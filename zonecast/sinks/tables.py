@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -86,6 +87,14 @@ def upsert_latest(
     """
     keys = keys or S.AGG_KEYS
     new = batch_df.withColumn("batch_id", F.lit(int(batch_id)).cast("long")).withColumn("run_id", F.lit(run_id))
+    new.persist()  # read twice: for its partition values and for the merge
+    try:
+        _merge(spark, new, batch_id, path, keys, partition, run_id)
+    finally:
+        new.unpersist()
+
+
+def _merge(spark: SparkSession, new: DataFrame, batch_id: int, path: str, keys: list[str], partition: str, run_id: str) -> None:
     # partition values touched by this micro-batch: a few dates, metadata sized;
     # none means an empty batch.  As a literal IN-list they prune the scan below.
     touched = [r[0] for r in new.select(partition).distinct().toLocalIterator()]
@@ -215,19 +224,20 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path.rstrip('/')}/{version}")
 
 
-def export_csv(spark: SparkSession, input_dir: str, output_dir: str) -> list[str]:
+def export_csv(spark: SparkSession, input_dir: str, output_dir: str, at_once: int = 8) -> list[str]:
     """K5: one CSV directory per parquet file stem; finished stems are skipped;
     '._*' files are ignored.  A target counts as finished only with its
-    ``_SUCCESS`` mark; a half-written one is written anew."""
-    done = []
-    for f in list_files(spark, input_dir, ".parquet"):
-        stem = f.rsplit("/", 1)[-1][: -len(".parquet")]
-        target = f"{output_dir.rstrip('/')}/{stem}"
-        if path_exists(spark, f"{target}/_SUCCESS"):
-            continue
-        spark.read.parquet(f).write.mode("overwrite").option("header", True).csv(target)
-        done.append(stem)
-    return done
+    ``_SUCCESS`` mark; a half-written one is written anew.  Files may differ in
+    schema, so each is a job of its own, ``at_once`` of them side by side."""
+    target = lambda f: f"{output_dir.rstrip('/')}/{f.rsplit('/', 1)[-1][: -len('.parquet')]}"
+    todo = [f for f in list_files(spark, input_dir, ".parquet") if not path_exists(spark, f"{target(f)}/_SUCCESS")]
+
+    def export(f: str) -> str:
+        spark.read.parquet(f).write.mode("overwrite").option("header", True).csv(target(f))
+        return target(f).rsplit("/", 1)[-1]
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return list(pool.map(export, todo))
 
 
 def write_metrics_json(spark: SparkSession, metrics: dict, path: str) -> DataFrame:
