@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField
 
-from .common import annotate, unwrapped
+from .common import annotate, hash_sample, unwrapped
 from .pii_base import KINDS, LOCAL, base_spans, joined, luhn
 
 #: an entity has at most so many groups of digits or domain labels, and characters
@@ -414,11 +414,11 @@ def train(docs: DataFrame, *, sample_rows: int = 4000, windows: int = 800, id_co
     corpus without numbers still gives a model from the made-up cases.
     """
     spark = docs.sparkSession
-    ids = docs.select(F.col(id_col).alias("id")).filter("id is not null")
-    chosen = [r.id for r in ids.orderBy(F.xxhash64("id"), "id").limit(sample_rows).collect()]
+    ids = docs.select(F.col(id_col).cast("long").alias("id")).filter("id is not null").distinct()
+    chosen = [r.id for r in hash_sample(ids, "id", sample_rows)]
     if chosen:
         # sample_rows ids: the broadcast side and the collected windows have that bound
-        sample = F.broadcast(spark.createDataFrame([(i,) for i in sorted(set(chosen))], "id long"))
+        sample = F.broadcast(spark.createDataFrame([(i,) for i in sorted(chosen)], "id long"))
         texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(sample, "id")
         found = annotate(texts, "text", _window_lists, [StructField("windows", ArrayType(StringType()))])
         rows = found.filter(F.size("windows") > 0).select("windows").collect()

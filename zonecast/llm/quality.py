@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, StructField
 
-from .common import annotate, unwrapped
+from .common import annotate, hash_sample, stored, unwrapped
 from .ngrams import indicators
 
 #: fixed by the contract: rows whose remainder is 2 are held out
@@ -142,15 +142,16 @@ def train(
     of label 1.
     """
     spark = docs.sparkSession
-    marked = (
-        labels.select(F.col(id_col).alias("id"), (F.col(label_col) > 0).alias("good")).filter("id is not null and good is not null")
+    marked = stored(
+        labels.select(F.col(id_col).cast("long").alias("id"), (F.col(label_col) > 0).alias("good")).filter("id is not null and good is not null")
         .filter(~held_out(F.col("id"))).groupBy("id").agg(F.max("good").alias("good"))
-        .join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")
+        .join(docs.select(F.col(id_col).cast("long").alias("id")), "id", "left_semi"),
+        "quality-labels",
     )
     share = {r.good: r["count"] for r in marked.groupBy("good").count().collect()}
     chosen = [
         r for good in (True, False)
-        for r in marked.filter(F.col("good") == good).orderBy(F.xxhash64("id"), "id").limit(rows_per_class).collect()
+        for r in hash_sample(marked.filter(F.col("good") == good), "id", rows_per_class)
     ]
     n = sum(share.values())
     share_good = (share.get(True, 0) + 1) / (n + 2)
@@ -158,7 +159,7 @@ def train(
         return Model(bits, None, 0.0, 0.0, share_good)
     # bounded by 2 * rows_per_class rows
     sample = F.broadcast(spark.createDataFrame([(r.id, r.good) for r in chosen], "id long, good boolean"))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(sample, "id")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(sample, "id")
     found = annotate(texts, "text", _indicator_sets(bits), [StructField("seen", BinaryType())])
     rows = sorted(((r.id, r.good, r.seen) for r in found.select("whole.id", "whole.good", "seen").collect()), key=lambda r: (hash_order(r[0]), r[2]))
     return fit_rows([np.frombuffer(r[2], "<u4").astype(np.int32) for r in rows], np.asarray([r[1] for r in rows]), bits, share_good)
