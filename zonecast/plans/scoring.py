@@ -28,12 +28,13 @@ from .training import TRAIN_CTES, positioned
 
 def traffic_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored aggregate table (unrounded A1 output), materialised once: the
-    scorer reads it three times (newest window, latest row per zone, median)."""
+    scorer reads it for the newest window and for the latest row per zone."""
     return materialize(sliding_traffic_agg(clean_stream_trips(spark, sf_dir)))
 
 
 def latest_per_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return SC.latest_agg_per_zone(traffic_raw(spark, sf_dir))
+    """One row per zone, stored: the scorer reads it for its rows and for the median."""
+    return materialize(SC.latest_agg_per_zone(traffic_raw(spark, sf_dir)))
 
 
 def as_of(spark: SparkSession, sf_dir: str):

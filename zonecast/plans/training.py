@@ -57,12 +57,12 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def positioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature rows with their position in the (window_start, zone) order and split labels.
 
-    The feature table (zones x windows, far smaller than the trips) is
-    materialised once: the position, the split sizes and every downstream
-    baseline read it without rescanning the raw trips."""
+    The feature table (zones x windows, far smaller than the trips) is stored
+    once for the numbering, and the numbered rows once more: splits, baselines
+    and training read them without repeating the windows or the raw scan."""
     f = materialize(features(spark, sf_dir))
     n = f.select(F.count(F.lit(1))).scalar()  # of the stored features, not of the numbered join
-    return label_split(global_row_number(f, "window_start", ["pu_location_id"]), n=n)
+    return materialize(label_split(global_row_number(f, "window_start", ["pu_location_id"]), n=n))
 
 
 def train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
