@@ -225,12 +225,14 @@ def write_archive(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("page_id"),
         F.col(url_col).cast("string").alias("url"), payload.alias("payload"), F.unhex(F.sha1(payload)).alias("sha"),
     ), "warc-pages")
-    # minima are pre-aggregated in each task; only digests that repeat go on to the join,
-    # where the skew-join rule may split the many rows of one payload
+    # minima are pre-aggregated in each task; only digests that repeat go on to the join.  They are
+    # stored first, so the planner knows their size: where it is small no payload is shuffled,
+    # otherwise the skew-join rule may split the many rows of one payload
     least = F.min(F.struct(F.col("page_id").isNull(), "page_id", "row")).alias("first")
-    repeats = (
+    repeats = stored(
         rows.filter(F.length("payload") >= min_bytes).groupBy("sha").agg(least, F.count("*").alias("n")).filter("n > 1")
-        .select("sha", F.col("first.row").alias("first_row"), F.col("first.page_id").alias("first_id"))
+        .select("sha", F.col("first.row").alias("first_row"), F.col("first.page_id").alias("first_id")),
+        "warc-repeats",
     )
     linked = rows.join(repeats, "sha", "left").select("row", "page_id", "url", "payload", "first_row", "first_id")
     index = linked.mapInArrow(_write(f"{folder}/records", segment_bytes, chunk_bytes, roll_bytes), _INDEX_DDL)
