@@ -11,7 +11,7 @@ import json
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -143,11 +143,16 @@ def append_batch(batch_df: DataFrame, batch_id: int, path: str, run_id: str = "0
     )
 
 
+def _minute(moment: datetime) -> str:
+    """Folder text of a moment; folders are named in UTC, and a naive datetime is taken as UTC."""
+    return (moment.astimezone(timezone.utc) if moment.tzinfo else moment).strftime("%Y-%m-%d_%H-%M")
+
+
 def read_live(spark: SparkSession, path: str, since=None) -> DataFrame:
     """The live rows; ``since`` (a datetime) prunes the scan to newer emit minutes."""
     table = spark.read.parquet(path)
     if since is not None:
-        table = table.filter(F.col("emit_minute") >= since.strftime("%Y-%m-%d_%H-%M"))
+        table = table.filter(F.col("emit_minute") >= _minute(since))
     return table.drop(*_LIVE_PARTITIONS)
 
 
@@ -166,7 +171,7 @@ def prune_minutes(spark: SparkSession, path: str, as_of: datetime, minutes: int
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return 0
-    oldest = (as_of - timedelta(minutes=minutes)).strftime("%Y-%m-%d_%H-%M")
+    oldest = _minute(as_of - timedelta(minutes=minutes))
     gone = 0
     for st in fs.listStatus(p):
         name = st.getPath().getName()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +19,9 @@ def live_plan(raw: DataFrame) -> DataFrame:
 
 
 def newest_arrival(batch_df: DataFrame) -> datetime | None:
-    """The feed's own clock: the newest arrival time in a micro-batch."""
-    return batch_df.agg(F.max("emitted_at")).first()[0]
+    """The feed's own clock: the newest arrival time in a micro-batch (UTC)."""
+    us = batch_df.agg(F.unix_micros(F.max("emitted_at"))).first()[0]
+    return None if us is None else datetime.fromtimestamp(us // 1_000_000, timezone.utc)
 
 
 def run_live_stream(
@@ -48,10 +49,14 @@ def run_live_stream(
     def sink(batch_df: DataFrame, batch_id: int) -> None:
         if "id" not in run:
             run["id"] = run_id_of(spark, checkpoint)
-        batch_df.persist()
+        batch_df.persist()  # read twice: for the clock and for the write
         try:
-            append_batch(batch_df, batch_id, target_path, run["id"])
             now = clock(batch_df) if retention_minutes is not None else None
+            fresh = batch_df
+            if now is not None:  # what the next step would delete is not written
+                oldest = (now - timedelta(minutes=retention_minutes)).replace(second=0, microsecond=0)
+                fresh = batch_df.filter(F.col("emitted_at").isNull() | (F.col("emitted_at") >= F.lit(oldest)))
+            append_batch(fresh, batch_id, target_path, run["id"])
         finally:
             batch_df.unpersist()
         if now is not None:
