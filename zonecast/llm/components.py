@@ -22,22 +22,22 @@ def components(edges: DataFrame) -> DataFrame:
     neighbours to its smallest neighbour, then each node's smaller neighbours;
     rounds repeat until the table no longer changes, which takes about the
     logarithm of the longest shortest path.  Minima are pre-aggregated before
-    the shuffle and joins may be split by the skew-join rule, so a hub is not
-    bound to one task; no neighbour list is ever gathered.  Each round is
-    written to the shared folder.
+    the shuffle and stored, so that both sides of a join come straight from an
+    exchange: there the skew-join rule may split a hub's edges over many tasks.
+    No neighbour list is ever gathered.  Each step is written to the shared folder.
     """
     edges = stored(edges.select("hi", "lo").distinct(), "edges")
     before = _shape(edges)
     while before[0]:
         # the smallest neighbour of a node, itself included, seen from either end
-        least = (
+        least = stored(
             edges.select(F.col("lo").alias("lo"), F.col("lo").alias("m"))
             .unionByName(edges.select(F.col("hi").alias("lo"), F.col("lo").alias("m")))
-            .groupBy("lo").agg(F.min("m").alias("m"))
+            .groupBy("lo").agg(F.min("m").alias("m")), "least",
         )
         large = edges.join(least, "lo").select("hi", F.col("m").alias("lo")).distinct()
         large = stored(large, "edges")
-        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        least = stored(large.groupBy("hi").agg(F.min("lo").alias("m")), "least")
         joined = large.join(least, "hi")
         small = (
             joined.filter("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))

@@ -173,8 +173,10 @@ def near_duplicates(
     """
     rows, ids = _grouped(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")),
                          shingle, most, seed)
-    component = ids.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = ids.join(component, "root").select("fp", "component_id")
+    # stored between the joins: then both sides of each come straight from an exchange, and the
+    # skew-join rule may split a component or a print that holds many rows
+    component = stored(ids.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-components")
+    by_print = stored(ids.join(component, "root").select("fp", "component_id"), "simhash-by-print")
     return rows.join(by_print, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
@@ -191,7 +193,7 @@ def _grouped(rows: DataFrame, shingle: int, most: int, seed: int) -> tuple[DataF
     ids = classes.join(labels, classes.fp == labels.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
-    return printed, ids
+    return printed, stored(ids, "simhash-roots")
 
 
 def one_per_group(
