@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, DoubleType, StringType, StructField
 
@@ -109,6 +109,27 @@ def _gram_rows(bits: int):
     return make
 
 
+def _sample(rows: DataFrame, n: int) -> list[tuple]:
+    """At most ``n`` distinct (id, lang, key) of each language, those of smallest hash.
+
+    A language's threshold follows from its row count, so only about 1.2 n of its
+    rows leave the tasks; the counts come to the driver, one per language.
+    """
+    span = 1 << 40
+    total = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not total:
+        return []
+    share = F.create_map(*(x for lang, t in total.items() for x in (F.lit(lang), F.lit(span if t <= 2 * n else int(span * 1.2 * n / t)))))
+    hashed = rows.withColumn("place", F.pmod(F.xxhash64("id", "key"), F.lit(span)))
+    near = hashed.filter(F.col("place") < share[F.col("lang")]).distinct().collect()
+    out, taken = [], dict.fromkeys(total, 0)
+    for r in sorted(near, key=lambda r: (r.place, str(r.id), r.key)):
+        if taken[r.lang] < n:
+            taken[r.lang] += 1
+            out.append((r.id, r.lang, r.key))
+    return out
+
+
 def train(
     docs: DataFrame, *, bits: int = 13, rows_per_language: int = 400, centroids: int = 4, reject_share: float = 0.005,
     id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -133,15 +154,9 @@ def train(
         frequency[r.bucket] = r.n
     documents = frequency[-1]
     idf = np.log((1 + documents) / (1 + frequency[:-1])).astype(np.float32) + 1
-    # a per-task top-k by language comes before the shuffle, so a common language is not gathered
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id", "key"), "id")
-    chosen = (
-        learn.select("id", "lang", F.xxhash64("text").alias("key"))
-        .withColumn("place", F.row_number().over(order)).filter(F.col("place") <= rows_per_language)
-        .select("id", "lang", "key").distinct()
-    )
+    chosen = _sample(learn.select("id", "lang", F.xxhash64("text").alias("key")), rows_per_language)
     # rows_per_language rows a language: the broadcast and the collected vectors have that bound
-    sample = F.broadcast(spark.createDataFrame(chosen.collect(), "id string, lang string, key long"))
+    sample = F.broadcast(spark.createDataFrame(chosen, "id string, lang string, key long"))
     texts = learn.withColumn("key", F.xxhash64("text")).join(sample, ["id", "lang", "key"]).dropDuplicates(["id", "lang", "key"])
     found = annotate(texts, "text", _gram_rows(bits), [StructField("grams", BinaryType())])
     rows = sorted((r.lang, r.id, r.grams) for r in found.select("whole.lang", "whole.id", "grams").collect())
