@@ -56,6 +56,11 @@ def test_live_views_scan_only_the_window(spark):
 
 
 def test_latest_per_key_is_limited_before_the_shuffle(spark):
-    for key in ("dedup_agg", "latest_agg_per_zone", "latest_predictions", "dedup_features"):
-        text = _plan(plans.queries()[key](spark, SF_SMALL))
+    from zonecast.operators.scoring import latest_agg_per_zone
+    from zonecast.plans.scoring import traffic_raw
+
+    texts = {key: _plan(plans.queries()[key](spark, SF_SMALL)) for key in ("dedup_agg", "latest_predictions", "dedup_features")}
+    # the query stores its result, so the pick itself is looked at
+    texts["latest_agg_per_zone"] = _plan(latest_agg_per_zone(traffic_raw(spark, SF_SMALL)))
+    for key, text in texts.items():
         assert "SortAggregate" not in text and "WindowGroupLimit" in text, key
