@@ -4,14 +4,15 @@ Texts and items are sequences of word symbols.  A document is searched by window
 as long as each item.  The CGK random walk copies a sequence into a string three
 times as long, where the number of differing places depends on the edit
 distance; sampling a few places gives a key, and repeating walk and sampling
-finds a window within the allowed edits with the target recall (the number of
-repetitions is set by edited copies of the items themselves).  Windows that share
-a key with an item are verified by the exact edit distance.
-
-Only windows that can be near an item are embedded.  k edits leave one of k + 1
-disjoint pieces of the item whole, and move it by at most k places; so a near
-window starts within k words of where the first words of some piece put it.  The
-rule loses nothing; without it every word would start a window of every length.
+finds a copy within the allowed edits with the target recall (the number of
+repetitions is set by edited copies of the items themselves).  A window that
+shares a key with an item is widened by the allowed edits on both sides, and the
+best span in it, of any length, is found by the exact edit distance.
+
+Only windows at whose start a near span can start are embedded.  k edits leave one
+of k + 1 disjoint pieces of the item whole, and move it by at most k places; so a
+near span starts within k words of where the first words of some piece put it.
+The rule loses nothing; without it every word would start a window of every length.
 """
 
 from __future__ import annotations
@@ -107,6 +108,28 @@ def edit_distances(windows: np.ndarray, items: np.ndarray) -> np.ndarray:
     return last[np.arange(n), lengths]
 
 
+def best_spans(windows: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distance, start and end of the span of each window with the least edit distance to its item.
+
+    Both ends are free; of several best spans the first start counts, then the
+    first end.  Cells hold distance * scale + start, so one minimum serves both.
+    """
+    n, m = items.shape
+    lengths = (windows != FILLER).sum(axis=1)
+    columns = np.arange(windows.shape[1] + 1)
+    scale = len(columns)
+    last = np.broadcast_to(columns, (n, len(columns))).copy()
+    for i in range(m):
+        here = np.empty_like(last)
+        here[:, 0] = (i + 1) * scale
+        here[:, 1:] = np.minimum(last[:, :-1] + scale * (windows != items[:, i:i + 1]), last[:, 1:] + scale)
+        last = np.minimum.accumulate(here - scale * columns, axis=1) + scale * columns
+    last[columns > lengths[:, None]] = np.iinfo(last.dtype).max
+    end = last.argmin(axis=1)
+    best = last[np.arange(n), end]
+    return best // scale, best % scale, end
+
+
 # --- index -----------------------------------------------------------------------
 
 @dataclass
@@ -115,7 +138,8 @@ class Index:
 
     vocabulary: dict[bytes, int]
     rate: float
-    repetitions: int
+    #: by length
+    repetitions: dict[int, int]
     bits: int
     seed: int
     #: length -> (item ids, symbols, sorted keys, item position of each key)
@@ -124,48 +148,49 @@ class Index:
     seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
-def _edited(symbols: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarray:
-    """A window of the same length cut from a copy with so many random edits (new words, losses, extra words)."""
+#: kinds of edits: a new word, a loss, an extra word
+REPLACE, LOSE, ADD = range(3)
+
+
+def _edited(symbols: np.ndarray, edits: int, rng: np.random.Generator, kinds: tuple[int, ...] = (REPLACE, LOSE, ADD)) -> np.ndarray:
+    """The window of the same length at a copy with so many random edits; foreign words follow a copy that is shorter."""
     s = symbols.tolist()
     for _ in range(edits):
-        kind, at = rng.integers(3), int(rng.integers(len(s))) if s else 0
-        if kind == 0 and s:
+        kind, at = kinds[rng.integers(len(kinds))], int(rng.integers(len(s))) if s else 0
+        if kind == REPLACE and s:
             s[at] = OTHER
-        elif kind == 1 and s:
+        elif kind == LOSE and s:
             del s[at]
         else:
             s.insert(at, OTHER)
-    return np.asarray((s + [FILLER] * len(symbols))[:len(symbols)], np.int64)
+    return np.asarray((s + [OTHER] * len(symbols))[:len(symbols)], np.int64)
 
 
 def repetitions_for(
     lengths: dict[int, np.ndarray], rate: float, bits: int, seed: int, recall: float, trials: int = 60, most: int = 256,
-) -> int:
-    """Repetitions after which edited copies of the items are found with the target recall.
+) -> dict[int, int]:
+    """By length, the repetitions after which edited copies of the items are found with the target recall.
 
-    Copies carry half to all of the edits that still leave the window within
-    the limit; the answer is the smallest power of two that reaches ``recall``
-    among the copies that are within it.
+    Copies carry half to all of the allowed edits, of all kinds mixed, only
+    losses, or only extra words; the answer is the smallest power of two that
+    reaches ``recall`` for each of the three.
     """
     rng = np.random.default_rng(seed)
-    worst = 1
+    out = {}
     for m, symbols in sorted(lengths.items()):
         k = allowed(m, rate)
+        out[m] = 1
         if k == 0:
             continue
         chosen = symbols[rng.integers(0, len(symbols), trials)]
-        copies = np.stack([_edited(s, int(rng.integers(max(1, k // 2), k + 1)), rng) for s in chosen])
-        within = edit_distances(copies, chosen) <= k
-        if not within.any():
-            continue
-        same = keys(copies[within], m, most, bits, seed) == keys(chosen[within], m, most, bits, seed)
-        for r in (1, 2, 4, 8, 16, 32, 64, 128, most):
-            if r >= worst and same[:, :r].any(axis=1).mean() >= recall:
-                worst = max(worst, r)
-                break
-        else:
-            worst = most
-    return worst
+        copies = [
+            _edited(s, int(rng.integers(max(1, k // 2), k + 1)), rng, kinds)
+            for kinds in ((REPLACE, LOSE, ADD), (LOSE,), (ADD,)) for s in chosen
+        ]
+        same = keys(np.stack(copies), m, most, bits, seed).reshape(3, trials, most) == keys(chosen, m, most, bits, seed)
+        while out[m] < most and same[:, :, :out[m]].any(axis=2).mean(axis=1).min() < recall:
+            out[m] *= 2
+    return out
 
 
 #: a seed is at most so many words of a piece
@@ -213,11 +238,11 @@ def build_index(
     repetitions = repetitions_for(symbols, rate, bits, seed, recall)
     by_length = {}
     for m, g in grouped.items():
-        key = keys(symbols[m], m, repetitions, bits, seed)
+        key = keys(symbols[m], m, repetitions[m], bits, seed)
         order = np.argsort(key.ravel(), kind="stable")
         by_length[m] = (
             np.asarray([i for i, _ in g], np.int64), symbols[m], key.ravel()[order],
-            np.repeat(np.arange(len(g)), repetitions)[order],
+            np.repeat(np.arange(len(g)), repetitions[m])[order],
         )
     return Index(vocabulary, rate, repetitions, bits, seed, by_length, _seeds(symbols, rate))
 
@@ -250,7 +275,7 @@ def candidate_windows(index: Index, symbols: np.ndarray, starts: np.ndarray, siz
         begin = position - starts[text] - places[seed]
         for m in np.unique(lengths[seed]):
             of_m, k = lengths[seed] == m, allowed(int(m), index.rate)
-            room = np.maximum(0, sizes[text[of_m]] - m)
+            room = np.maximum(0, sizes[text[of_m]] - m + k)
             shifted = begin[of_m][:, None] + np.arange(-k, k + 1)
             shifted = np.clip(shifted, 0, room[:, None])
             rows = np.stack([np.repeat(text[of_m], 2 * k + 1), shifted.ravel()], axis=1)
@@ -261,45 +286,46 @@ def candidate_windows(index: Index, symbols: np.ndarray, starts: np.ndarray, siz
 def search(index: Index, texts: list[np.ndarray]) -> Iterator[tuple[int, int, int, int, int, int]]:
     """(text, item id, start, words, distance, near windows) for each text and item that are near.
 
-    The window with the least distance stands for the pair, of several the first.
+    The span with the least distance stands for the pair, of several the first.
     """
     sizes = np.asarray([len(t) for t in texts], np.int64)
     if not sizes.sum():
         return
     longest = max(index.by_length, default=1)
     gap = np.full(1, OTHER, np.int64)
-    joined = np.concatenate([x for t in texts for x in (t, gap)] + [np.zeros(longest, np.int64)])
+    joined = np.concatenate([x for t in texts for x in (t, gap)] + [np.zeros(longest + 3 * allowed(longest, index.rate), np.int64)])
     first = np.cumsum(sizes + 1) - sizes - 1
     for m, place in sorted(candidate_windows(index, joined, first, sizes).items()):
         ids, items, sorted_keys, owners = index.by_length[m]
-        k = allowed(m, index.rate)
+        k, repetitions = allowed(m, index.rate), index.repetitions[m]
         pairs = []
         for a in range(0, len(place), 4096):
             window = _windows(joined, first, sizes, place[a:a + 4096], m)
-            key = keys(window, m, index.repetitions, index.bits, index.seed).ravel()
+            key = keys(window, m, repetitions, index.bits, index.seed).ravel()
             low, high = np.searchsorted(sorted_keys, key, "left"), np.searchsorted(sorted_keys, key, "right")
             hit = np.flatnonzero(high > low)
             if len(hit):
                 count = (high - low)[hit]
-                row = np.repeat(hit // index.repetitions, count) + a
+                row = np.repeat(hit // repetitions, count) + a
                 pairs.append(np.unique(np.stack([row, owners[_expand(low[hit], count)]], axis=1), axis=0))
         if not pairs:
             continue
         pairs = np.concatenate(pairs)
-        distance = np.concatenate([
-            edit_distances(_windows(joined, first, sizes, place[part[:, 0]], m), items[part[:, 1]])
-            for part in np.split(pairs, range(4096, len(pairs), 4096))
-        ])
-        near = distance <= k
         best: dict[tuple[int, int], list[int]] = {}
-        for (row, item), d in zip(pairs[near].tolist(), distance[near].tolist()):
-            text, start = place[row].tolist()
-            seen = best.setdefault((text, item), [d, start, 0])
-            seen[2] += 1
-            if (d, start) < (seen[0], seen[1]):
-                seen[0], seen[1] = d, start
-        for (text, item), (d, start, n) in sorted(best.items()):
-            yield text, int(ids[item]), start, min(m, len(texts[text])), d, n
+        for a in range(0, len(pairs), 4096):
+            part = pairs[a:a + 4096]
+            wide = place[part[:, 0]].copy()
+            wide[:, 1] = np.maximum(0, wide[:, 1] - k)
+            spans = best_spans(_windows(joined, first, sizes, wide, m + 2 * k), items[part[:, 1]])
+            near = np.flatnonzero(spans[0] <= k)
+            rows = zip(wide[near].tolist(), part[near, 1].tolist(), *(x[near].tolist() for x in spans))
+            for (text, begin), item, d, start, end in rows:
+                span = [d, begin + start, end - start]
+                seen = best.setdefault((text, item), [*span, 0])
+                seen[3] += 1
+                seen[:3] = min(seen[:3], span)
+        for (text, item), (d, start, n_words, n) in sorted(best.items()):
+            yield text, int(ids[item]), start, n_words, d, n
 
 
 def _windows(joined: np.ndarray, first: np.ndarray, sizes: np.ndarray, place: np.ndarray, m: int) -> np.ndarray:
@@ -351,13 +377,13 @@ def hits(
 ) -> DataFrame:
     """One row per row of ``docs`` and item that are near; row is a number for the row of ``docs``.
 
-    row, doc_id, item_id, start_word, n_words, distance (word edits, at most
-    floor(rate * the item's words)), n_windows (near windows found).  The items
+    row, doc_id, item_id, start_word, n_words (of the nearest span, of any
+    length), distance (word edits, at most floor(rate * the item's words)),
+    n_windows (item-sized windows that led to a near span).  The items
     are the stated query set: they are searched in blocks of bounded size, each
     a pass over all documents.  Null or wordless texts and items have no rows;
-    an item id that repeats with another text reports each text's best window;
-    repeated rows are reported one by one.  Texts shorter than an item are one
-    window.  Other columns are ignored; an empty table gives no rows.
+    an item id that repeats with another text reports each text's best span;
+    repeated rows are reported one by one.  Other columns are ignored; an empty table gives no rows.
     """
     ready(docs.sparkSession)
     rows = key_and_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
