@@ -83,3 +83,12 @@ def test_recall_against_all_spans(spark, made):  # noqa: F811
                 want[r, i] = min(min(row), want.get((r, i), 99))
     assert set(found) <= set(want) and len(want) > 50
     assert len(found) >= 0.98 * len(want) and sum(found[x] == want[x] for x in found) >= 0.95 * len(found)
+
+
+def test_null_item_id(spark):
+    item = "one two three four five six seven eight nine ten"
+    df = frame(spark, [(1, f"x {item} y"), (2, "nothing of the kind in here at all, not even near")])
+    bench = spark.createDataFrame([(None, item), (7, "another passage that no text has at all"), (None, None)], ITEMS)
+    rows = [(r["doc_id"], r["item_id"], r["start_word"], r["distance"]) for r in collected(decontam.hits(df, bench))]
+    assert rows == [(1, None, 1, 0)]
+    assert [r["doc_id"] for r in collected(decontam.clean(df, bench))] == [2]

@@ -143,7 +143,7 @@ class Index:
     bits: int
     seed: int
     #: length -> (item ids, symbols, sorted keys, item position of each key)
-    by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+    by_length: dict[int, tuple[list[int | None], np.ndarray, np.ndarray, np.ndarray]]
     #: words in a seed -> (sorted seed hashes, item length and place of each)
     seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
 
@@ -222,7 +222,7 @@ def _seeds(grouped: dict[int, np.ndarray], rate: float) -> dict[int, tuple[np.nd
 
 
 def build_index(
-    items: list[tuple[int, str | None]], *, rate: float = 0.2, bits: int = 3, seed: int = 1, recall: float = 0.98,
+    items: list[tuple[int | None, str | None]], *, rate: float = 0.2, bits: int = 3, seed: int = 1, recall: float = 0.98,
 ) -> Index:
     """Items without a word are left out (nothing can match them)."""
     split = [(i, words_of(t)) for i, t in items]
@@ -241,7 +241,7 @@ def build_index(
         key = keys(symbols[m], m, repetitions[m], bits, seed)
         order = np.argsort(key.ravel(), kind="stable")
         by_length[m] = (
-            np.asarray([i for i, _ in g], np.int64), symbols[m], key.ravel()[order],
+            [i for i, _ in g], symbols[m], key.ravel()[order],
             np.repeat(np.arange(len(g)), repetitions[m])[order],
         )
     return Index(vocabulary, rate, repetitions, bits, seed, by_length, _seeds(symbols, rate))
@@ -283,7 +283,7 @@ def candidate_windows(index: Index, symbols: np.ndarray, starts: np.ndarray, siz
     return {m: np.unique(np.concatenate(parts), axis=0) for m, parts in found.items()}
 
 
-def search(index: Index, texts: list[np.ndarray]) -> Iterator[tuple[int, int, int, int, int, int]]:
+def search(index: Index, texts: list[np.ndarray]) -> Iterator[tuple[int, int | None, int, int, int, int]]:
     """(text, item id, start, words, distance, near windows) for each text and item that are near.
 
     The span with the least distance stands for the pair, of several the first.
@@ -325,7 +325,7 @@ def search(index: Index, texts: list[np.ndarray]) -> Iterator[tuple[int, int, in
                 seen[3] += 1
                 seen[:3] = min(seen[:3], span)
         for (text, item), (d, start, n_words, n) in sorted(best.items()):
-            yield text, int(ids[item]), start, n_words, d, n
+            yield text, ids[item], start, n_words, d, n
 
 
 def _windows(joined: np.ndarray, first: np.ndarray, sizes: np.ndarray, place: np.ndarray, m: int) -> np.ndarray:
@@ -357,7 +357,7 @@ def _find(index: Index):
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, items_per_block: int, block_bytes: int):
     """Items in blocks of bounded number and size, in a fixed order; one block is on the driver at a time."""
     rows = benchmark.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")).filter(
-        "i is not null and t is not null"
+        "t is not null"
     ).orderBy("i", "t")
     block, size = [], 0
     for r in rows.toLocalIterator():
@@ -382,7 +382,7 @@ def hits(
     n_windows (item-sized windows that led to a near span).  The items
     are the stated query set: they are searched in blocks of bounded size, each
     a pass over all documents.  Null or wordless texts and items have no rows;
-    an item id that repeats with another text reports each text's best span;
+    an item id that repeats with another text, or is null, reports each text's best span;
     repeated rows are reported one by one.  Other columns are ignored; an empty table gives no rows.
     """
     ready(docs.sparkSession)
