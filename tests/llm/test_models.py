@@ -113,6 +113,30 @@ def test_quality_edges(spark):
     assert quality.train(frame(spark, []), labels).weights is None
 
 
+def test_few_labels_of_a_class_are_still_fitted():
+    rng = np.random.default_rng(2)
+    for n in (4, 11, 60):
+        for at in ((0, 1), (n - 2, n - 1), (0, n - 1), *([(4, 9)] if n > 9 else [])):
+            label = np.ones(n, bool)
+            label[list(at)] = False
+            rows = [np.sort(rng.choice(500, 20, replace=False)) + (0 if good else 500) for good in label]
+            model = quality.fit_rows(rows, label, 10, label.mean())
+            assert model.weights is not None
+            margin = [model.weights[r].sum() for r in rows]
+            if n > 10:
+                assert min(m for m, g in zip(margin, label) if g) > max(m for m, g in zip(margin, label) if not g)
+
+
+def test_nothing_fitted_keeps_every_row(spark):
+    rows = [(i, f"some words of text {i}") for i in range(20)] + [(None, None), (3, "")]
+    df = frame(spark, rows, [("score", 1), ("whole", 2)])
+    one_bad = [(i, int(i > 0)) for i in range(20) if remainder(i) != 2]
+    for labels in ([], [(i, 0) for i in range(9)], [(i, 1) for i in range(9)], one_bad):
+        model = quality.train(df, spark.createDataFrame(labels, "doc_id long, quality int"))
+        kept = quality.accepted(df, model)
+        assert model.weights is None and kept.columns == df.columns and kept.count() == len(rows)
+
+
 # --- language --------------------------------------------------------------------
 
 def test_cluster():

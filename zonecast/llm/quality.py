@@ -29,7 +29,7 @@ def held_out(key: Column) -> Column:
 
 @dataclass
 class Model:
-    """score = logistic(slope * margin + shift), margin over bucket weights; no weights: constant."""
+    """score = logistic(slope * margin + shift), margin over bucket weights; no weights: constant, nothing was fitted."""
 
     bits: int
     weights: np.ndarray | None
@@ -100,12 +100,21 @@ def _logistic(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tupl
 
 
 def fit_rows(rows: list[np.ndarray], label: np.ndarray, bits: int, share_good: float, c: float = 10.0) -> Model:
-    """Fit on indicator sets; every fifth row is kept back for the logistic map."""
+    """Fit on indicator sets; every fifth row is kept back for the logistic map.
+
+    Both parts hold both classes where two rows of each exist: a class that every
+    fifth row misses gives its last row, one that it takes up gets it back.  With
+    fewer rows nothing is fitted.
+    """
     size = 1 << bits
     y = np.where(label > 0, 1.0, -1.0)
-    back = np.arange(len(rows)) % 5 == 4
-    if len({*y[~back]}) < 2 or len({*y[back]}) < 2:
+    if min((y > 0).sum(), (y <= 0).sum()) < 2:
         return Model(bits, None, 0.0, 0.0, share_good)
+    back = np.arange(len(rows)) % 5 == 4
+    for sign in (1.0, -1.0):
+        of_class = np.flatnonzero(y == sign)
+        if len({*back[of_class]}) < 2:
+            back[of_class[-1]] = not back[of_class[-1]]
     fit = np.flatnonzero(~back)
     ratio = log_count_ratio([rows[i] for i in fit], y[fit], size)
     scale = [1 / np.sqrt(max(1, len(r))) for r in rows]
@@ -138,8 +147,8 @@ def train(
 
     The sample is every class's rows of smallest hash of the id, held-out rows
     excluded.  Null labels and labels without a document are left out, repeated
-    ids count once.  With fewer than two classes the score is the smoothed share
-    of label 1.
+    ids count once.  With fewer than two rows of either class nothing is fitted:
+    the score is the smoothed share of label 1, and ``accepted`` keeps every row.
     """
     spark = docs.sparkSession
     marked = stored(
@@ -187,5 +196,10 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame
 
 
 def accepted(docs: DataFrame, model: Model, threshold: float = 0.7, *, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose score reaches ``threshold``, with their own columns."""
+    """The rows of ``docs`` whose score reaches ``threshold``, with their own columns.
+
+    All rows where nothing could be fitted: a constant says nothing about a text.
+    """
+    if model.weights is None:
+        return docs
     return score(docs, model, text_col=text_col).filter(F.col("score") >= threshold).select(*unwrapped(docs))
