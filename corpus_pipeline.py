@@ -38,8 +38,8 @@ def personal_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of 1024-token sequences; the last stage."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_ids=False).drop("ids")
+    """Pieces of 1024-token sequences with their token ids; the last stage."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [

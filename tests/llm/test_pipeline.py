@@ -70,3 +70,35 @@ def test_edges(spark, tmp_dir):
     for t in ("labels", "benchmark"):
         spark.read.parquet(f"{tmp_dir}/{t}.parquet").write.parquet(f"{tmp_dir}/e/{t}.parquet")
     assert P.run(spark, f"{tmp_dir}/e").count() == 0
+
+
+def test_last_stage_returns_the_token_ids(spark):
+    """The packed corpus can be rebuilt from the result alone."""
+    import corpus_pipeline as P
+    import numpy as np
+    from tokenizers import Tokenizer
+    from zonecast.llm import packing
+
+    texts = [(1, "some words of the first text"), (2, None), (3, "more " * 2500)]
+    pieces = P.stored(P.pack_stage(spark, frame(spark, texts), SF), "test-stage")
+    tok = Tokenizer.from_file(P.public_tokenizers.path("byte_bpe_50k.json"))
+    want = {k: [*tok.encode(t or "", add_special_tokens=False).ids, 0] for k, t in texts}
+    got = {}
+    for r in sorted(collected(pieces), key=lambda r: (r["doc_id"], r["start"])):
+        got.setdefault(r["doc_id"], []).extend(np.frombuffer(r["ids"], "<u4").tolist())
+    assert got == want
+    rows = collected(packing.sequences(pieces))
+    assert all(len(r["input_ids"]) == 4 * 1024 for r in rows)
+    assert sum(r["n_tokens"] for r in rows) == sum(map(len, want.values()))
+
+
+def test_op1_digests_are_those_of_the_ids(spark):
+    import corpus_pipeline as P
+    from zonecast.llm import packing
+    from zonecast.llm.queries import op1_packing
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    whole = packing.pack(docs, P.public_tokenizers.path("byte_bpe_50k.json"))
+    key = lambda r: (r["doc_id"], r["start"])
+    got = sorted(collected(op1_packing(spark, SF)), key=key)
+    assert got == sorted(({n: v for n, v in r.items() if n != "ids"} for r in collected(whole)), key=key)
