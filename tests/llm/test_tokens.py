@@ -160,3 +160,19 @@ def test_damage_is_noticed(spark, tmp_dir):
         f.write(b"half")
     assert records.read_records(spark, tmp_dir).count() == 1
     assert len(glob.glob(f"{tmp_dir}/records/*.rec")) == 2
+
+
+@pytest.mark.parametrize("path,style", [(BYTES, "leading"), (WORDS, "dropped")])
+def test_added_tokens_in_a_text_are_ordinary_letters(path, style):
+    """Against a tokenizer as it is loaded: the ids differ only where a text spells an added token."""
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(path)
+    added = {i: t.content for i, t in plain.get_added_tokens_decoder().items()}
+    assert added
+    spelled = [f"the {t} the" for t in added.values()]
+    texts = [t for t in ODD if not any(a in t for a in added.values())] + spelled
+    for text, got in zip(texts, tokenizer(path, style).encode(texts)):
+        ids, want = np.frombuffer(got, "<u4").tolist(), plain.encode(text, add_special_tokens=False).ids
+        assert not set(ids) & set(added)
+        assert (ids != want and set(want) & set(added)) if text in spelled else ids == want

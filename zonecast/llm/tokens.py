@@ -2,7 +2,9 @@
 
 Byte-pair merges never cross the pre-tokeniser's pieces, so a text can be cut at
 safe blanks, each distinct word split into pieces, each distinct piece merged once
-by the library's model, and the ids joined again.  The memos live as long as the
+by the library's model, and the ids joined again.  A text that spells an added token
+(``<|endoftext|>``) gets the ids of its letters, not the special id, which marks
+document ends: ``encode_special_tokens`` is on, unlike the library's default.  The memos live as long as the
 Python worker and are emptied at ``WORDS`` and ``PIECES`` entries; they change the time, never the
 ids.  Texts with unusual blanks, and words beyond plain Latin letters, go through
 the library's full encoder.
