@@ -99,3 +99,11 @@ def test_no_python_in_the_plan(spark, capsys):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rules.measure(docs).explain()
     assert not any(w in capsys.readouterr().out for w in ("Python", "Arrow", "Exchange"))
+
+
+def test_least_rows_that_certify():
+    """The counts that the docstring and the README state."""
+    for strata, least in ((1, 875), (2, 1013), (3, 1094), (4, 1151)):
+        for n in (least - 1, least):
+            tallied = {str(s): counts(n, 9, lambda _: 0, lambda _: 1) for s in range(strata)}
+            assert bool(rules.choose(tallied, 0.02, 0.05).values) == (n == least)
