@@ -7,7 +7,7 @@ import pytest
 from zonecast.llm.queries import ORACLE_SQL, QUERIES
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-TABLES = ("documents", "pages", "labels", "benchmark")
+TABLES = ("documents", "pages", "labels", "benchmark", "embeddings")
 
 
 def duck(sf):
@@ -29,5 +29,5 @@ def test_oracle(spark, name, sf):
     assert rows == sorted(tuple(str(r[i]) for i in at) for r in want.fetchall())
 
 
-def test_ten_queries():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{n}" for n in range(1, 11)]
+def test_all_queries():
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{n}" for n in range(1, 14)]

@@ -10,5 +10,8 @@ rules      risk-controlled cutoffs on quality statistics (DataFrame functions on
 records    length-delimited binary token records with an offset index
 decontam   CGK embedding, bit-sampling LSH and exact edit verification
 simhash    SimHash fingerprints linked through Golay-code keys
+spelling   words one edit apart through Bloom-guided neighbourhoods
+centroids  exact integer k-means filtered by an n-simplex projection
+topk       exact inner-product top k from an impact-ordered index
 queries    the catalogue entries that run them on the test tables
 """

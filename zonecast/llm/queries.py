@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import decontam, langid, packing, pii, quality, records, rules, sharding, simhash, warc
+from . import centroids, decontam, langid, packing, pii, quality, records, rules, sharding, simhash, spelling, topk, warc
 from .common import stored
 
 
@@ -85,6 +85,18 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 WARC_SQL = """
 with p as (
   select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages
@@ -165,6 +177,99 @@ from b
 """
 
 
+SPELLING_SQL = """
+with recursive tab as (
+  -- the CRC-32 table: eight shifts of each byte
+  select list_transform(range(0, 256), lambda n: list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+    lambda c, x: case when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end)) as t
+), runs as (
+  select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as k
+  from (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) as run from documents) group by all
+), hashed as (
+  select run, k, xor(4294967295::bigint, list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(
+      string_split(doc_id::varchar || ':' || run, ''),
+      lambda c: case when unicode(c) < 128 then [unicode(c)::bigint] else [195::bigint, unicode(c)::bigint - 64] end))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) as h
+  from runs, tab where length(run) >= 7
+), cut as (
+  select case when h % 31 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, k
+  from hashed
+), words as materialized (
+  select word, cast(sum(k) as bigint) as n from cut where length(word) >= 7 group by word having sum(k) >= 2
+), less as materialized (
+  select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as v from words, unnest(range(1, length(word) + 1)) as u(i)
+), pairs as (
+  select a.word as x, b.word as y from less a join less b on a.v = b.v and a.i = b.i and a.word <> b.word
+  union select l.word, w.word from less l join words w on l.v = w.word
+  union select w.word, l.word from less l join words w on l.v = w.word
+), near as (
+  select x as word, words.word as near, words.n as near_n from pairs join words on y = words.word
+), best as (
+  select *, row_number() over (partition by word order by near_n desc, near) as place, count(*) over (partition by word) as n_near
+  from near
+), formed as materialized (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when near_n >= 10 * w.n then near end as form,
+    case when near_n >= 10 * w.n then near_n end as form_n
+  from words w left join best b on w.word = b.word and place = 1
+), path as (
+  select word, coalesce(form, word) as root, form is null as done from formed
+  union all
+  select p.word, coalesce(f.form, p.root), f.form is null from path p join formed f on p.root = f.word where not p.done
+)
+select f.word, f.form, p.root, f.n, f.n_near, f.form_n from formed f join path p on f.word = p.word and p.done
+"""
+
+FINITE = "embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+
+TOPK_SQL = f"""
+with v as materialized (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as q
+  from embeddings where {FINITE}
+), s as (
+  select a.r, a.vec_id as query_id, b.vec_id, coalesce(list_sum(list_transform(range(1, least(len(a.q), len(b.q)) + 1),
+    lambda i: a.q[i] * b.q[i])), 0) as score
+  from v a join v b on a.vec_id <> b.vec_id or b.vec_id is null where a.vec_id % 100 = 0
+), ranked as (
+  select *, row_number() over (partition by r order by score desc, vec_id nulls last) as rank from s
+)
+select query_id, cast(rank as int) as rank, vec_id, cast(score as bigint) as score from ranked where rank <= 10
+"""
+
+
+def centroids_sql(rounds: int = 5) -> str:
+    """DuckDB text of op12_centroids: every vector against every centroid, round by round."""
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(f"""a{n} as materialized (
+  select r, min(64 * d + c) as m from (
+    select v.r, c, list_sum(list_transform(range(1, 65), lambda i: (v.q[i] - k.q[i]) * (v.q[i] - k.q[i]))) as d from v, c{n} k
+  ) group by r
+)""")
+        if n < rounds:
+            steps.append(f"""c{n + 1} as materialized (
+  select k.c, coalesce(m.q, k.q) as q from c{n} k left join (
+    -- the remainder is made positive, so that the division is exact: a floor
+    select c, list((s - ((s % n) + n) % n) // n order by i) as q from (
+      select a.m % 64 as c, i, sum(v.q[i])::bigint as s, count(*) as n from a{n} a join v using (r), unnest(range(1, 65)) as u(i) group by all
+    ) group by c
+  ) m using (c)
+)""")
+    return f"""
+with v as materialized (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as q
+  from embeddings where {FINITE} and len(embedding) = 64
+), c0 as materialized (
+  select row_number() over (order by h nulls last, q) - 1 as c, q from (
+    select sha256('2:' || vec_id) as h, q from v order by h nulls last, q limit 40
+  )
+), {", ".join(steps)}
+, d as (select r, cast(m % 64 as int) as cluster, cast(m // 64 as bigint) as distance from a{rounds})
+select vec_id, cluster, distance, cast(sum(distance) over (partition by cluster) as bigint) as cluster_inertia,
+  cast(sum(distance) over () as bigint) as inertia, sha256(array_to_string(k.q, ',')) as centroid_sha256
+from d join v using (r) join c{rounds} k on k.c = d.cluster
+"""
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_pii": op2_pii,
@@ -176,6 +281,12 @@ QUERIES = {
     "op8_token_records": op8_token_records,
     "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,
+    "op11_spelling": op11_spelling,
+    "op12_centroids": op12_centroids,
+    "op13_topk": op13_topk,
 }
 #: the SQL of the operators that SQL can express
-ORACLE_SQL: dict[str, str] = {"op3_warc": WARC_SQL, "op7_rules": rules_sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op3_warc": WARC_SQL, "op7_rules": rules_sql(), "op11_spelling": SPELLING_SQL, "op12_centroids": centroids_sql(),
+    "op13_topk": TOPK_SQL,
+}
