@@ -20,7 +20,10 @@ def plain_distance(a, b):
 
 
 def plain_hits(docs, items, rate=0.2):
-    """Every window of every text against every item."""
+    """Every span, of any length, of every text against every item: (least distance, first start of such a span).
+
+    A row of the table holds, for each place where a span can end, the least (distance, start).
+    """
     out = {}
     for r, (_, text) in enumerate(docs):
         words = decontam.words_of(text)
@@ -29,10 +32,15 @@ def plain_hits(docs, items, rate=0.2):
             m, k = len(want), int(rate * len(want) + 1e-9)
             if not m or not words:
                 continue
-            for s in range(max(1, len(words) - m + 1)):
-                d = plain_distance(words[s:s + m], want)
-                if d <= k and (d, s) < out.get((r, i), (99, 0)):
-                    out[r, i] = (d, s)
+            row = [(0, j) for j in range(len(words) + 1)]
+            for n, x in enumerate(want, 1):
+                last, row[0] = row[0], (n, 0)
+                for j, y in enumerate(words, 1):
+                    ways = (last[0] + (x != y), last[1]), (row[j][0] + 1, row[j][1]), (row[j - 1][0] + 1, row[j - 1][1])
+                    last, row[j] = row[j], min(ways)
+            d, s = min(row)
+            if d <= k and (d, s) < out.get((r, i), (99, 0)):
+                out[r, i] = (d, s)
     return out
 
 

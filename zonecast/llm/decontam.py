@@ -13,6 +13,11 @@ Only windows at whose start a near span can start are embedded.  k edits leave o
 of k + 1 disjoint pieces of the item whole, and move it by at most k places; so a
 near span starts within k words of where the first words of some piece put it.
 The rule loses nothing; without it every word would start a window of every length.
+
+Items over ``PART_WORDS`` words are searched by equal parts of at most that length, as a
+walk drifts apart with the square of the edits.  That loses nothing either: if every part
+had more than ``rate`` edits a word, so would the item.  Around a part's candidate the
+whole item is verified.
 """
 
 from __future__ import annotations
@@ -132,19 +137,25 @@ def best_spans(windows: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.n
 
 # --- index -----------------------------------------------------------------------
 
+#: longer items are searched by parts of at most so many words
+PART_WORDS = 120
+
+
 @dataclass
 class Index:
-    """Items of one block: vocabulary, symbols by length, and keys."""
+    """Items of one block: vocabulary, and their parts (a short item is one part) with symbols and keys by length."""
 
     vocabulary: dict[bytes, int]
     rate: float
-    #: by length
+    #: by part length; 0: sampling does not reach the recall, every window that the seeds allow is verified
     repetitions: dict[int, int]
     bits: int
     seed: int
-    #: length -> (item ids, symbols, sorted keys, item position of each key)
-    by_length: dict[int, tuple[list[int | None], np.ndarray, np.ndarray, np.ndarray]]
-    #: words in a seed -> (sorted seed hashes, item length and place of each)
+    #: (id, symbols)
+    items: list[tuple[int | None, np.ndarray]]
+    #: part length -> ((item, first word) of each part, symbols, sorted keys, part of each key)
+    by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+    #: words in a seed -> (sorted seed hashes, part length and place of each)
     seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
@@ -173,7 +184,7 @@ def repetitions_for(
 
     Copies carry half to all of the allowed edits, of all kinds mixed, only
     losses, or only extra words; the answer is the smallest power of two that
-    reaches ``recall`` for each of the three.
+    reaches ``recall`` for each of the three, or 0 if ``most`` does not.
     """
     rng = np.random.default_rng(seed)
     out = {}
@@ -190,6 +201,8 @@ def repetitions_for(
         same = keys(np.stack(copies), m, most, bits, seed).reshape(3, trials, most) == keys(chosen, m, most, bits, seed)
         while out[m] < most and same[:, :, :out[m]].any(axis=2).mean(axis=1).min() < recall:
             out[m] *= 2
+        if same[:, :, :out[m]].any(axis=2).mean(axis=1).min() < recall:
+            out[m] = 0
     return out
 
 
@@ -230,21 +243,24 @@ def build_index(
     for _, words in split:
         for w in words:
             vocabulary.setdefault(w, len(vocabulary) + 2)
+    listed = [(i, np.asarray([vocabulary[w] for w in words], np.int64)) for i, words in split if words]
     grouped: dict[int, list] = {}
-    for i, words in split:
-        if words:
-            grouped.setdefault(len(words), []).append((i, [vocabulary[w] for w in words]))
-    symbols = {m: np.asarray([s for _, s in g], np.int64) for m, g in grouped.items()}
+    for number, (_, item) in enumerate(listed):
+        parts = -(-len(item) // PART_WORDS)
+        borders = [len(item) * p // parts for p in range(parts + 1)]
+        for a, z in zip(borders, borders[1:]):
+            grouped.setdefault(z - a, []).append((number, a, item[a:z]))
+    symbols = {m: np.stack([x for _, _, x in g]) for m, g in grouped.items()}
     repetitions = repetitions_for(symbols, rate, bits, seed, recall)
     by_length = {}
     for m, g in grouped.items():
         key = keys(symbols[m], m, repetitions[m], bits, seed)
         order = np.argsort(key.ravel(), kind="stable")
         by_length[m] = (
-            [i for i, _ in g], symbols[m], key.ravel()[order],
+            np.asarray([(number, a) for number, a, _ in g]), symbols[m], key.ravel()[order],
             np.repeat(np.arange(len(g)), repetitions[m])[order],
         )
-    return Index(vocabulary, rate, repetitions, bits, seed, by_length, _seeds(symbols, rate))
+    return Index(vocabulary, rate, repetitions, bits, seed, listed, by_length, _seeds(symbols, rate))
 
 
 def _expand(low: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -252,13 +268,21 @@ def _expand(low: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.repeat(low, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
 
 
+#: seed hits that are looked at together, and cells of a table of distances
+SEEDS_AT_ONCE, CELLS = 1 << 20, 1 << 21
+
+
 def candidate_windows(index: Index, symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> dict[int, np.ndarray]:
     """Length -> rows (text, start) of the windows that a seed allows.
 
     ``symbols`` holds the texts one after the other, each followed by a symbol
-    that no item has; ``starts`` and ``sizes`` say where they are.
+    that no item has; ``starts`` and ``sizes`` say where they are.  A seed allows an
+    interval of starts; intervals are merged before they are spelt out, so a text
+    that repeats a seed has no more rows than places.
     """
-    found: dict[int, list] = {}
+    # (text, start) as one number; a start can lie before its text until it is clipped
+    shift, zero = np.int64(40), np.int64(1) << np.int64(39)
+    found: dict[int, list[np.ndarray]] = {}
     for q, (hashes, lengths, places) in index.seeds.items():
         at = _seed_hashes(symbols, q)
         known = np.ones(len(at), bool)
@@ -269,18 +293,51 @@ def candidate_windows(index: Index, symbols: np.ndarray, starts: np.ndarray, siz
         low, high = np.searchsorted(hashes, at, "left"), np.searchsorted(hashes, at, "right")
         hit = np.flatnonzero(high > low)
         count = (high - low)[hit]
-        seed = _expand(low[hit], count)
-        position = np.repeat(position[hit], count)
-        text = np.searchsorted(starts, position, "right") - 1
-        begin = position - starts[text] - places[seed]
-        for m in np.unique(lengths[seed]):
-            of_m, k = lengths[seed] == m, allowed(int(m), index.rate)
-            room = np.maximum(0, sizes[text[of_m]] - m + k)
-            shifted = begin[of_m][:, None] + np.arange(-k, k + 1)
-            shifted = np.clip(shifted, 0, room[:, None])
-            rows = np.stack([np.repeat(text[of_m], 2 * k + 1), shifted.ravel()], axis=1)
-            found.setdefault(int(m), []).append(np.unique(rows, axis=0))
-    return {m: np.unique(np.concatenate(parts), axis=0) for m, parts in found.items()}
+        upto, a = np.cumsum(count), 0
+        while a < len(hit):
+            z = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + SEEDS_AT_ONCE, "right")))
+            seed = _expand(low[hit[a:z]], count[a:z])
+            here = np.repeat(position[hit[a:z]], count[a:z])
+            text = np.searchsorted(starts, here, "right") - 1
+            begin = (text.astype(np.int64) << shift) + (here - starts[text] - places[seed] + zero)
+            for m in np.unique(lengths[seed]):
+                kept = found.setdefault(int(m), [])
+                kept.append(np.unique(begin[lengths[seed] == m]))
+                if sum(map(len, kept)) > 4 * SEEDS_AT_ONCE:
+                    kept[:] = [np.unique(np.concatenate(kept))]
+            a = z
+    out = {}
+    for m, kept in found.items():
+        code = np.unique(np.concatenate(kept))
+        text, begin, k = code >> shift, (code & ((np.int64(1) << shift) - 1)) - zero, allowed(m, index.rate)
+        room = np.maximum(0, sizes[text] - m + k)
+        low, high = np.clip(begin - k, 0, room), np.clip(begin + k, 0, room)
+        again = np.r_[False, text[1:] == text[:-1]]
+        low = np.where(again, np.maximum(low, np.r_[0, high[:-1]] + 1), low)
+        count = np.maximum(0, high - low + 1)
+        out[m] = np.stack([np.repeat(text, count), _expand(low, count)], axis=1)
+    return out
+
+
+def _pairs(index: Index, m: int, joined: np.ndarray, first: np.ndarray, sizes: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Rows (window, part) that share a key, or all of them where keys do not reach the recall."""
+    owned, _, sorted_keys, owners = index.by_length[m]
+    repetitions = index.repetitions[m]
+    pairs = [np.zeros((0, 2), np.int64)]
+    for a in range(0, len(place), 4096):
+        window = _windows(joined, first, sizes, place[a:a + 4096], m)
+        if not repetitions:
+            row = np.repeat(np.arange(len(window)), len(owned)) + a
+            pairs.append(np.stack([row, np.tile(np.arange(len(owned)), len(window))], axis=1))
+            continue
+        key = keys(window, m, repetitions, index.bits, index.seed).ravel()
+        low, high = np.searchsorted(sorted_keys, key, "left"), np.searchsorted(sorted_keys, key, "right")
+        hit = np.flatnonzero(high > low)
+        if len(hit):
+            count = (high - low)[hit]
+            row = np.repeat(hit // repetitions, count) + a
+            pairs.append(np.unique(np.stack([row, owners[_expand(low[hit], count)]], axis=1), axis=0))
+    return np.concatenate(pairs)
 
 
 def search(index: Index, texts: list[np.ndarray]) -> Iterator[tuple[int, int | None, int, int, int, int]]:
@@ -291,41 +348,39 @@ def search(index: Index, texts: list[np.ndarray]) -> Iterator[tuple[int, int | N
     sizes = np.asarray([len(t) for t in texts], np.int64)
     if not sizes.sum():
         return
-    longest = max(index.by_length, default=1)
+    longest = max((len(item) for _, item in index.items), default=1)
     gap = np.full(1, OTHER, np.int64)
-    joined = np.concatenate([x for t in texts for x in (t, gap)] + [np.zeros(longest + 3 * allowed(longest, index.rate), np.int64)])
+    joined = np.concatenate([x for t in texts for x in (t, gap)] + [np.zeros(longest + 4 * allowed(longest, index.rate) + 4, np.int64)])
     first = np.cumsum(sizes + 1) - sizes - 1
+    best: dict[tuple[int, int], list[int]] = {}
     for m, place in sorted(candidate_windows(index, joined, first, sizes).items()):
-        ids, items, sorted_keys, owners = index.by_length[m]
-        k, repetitions = allowed(m, index.rate), index.repetitions[m]
-        pairs = []
-        for a in range(0, len(place), 4096):
-            window = _windows(joined, first, sizes, place[a:a + 4096], m)
-            key = keys(window, m, repetitions, index.bits, index.seed).ravel()
-            low, high = np.searchsorted(sorted_keys, key, "left"), np.searchsorted(sorted_keys, key, "right")
-            hit = np.flatnonzero(high > low)
-            if len(hit):
-                count = (high - low)[hit]
-                row = np.repeat(hit // repetitions, count) + a
-                pairs.append(np.unique(np.stack([row, owners[_expand(low[hit], count)]], axis=1), axis=0))
-        if not pairs:
-            continue
-        pairs = np.concatenate(pairs)
-        best: dict[tuple[int, int], list[int]] = {}
-        for a in range(0, len(pairs), 4096):
-            part = pairs[a:a + 4096]
-            wide = place[part[:, 0]].copy()
-            wide[:, 1] = np.maximum(0, wide[:, 1] - k)
-            spans = best_spans(_windows(joined, first, sizes, wide, m + 2 * k), items[part[:, 1]])
-            near = np.flatnonzero(spans[0] <= k)
-            rows = zip(wide[near].tolist(), part[near, 1].tolist(), *(x[near].tolist() for x in spans))
-            for (text, begin), item, d, start, end in rows:
-                span = [d, begin + start, end - start]
-                seen = best.setdefault((text, item), [*span, 0])
-                seen[3] += 1
-                seen[:3] = min(seen[:3], span)
-        for (text, item), (d, start, n_words, n) in sorted(best.items()):
-            yield text, ids[item], start, n_words, d, n
+        pairs = _pairs(index, m, joined, first, sizes, place)
+        owned = index.by_length[m][0]
+        item, offset = owned[pairs[:, 1]].T
+        whole = np.asarray([len(x) for _, x in index.items], np.int64)[item]
+        for size in np.unique(whole):
+            k, of = allowed(int(size), index.rate), np.flatnonzero(whole == size)
+            text, begin = place[pairs[of, 0]].T
+            rows = np.stack([text, item[of], np.maximum(0, begin - offset[of] - k), np.ones(len(of), np.int64)], axis=1)
+            width = size + 2 * k
+            if size > m:  # parts of one copy start alike: one table of distances for all that start within k words
+                rows[:, 2] -= rows[:, 2] % (k + 1)
+                rows, n = np.unique(rows, axis=0, return_counts=True)
+                rows[:, 3] = n
+                width += k
+            step = max(1, min(4096, CELLS // int(width)))
+            for a in range(0, len(rows), step):
+                part = rows[a:a + step]
+                targets = np.stack([index.items[i][1] for i in part[:, 1]])
+                spans = best_spans(_windows(joined, first, sizes, part[:, ::2], int(width)), targets)
+                for j in np.flatnonzero(spans[0] <= k):
+                    t, i, start, n = part[j].tolist()
+                    span = [int(spans[0][j]), start + int(spans[1][j]), int(spans[2][j] - spans[1][j])]
+                    seen = best.setdefault((t, i), [*span, 0])
+                    seen[3] += n
+                    seen[:3] = min(seen[:3], span)
+    for (text, number), (d, start, n_words, n) in sorted(best.items()):
+        yield text, index.items[number][0], start, n_words, d, n
 
 
 def _windows(joined: np.ndarray, first: np.ndarray, sizes: np.ndarray, place: np.ndarray, m: int) -> np.ndarray:
@@ -338,7 +393,7 @@ def _windows(joined: np.ndarray, first: np.ndarray, sizes: np.ndarray, place: np
 def _find(index: Index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = index.vocabulary.get
-        shortest = min((m - allowed(m, index.rate) for m in index.by_length), default=1 << 60)
+        shortest = min((len(x) - allowed(len(x), index.rate) for _, x in index.items), default=1 << 60)
         for b in slices(batches):
             rows, doc_ids = b.column("row").to_pylist(), b.column("doc_id").to_pylist()
             texts = []
@@ -355,7 +410,7 @@ def _find(index: Index):
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, items_per_block: int, block_bytes: int):
-    """Items in blocks of bounded number and size, in a fixed order; one block is on the driver at a time."""
+    """Items in blocks of bounded number and size, in a fixed order; the caller holds at most two of them."""
     rows = benchmark.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")).filter(
         "t is not null"
     ).orderBy("i", "t")
@@ -387,12 +442,17 @@ def hits(
     """
     ready(docs.sparkSession)
     rows = key_and_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
-    out = None
-    for block in _blocks(benchmark, item_col, item_text_col, items_per_block, block_bytes):
-        index = build_index(block, rate=rate, recall=recall)
-        part = rows.mapInArrow(_find(index), _HITS_DDL)
-        out = part if out is None else out.unionByName(part)
-    return rows.sparkSession.createDataFrame([], _HITS_DDL) if out is None else out
+    blocks = _blocks(benchmark, item_col, item_text_col, items_per_block, block_bytes)
+    found = lambda block: rows.mapInArrow(_find(build_index(block, rate=rate, recall=recall)), _HITS_DDL)
+    block, following = next(blocks, None), next(blocks, None)
+    if following is None:
+        return found(block) if block else rows.sparkSession.createDataFrame([], _HITS_DDL)
+    # several blocks: each block's hits are written before the next index is built
+    out = stored(found(block), "decontam-hits")
+    while following is not None:
+        block, following = following, next(blocks, None)
+        out = out.unionByName(stored(found(block), "decontam-hits"))
+    return out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", **options) -> DataFrame:
