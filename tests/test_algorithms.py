@@ -48,8 +48,8 @@ def _great_circle(a, b, c, d):
 
 
 def test_nearest_zone_equals_brute_force(spark, monkeypatch):
-    """Any number of blocks, coordinates across the antimeridian, ties and missing coordinates."""
-    from zonecast.operators import geo
+    """Any leaf size, coordinates across the antimeridian, ties and missing coordinates."""
+    from zonecast.operators import zoneindex
 
     rnd = random.Random(7)
     places = [(i, 40.5 + rnd.random() * 0.5, -74.3 + rnd.random() * 0.8) for i in range(1, 60)]
@@ -59,8 +59,9 @@ def test_nearest_zone_equals_brute_force(spark, monkeypatch):
     points += [(900, 10.0, 179.95), (901, 0.0, 0.0), (902, None, 1.0), (903, 10.0, 10.0), (904, 40.7001, -74.0004)]
     pts = spark.createDataFrame(points, "id int, lat double, lon double")
     metrics = {"euclid": lambda p, z: (p[0] - z[1]) ** 2 + (p[1] - z[2]) ** 2, "haversine": lambda p, z: _great_circle(p[0], p[1], z[1], z[2])}
-    for size in (512, 7):
-        monkeypatch.setattr(geo, "ZONES_PER_BLOCK", size)
+    for size in (16, 1):
+        monkeypatch.setattr(zoneindex, "LEAF", size)
+        monkeypatch.setattr(zoneindex, "LEVELS", 31 if size > 1 else 20)
         for metric, dist in metrics.items():
             got = {r.id: r.z for r in nearest_zone(pts, zones, "lat", "lon", "z", metric).collect()}
             for i, a, b in points:
@@ -77,12 +78,12 @@ def test_nearest_zone_equals_brute_force(spark, monkeypatch):
 def test_zone_limit_is_loud(spark, monkeypatch):
     import pytest
 
-    from zonecast.operators import geo
+    from zonecast.operators import zoneindex
 
-    monkeypatch.setattr(geo, "MAX_ZONES", 2)
+    monkeypatch.setattr(zoneindex, "MAX_ZONES", 2)
     zones = spark.createDataFrame([(i, 1.0, float(i)) for i in range(3)], "location_id int, latitude double, longitude double")
     with pytest.raises(Exception, match="more than 2 zones"):
-        geo.zone_blocks(zones).collect()
+        zoneindex.ZoneIndex(zones)
 
 
 def test_repeated_zone_ids_keep_the_last_name(spark):

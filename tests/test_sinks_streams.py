@@ -2,7 +2,7 @@
 
 import os
 import time
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
@@ -13,7 +13,7 @@ from zonecast.sinks.events import to_event_json
 from zonecast.sinks.tables import (
     append_batch,
     export_csv,
-    prune_minutes,
+    prune_expired,
     read_live,
     read_snapshot,
     read_upserted,
@@ -24,7 +24,7 @@ from zonecast.sinks.tables import (
 )
 from zonecast.sources.events import json_file_stream
 from zonecast.sources.files import read_zone_csv
-from zonecast.streaming.live import run_live_stream
+from zonecast.streaming.live import replay_clock, run_live_stream
 from zonecast.streaming.replay import write_time_slices
 from zonecast.streaming.traffic import run_traffic_stream
 from tests.conftest import SF_SMALL
@@ -87,22 +87,59 @@ def test_append_batch_idempotent_and_retention(spark, tmp_dir):
     as_of = F.lit("2024-01-01 00:25:00").cast("timestamp")
     assert sorted(r.event_id for r in within_retention(table, as_of).collect()) == [2, 3, 3]
     now = datetime(2024, 1, 1, 0, 25)
-    assert prune_minutes(spark, path, now) == 1 and prune_minutes(spark, path, now) == 0
+    assert prune_expired(spark, path, now) == 0  # the hour goes on, its expired row is gone for readers
     assert sorted(r.event_id for r in read_live(spark, path).collect()) == [2, 3, 3, 4]
     assert sorted(r.event_id for r in read_live(spark, path, since=datetime(2024, 1, 1, 0, 24)).collect()) == [3, 3]
-    assert prune_minutes(spark, os.path.join(tmp_dir, "none"), now) == 0
+    prune_expired(spark, path, datetime(2024, 1, 1, 0, 1))  # an older clock brings nothing back
+    assert sorted(r.event_id for r in read_live(spark, path).collect()) == [2, 3, 3, 4]
+    later = datetime(2024, 1, 1, 1, 20)
+    assert prune_expired(spark, path, later) == 1 and prune_expired(spark, path, later) == 0
+    assert [r.event_id for r in read_live(spark, path).collect()] == [4]
+    assert prune_expired(spark, os.path.join(tmp_dir, "none"), now) == 0
 
 
-def test_live_stream_deletes_expired_minutes(spark, tmp_dir):
+def test_append_writes_a_file_an_hour(spark, tmp_dir):
+    """A backfill over many minutes makes files by the hour, sorted by arrival."""
+    path = os.path.join(tmp_dir, "live")
+    rows = spark.range(3000).select("id", (F.timestamp_seconds(1704067200 + (F.col("id") * 7919) % 18_000)).alias("emitted_at"))
+    append_batch(rows, 0, path)
+    files = [os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+    assert len(files) == 5 and read_live(spark, path).count() == 3000
+    for f in files:
+        times = [r[0] for r in spark.read.parquet(f).select("emitted_at").collect()]
+        assert times == sorted(times)
+
+
+def _payloads(spark, directory, times):
+    spark.createDataFrame([(f'{{"emitted_at": "{t:%Y-%m-%d %H:%M:%S}", "trip_distance": {n}.0}}',) for n, t in enumerate(times)], "value string").coalesce(1).write.mode("append").text(directory)
+    time.sleep(1.1)
+
+
+def test_stray_events_expire_nothing(spark, tmp_dir):
+    """An event of 2031 or of 2001 in a batch: the other rows stay, the future one is stored, the old one goes."""
+    base = datetime(2024, 1, 1, 12, 0)
+    good = [base + timedelta(seconds=30 * n) for n in range(8)]
+    for name, clock in (("replay", replay_clock()), ("wall", None)):
+        feed, target, ckpt = (os.path.join(tmp_dir, name, n) for n in ("feed", "live", "ckpt"))
+        shift = timedelta(0) if clock else datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0) - good[-1]
+        _payloads(spark, feed, [t + shift for t in good[:6]])
+        _payloads(spark, feed, [*(t + shift for t in good[6:]), datetime(2061, 1, 1), datetime(2001, 1, 1)])
+        _payloads(spark, feed, [datetime(2061, 1, 2)])  # a batch of strays alone
+        run_live_stream(spark, json_file_stream(spark, feed, 1), target, ckpt, **({"clock": clock} if clock else {}))
+        kept = sorted(r.emitted_at for r in read_live(spark, target).collect())
+        assert kept == [*(t + shift for t in good), datetime(2061, 1, 1), datetime(2061, 1, 2)], name
+
+
+def test_live_stream_deletes_expired_rows(spark, tmp_dir):
     feed, target, ckpt = (os.path.join(tmp_dir, n) for n in ("feed", "live", "ckpt"))
     times = [f"2024-01-01 {h:02d}:{m:02d}:30" for h in (10, 11) for m in range(0, 60, 5)]
     events = spark.createDataFrame([(f'{{"emitted_at": "{t}", "trip_distance": 1.0}}', t) for t in times], "value string, t string")
     assert 2 <= write_time_slices(events, "t", feed, 4) <= 4
-    run_live_stream(spark, json_file_stream(spark, feed, 1), target, ckpt)
+    run_live_stream(spark, json_file_stream(spark, feed, 1), target, ckpt, clock=lambda df: df.agg(F.max("emitted_at")).first()[0])
     kept = sorted(r.t for r in read_live(spark, target).select(F.col("emitted_at").cast("string").alias("t")).collect())
     assert kept == [t for t in times if t >= "2024-01-01 11:45"]
-    folders = [f for f in os.listdir(target) if f.startswith("emit_minute=")]
-    assert len(folders) == len(kept)
+    folders = [f for f in os.listdir(target) if f.startswith("emit_hour=")]
+    assert folders == ["emit_hour=2024-01-01_11"]
 
 
 def test_time_slices_are_ordered_and_disjoint(spark, tmp_dir):

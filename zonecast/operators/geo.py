@@ -1,87 +1,20 @@
 """Nearest-zone lookup (J1 Euclidean, J2 haversine).
 
-Plan shape
-----------
-1. Round coordinates to 3 dp (about 100 m); all coordinate pairs of a row are
-   read in one pass and the DISTINCT points kept: the partial aggregate collapses
-   duplicates map-side, so a hot coordinate becomes one row per partition.  Rows
-   that need no lookup stay out of it.
-2. The zone dimension is cut into blocks of ``ZONES_PER_BLOCK`` zones, each an
-   array in one row.  Every distinct point meets every block (an equi-join on the
-   block number; the blocks are broadcast, their number is checked), takes the
-   nearest zone of each by ``array_min(transform(...))`` and keeps the least
-   (distance, id).  All zones are compared by the metric itself, so the answer is
-   exact for any coordinates, also across the antimeridian; ties go to the
-   lowest id.
-3. The snapped points are joined back on the rounded key.  A row without a
-   lookup carries a key of its own that matches nothing, so such rows spread
-   evenly instead of meeting under one null key.
+Coordinates are rounded to 3 dp (about 100 m) and looked up in a ``ZoneIndex``: a
+projection of each row, with no join, no shuffle and no state.  A row meets its leaf's
+candidates (16 at most, but for points far from all zones or equally near to many),
+however many zones there are.  The same expression serves batch and streaming frames.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import euclid_sq, haversine, rounded
 from ..functions.numeric import round_half_even
+from .zoneindex import ZoneIndex
 
 COORD_DIGITS = 3
-ZONES_PER_BLOCK = 512
-#: proven bound of the broadcast blocks (24 bytes a zone)
-MAX_ZONES = 1_000_000
-
-
-def _metric_fn(metric: str):
-    if metric == "euclid":
-        return euclid_sq
-    if metric == "haversine":
-        return haversine
-    raise ValueError(f"unknown metric {metric!r}")
-
-
-def zone_blocks(zones: DataFrame) -> DataFrame:
-    """block, zones (array of id, lat, lon) for the zones that have coordinates.
-
-    The single-task numbering is over the dimension only; a dimension beyond
-    ``MAX_ZONES`` fails with an error instead of being broadcast.
-    """
-    z = zones.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(
-        F.col("location_id").alias("id"), F.col("latitude").cast("double").alias("lat"),
-        F.col("longitude").cast("double").alias("lon"),
-    )
-    place = F.row_number().over(Window.orderBy("id", "lat", "lon"))
-    checked = F.when(place > MAX_ZONES, F.raise_error(F.lit(f"more than {MAX_ZONES} zones")).cast("int")).otherwise(place)
-    return (
-        z.withColumn("__block", F.floor((checked - 1) / ZONES_PER_BLOCK).cast("int"))
-        .groupBy("__block").agg(F.collect_list(F.struct("id", "lat", "lon")).alias("__zones"))
-    )
-
-
-def nearest_in_array(lat: Column, lon: Column, zarr: Column, metric: str = "euclid") -> Column:
-    """(distance, id) of the nearest zone in ``zarr``."""
-    dist = _metric_fn(metric)
-    return F.array_min(
-        F.transform(
-            zarr,
-            lambda z: F.struct(
-                rounded(dist(lat, lon, z["lat"], z["lon"])).alias("d"), z["id"].alias("id")
-            ),
-        )
-    )
-
-
-def snap(points: DataFrame, zones: DataFrame, lat: str, lon: str, out: str, metric: str = "euclid") -> DataFrame:
-    """lat, lon, ``out``: the nearest zone of each distinct point."""
-    blocks = zone_blocks(zones)
-    last = blocks.select(F.max("__block")).scalar()
-    each = points.select(lat, lon).withColumn("__block", F.explode(F.sequence(F.lit(0), F.coalesce(last, F.lit(0)))))
-    return (
-        each.join(F.broadcast(blocks), "__block")
-        .select(lat, lon, nearest_in_array(F.col(lat), F.col(lon), F.col("__zones"), metric).alias("__best"))
-        .groupBy(lat, lon).agg(F.min("__best").alias("__best"))
-        .select(lat, lon, F.col("__best.id").alias(out))
-    )
 
 
 def nearest_zone(
@@ -108,27 +41,12 @@ def nearest_zones(
     ``unless``: out column -> condition under which a row needs no lookup.
     """
     unless = unless or {}
-    keyed, keys = df, []
-    for i, (lat, lon, out) in enumerate(points):
-        la, lo = f"__lat{i}", f"__lon{i}"
+    index = ZoneIndex(zones, metric)
+    found = {}
+    for lat, lon, out in points:
         wanted = F.col(lat).isNotNull() & F.col(lon).isNotNull()
         if out in unless:
             wanted = wanted & ~F.coalesce(unless[out], F.lit(False))
-        keyed = keyed.withColumn(la, F.when(wanted, round_half_even(F.col(lat), COORD_DIGITS))).withColumn(
-            lo, F.when(wanted, round_half_even(F.col(lon), COORD_DIGITS))
-        )
-        keys.append((la, lo))
-    pairs = F.array(*(F.struct(F.col(la).alias("lat"), F.col(lo).alias("lon")) for la, lo in keys))
-    distinct = (
-        keyed.select(F.explode(pairs).alias("__p")).select(F.col("__p.lat").alias("__lat"), F.col("__p.lon").alias("__lon"))
-        .filter("__lat is not null and __lon is not null").distinct()
-    )
-    snapped = snap(distinct, zones, "__lat", "__lon", "__zone", metric)
-    result = keyed
-    for (la, lo), (_, _, out) in zip(keys, points):
-        side = snapped.select(F.col("__lat").alias("__la"), F.col("__lon").alias("__lo"), F.col("__zone").alias(out))
-        # no coordinate reaches this far, so such a key matches nothing
-        own = F.coalesce(F.col(la), F.lit(1e6) + F.monotonically_increasing_id())
-        result = result.withColumn(la, own).join(side, (F.col(la) == F.col("__la")) & (F.col(lo) == F.col("__lo")), "left")
-        result = result.drop("__la", "__lo", la, lo)
-    return result
+        key = lambda c, wanted=wanted: F.when(wanted, round_half_even(F.col(c), COORD_DIGITS))
+        found[out] = index.nearest(key(lat), key(lon))
+    return df.withColumns(found)

@@ -17,6 +17,8 @@ def oracle_sql():
 _KIND = {
     "traffic_agg_stream": "stream",
     "live_trips_stream": "stream",
+    "live_stray_events": "stream",
+    "normalize_events_stream": "stream",
     "stage_history": "model",
     "metrics_document": "model",
     "model_reload": "model",

@@ -15,10 +15,12 @@ from ..session import scratch_path
 from ..sinks.events import to_event_json
 from ..sinks.tables import append_batch, read_live, read_upserted, upsert_latest, within_retention
 from ..sources import adapter
-from ..sources.events import json_file_stream
-from ..streaming.live import run_live_stream
+from ..sources.events import decode_events, json_file_stream
+from ..streaming.live import replay_clock, run_live_stream
+from ..streaming.normalize import run_event_stream
 from ..streaming.replay import write_time_slices
 from ..streaming.traffic import run_traffic_stream
+from .ingest import NORMALIZE_SQL
 from .registry import query
 from .traffic import TRAFFIC_AGG_SQL, clean_stream_trips, duck_stream, duck_traffic_body
 
@@ -31,9 +33,13 @@ def _round_agg(df: DataFrame) -> DataFrame:
     return df.select(*[r6(c).alias(c) if c in _AVG else F.col(c) for c in S.TRAFFIC_AGG_COLUMNS])
 
 
-def replay_feed(spark: SparkSession, sf_dir: str) -> str:
-    """Write the trip feed as time-ordered JSON-lines slices; returns the directory."""
+def replay_feed(spark: SparkSession, sf_dir: str, emitted_at=None) -> str:
+    """Write the trip feed as time-ordered JSON-lines slices; returns the directory.
+
+    ``emitted_at``: what the events state as their arrival (a Column); their order stays.
+    """
     t = adapter.trips(spark, sf_dir)
+    stated = F.col("emitted_at") if emitted_at is None else emitted_at
     txt = t.select(
         F.date_format("pickup_datetime", S.TS_TEXT_FORMAT).alias("pickup_datetime"),
         F.date_format("dropoff_datetime", S.TS_TEXT_FORMAT).alias("dropoff_datetime"),
@@ -42,7 +48,7 @@ def replay_feed(spark: SparkSession, sf_dir: str) -> str:
         "pu_location_id",
         "do_location_id",
         "total_amount",
-        F.date_format("emitted_at", S.TS_TEXT_FORMAT).alias("emitted_at"),
+        F.date_format(stated, S.TS_TEXT_FORMAT).alias("emitted_at"),
         F.col("emitted_at").alias("__arrival"),
     )
     payload = to_event_json(txt, keep=["__arrival"])
@@ -76,18 +82,68 @@ where date_trunc('second', emitted_at) >=
 
 @query("live_trips_stream", adapter.duck_with() + DUCK_LIVE_STREAM)
 def live_trips_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T4 + K2: the feed streamed into the live table, whose sink drops expired
-    minutes; read back within the 10-minute retention of the newest arrival."""
+    """T4 + K2: the feed streamed into the live table, whose sink expires old
+    arrivals; read back within the 10-minute retention of the newest arrival."""
     feed = replay_feed(spark, sf_dir)
     target = scratch_path(spark, "live_trips")
+    _run_live(spark, feed, target)
+    table = read_live(spark, target)
+    as_of = table.select(F.max("emitted_at")).scalar()
+    return within_retention(table, as_of, S.LIVE_RETENTION_MIN).select(*S.LIVE_TRIP_COLUMNS)
+
+
+def _run_live(spark: SparkSession, feed: str, target: str) -> None:
     run_live_stream(
-        spark, json_file_stream(spark, feed, max_files_per_trigger=1), target, scratch_path(spark, "ckpt-live")
+        spark, json_file_stream(spark, feed, max_files_per_trigger=1), target, scratch_path(spark, "ckpt-live"),
+        clock=replay_clock(),
     )
+
+
+#: of a thousand events, one states an arrival ten years ahead and one ten years ago
+_STRAY_YEARS, _STRAY_BOUND = 10, "2030-01-01 00:00:00"
+
+DUCK_LIVE_STRAYS = f"""
+select date_trunc('second', pickup_datetime) as pickup_datetime,
+       date_trunc('second', dropoff_datetime) as dropoff_datetime,
+       passenger_count, trip_distance, pu_location_id, do_location_id, total_amount, stated as emitted_at
+from s where stated >= (select max(stated) from s where stated < timestamp '{_STRAY_BOUND}') - interval 10 minute
+"""
+_DUCK_STATED = f"""
+select *, date_trunc('second', emitted_at) + to_years(case event_id % 1000 when 7 then {_STRAY_YEARS} when 11 then -{_STRAY_YEARS} else 0 end) as stated
+from trips
+"""
+
+
+@query("live_stray_events", adapter.duck_with(("s", _DUCK_STATED)) + DUCK_LIVE_STRAYS)
+def live_stray_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 + K2 on a feed with stray clocks: events of the far future are stored and
+    expire nothing, events of the far past expire; the others are kept as without them."""
+    e = F.col("event_id") % 1000
+    years = F.when(e == 7, _STRAY_YEARS).when(e == 11, -_STRAY_YEARS).otherwise(0)
+    feed = replay_feed(spark, sf_dir, F.col("emitted_at") + F.make_ym_interval(years))
+    target = scratch_path(spark, "live_strays")
+    _run_live(spark, feed, target)
     table = read_live(spark, target)
-    as_of = table.select(F.max("emitted_at")).scalar()
+    as_of = table.filter(F.col("emitted_at") < F.lit(_STRAY_BOUND).cast("timestamp")).select(F.max("emitted_at")).scalar()
     return within_retention(table, as_of, S.LIVE_RETENTION_MIN).select(*S.LIVE_TRIP_COLUMNS)
 
 
+@query(
+    "normalize_events_stream",
+    f"select event_id, pickup_datetime, dropoff_datetime, passenger_count, trip_distance, pu_location_id, do_location_id, total_amount from ({NORMALIZE_SQL}) as n",
+)
+def normalize_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 as a stream: raw rows of all schema families through ``readStream``, normalised
+    (nearest zone included), written as JSON events; the stored events decoded again."""
+    raw = adapter.raw_wide(spark, sf_dir)
+    source, target = scratch_path(spark, "raw-rows"), scratch_path(spark, "events")
+    raw.repartition(REPLAY_SLICES).write.parquet(source)
+    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", "2").parquet(source)
+    run_event_stream(stream, adapter.zones(spark, sf_dir), scratch_path(spark, "ckpt-events"), target, keep=["event_id"])
+    events = decode_events(spark.read.parquet(target), keep=["event_id"])
+    return events.select("event_id", *(c for c in S.LIVE_TRIP_COLUMNS if c != "emitted_at"))
+
+
 _CUT_US = "div(min_us + max_us, 2)"
 
 

@@ -1,4 +1,4 @@
-"""Table sinks: keyed upsert (K1), live append by emit minute + retention (K2),
+"""Table sinks: keyed upsert (K1), live append by emit hour + retention (K2),
 versioned snapshot (K3), CSV export (K5), metrics document (K6).
 
 All writers are Spark jobs over DataFrames; nothing is collected to the driver
@@ -119,25 +119,29 @@ def read_upserted(spark: SparkSession, path: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# K2: live rows appended by emit minute, bounded by retention
+# K2: live rows appended by emit hour, bounded by retention
 # ---------------------------------------------------------------------------
 
-MINUTE_FORMAT = "yyyy-MM-dd_HH-mm"
-_LIVE_PARTITIONS = ["emit_minute", "run_id", "batch_id"]
+HOUR_FORMAT = "yyyy-MM-dd_HH"
+_LIVE_PARTITIONS = ["emit_hour", "run_id", "batch_id"]
+#: file with the arrival time (epoch microseconds) before which rows have expired
+CUTOFF = "_cutoff"
 
 
 def append_batch(batch_df: DataFrame, batch_id: int, path: str, run_id: str = "0", time_col: str = "emitted_at") -> None:
-    """Write one micro-batch under ``emit_minute=/run_id=/batch_id=`` (dynamic overwrite).
+    """Write one micro-batch under ``emit_hour=/run_id=/batch_id=`` (dynamic overwrite).
 
     A batch that is delivered again replaces its own rows only; a new checkpoint
     has another ``run_id``, so its batch 0 replaces nothing.  Rows are rebalanced by
-    minute: one file a minute, more where a minute holds many rows.
+    hour: one file an hour, more where an hour holds many rows, each sorted by
+    arrival, so that a bound on the arrival time skips row groups inside an hour.
     """
     (
-        batch_df.withColumn("emit_minute", F.date_format(time_col, MINUTE_FORMAT))
-        .hint("rebalance", F.col("emit_minute"))
+        batch_df.withColumn("emit_hour", F.date_format(time_col, HOUR_FORMAT))
+        .hint("rebalance", F.col("emit_hour"))
         .withColumn("run_id", F.lit(run_id))
         .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+        .sortWithinPartitions(*_LIVE_PARTITIONS, time_col)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*_LIVE_PARTITIONS)
@@ -145,16 +149,37 @@ def append_batch(batch_df: DataFrame, batch_id: int, path: str, run_id: str = "0
     )
 
 
-def _minute(moment: datetime) -> str:
-    """Folder text of a moment; folders are named in UTC, and a naive datetime is taken as UTC."""
-    return (moment.astimezone(timezone.utc) if moment.tzinfo else moment).strftime("%Y-%m-%d_%H-%M")
+def _utc(moment: datetime) -> datetime:
+    """A naive datetime is taken as UTC."""
+    return moment.astimezone(timezone.utc) if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
 
 
-def read_live(spark: SparkSession, path: str, since=None) -> DataFrame:
-    """The live rows; ``since`` (a datetime) prunes the scan to newer emit minutes."""
+def _hour(moment: datetime) -> str:
+    """Folder text of a moment; folders are named in UTC."""
+    return _utc(moment).strftime("%Y-%m-%d_%H")
+
+
+def retention_cutoff(spark: SparkSession, path: str) -> datetime | None:
+    """The arrival time before which the table's rows have expired; None if it was never pruned."""
+    file = f"{path.rstrip('/')}/{CUTOFF}"
+    if not path_exists(spark, file):
+        return None
+    return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=int(_read_small(spark, file)))
+
+
+def read_live(spark: SparkSession, path: str, since: datetime | None = None, time_col: str = "emitted_at") -> DataFrame:
+    """The live rows: expired ones are left out, wherever their hour's folder still stands.
+
+    ``since`` restricts the scan to newer arrivals (rows without an arrival time
+    are then left out; retention alone keeps them, as no time comparison reaches them).
+    """
     table = spark.read.parquet(path)
+    cutoff = retention_cutoff(spark, path)
+    if cutoff is not None:
+        fresh = (F.col("emit_hour") >= _hour(cutoff)) & (F.col(time_col) >= F.lit(cutoff))
+        table = table.filter(F.col(time_col).isNull() | fresh)
     if since is not None:
-        table = table.filter(F.col("emit_minute") >= _minute(since))
+        table = table.filter((F.col("emit_hour") >= _hour(since)) & (F.col(time_col) >= F.lit(_utc(since))))
     return table.drop(*_LIVE_PARTITIONS)
 
 
@@ -164,25 +189,53 @@ def within_retention(df: DataFrame, as_of, minutes: int = S.LIVE_RETENTION_MIN,
     return df.filter(F.col(col) >= cutoff)
 
 
-def prune_minutes(spark: SparkSession, path: str, as_of: datetime, minutes: int = S.LIVE_RETENTION_MIN) -> int:
-    """Delete the emit-minute folders that lie wholly before the retention; how many went.
+def prune_expired(spark: SparkSession, path: str, as_of: datetime, minutes: int = S.LIVE_RETENTION_MIN) -> int:
+    """Expire rows that arrived over ``minutes`` before ``as_of``; how many hour folders went.
 
-    Only folder names are read, and retention itself bounds their number.  Rows
-    without an arrival time stay, as no time comparison reaches them.
+    The cutoff is noted beside the table (it never moves back) and holds for every
+    reader at once; folders whose whole hour lies before it are deleted.  Only folder
+    names are read, and retention itself bounds their number.  Rows without an
+    arrival time stay, and so do rows of the future.
     """
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return 0
-    oldest = _minute(as_of - timedelta(minutes=minutes))
+    cutoff = max(filter(None, (_utc(as_of) - timedelta(minutes=minutes), retention_cutoff(spark, path))))
+    since = cutoff - datetime(1970, 1, 1, tzinfo=timezone.utc)
+    _write_small(spark, path, CUTOFF, str(since // timedelta(microseconds=1)))
+    oldest = _hour(cutoff)
     gone = 0
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        minute = name.removeprefix("emit_minute=")
-        if name != minute and minute[:1].isdigit() and minute < oldest:
+        hour = name.removeprefix("emit_hour=")
+        if name != hour and hour[:1].isdigit() and hour < oldest:
             gone += bool(fs.delete(st.getPath(), True))
     return gone
 
 
+def _read_small(spark: SparkSession, file: str) -> str:
+    """The text of a small file, hidden or not."""
+    fs, p = _fs(spark, file)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+    finally:
+        stream.close()
+
+
+def _write_small(spark: SparkSession, folder: str, name: str, text: str) -> None:
+    """Put a small file in place by a rename, so that no reader sees half of it."""
+    jvm = spark.sparkContext._jvm
+    fs, root = _fs(spark, folder)
+    temporary, final = jvm.org.apache.hadoop.fs.Path(root, f"_{name}.{uuid.uuid4().hex[:8]}"), jvm.org.apache.hadoop.fs.Path(root, name)
+    out = fs.create(temporary, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(final):
+        fs.delete(final, False)
+    fs.rename(temporary, final)
+
+
 # ---------------------------------------------------------------------------
 # K3 / K5 / K6
 # ---------------------------------------------------------------------------
@@ -203,14 +256,7 @@ def write_snapshot(df: DataFrame, path: str) -> None:
     df.write.parquet(f"{path.rstrip('/')}/{version}")
     jvm = spark.sparkContext._jvm
     fs, root = _fs(spark, path)
-    temporary = jvm.org.apache.hadoop.fs.Path(root, f"{CURRENT}.{version}")
-    out = fs.create(temporary, True)
-    out.write(bytearray(version.encode()))
-    out.close()
-    pointer = jvm.org.apache.hadoop.fs.Path(root, CURRENT)
-    if fs.exists(pointer):
-        fs.delete(pointer, False)
-    fs.rename(temporary, pointer)
+    _write_small(spark, path, CURRENT, version)
     old = sorted(st.getPath().getName() for st in fs.listStatus(root) if st.getPath().getName().startswith("v-"))
     for name in old[:-2]:
         fs.delete(jvm.org.apache.hadoop.fs.Path(root, name), True)
@@ -221,7 +267,7 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     fs, root = _fs(spark, path)
     jvm = spark.sparkContext._jvm
     if fs.exists(jvm.org.apache.hadoop.fs.Path(root, CURRENT)):
-        version = spark.read.text(f"{path.rstrip('/')}/{CURRENT}").first()[0]
+        version = _read_small(spark, f"{path.rstrip('/')}/{CURRENT}")
     else:
         version = max(
             st.getPath().getName() for st in fs.listStatus(root)

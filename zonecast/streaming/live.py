@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..sinks.tables import append_batch, prune_minutes, run_id_of
+from ..sinks.tables import append_batch, prune_expired, run_id_of
 from ..sources.events import decode_events, live_rows
 
 
@@ -18,10 +18,29 @@ def live_plan(raw: DataFrame) -> DataFrame:
     return live_rows(decode_events(raw))
 
 
-def newest_arrival(batch_df: DataFrame) -> datetime | None:
-    """The feed's own clock: the newest arrival time in a micro-batch (UTC)."""
-    us = batch_df.agg(F.unix_micros(F.max("emitted_at"))).first()[0]
-    return None if us is None else datetime.fromtimestamp(us // 1_000_000, timezone.utc)
+def wall_clock(_batch_df: DataFrame) -> datetime:
+    """The present moment (UTC)."""
+    return datetime.now(timezone.utc)
+
+
+def replay_clock(strays: float = 0.01) -> Callable[[DataFrame], datetime | None]:
+    """A clock for replays of old feeds: the newest arrival of a batch, stray ones left out.
+
+    The share ``strays`` of a batch's rows, and one row at least, may carry a time
+    ahead of the feed without moving the clock; it never passes the wall clock, and a
+    batch with too few rows to tell moves nothing (None).
+    """
+
+    def now(batch_df: DataFrame) -> datetime | None:
+        us = F.unix_micros("emitted_at")
+        n = batch_df.agg(F.count(us)).first()[0]
+        ahead = max(1, int(strays * n))
+        if n <= ahead:
+            return None
+        newest = batch_df.agg(F.percentile_approx(us, 1 - (ahead + 0.5) / n)).first()[0]
+        return min(datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=newest), wall_clock(batch_df))
+
+    return now
 
 
 def run_live_stream(
@@ -32,16 +51,16 @@ def run_live_stream(
     trigger: dict | None = None,
     await_termination: bool = True,
     retention_minutes: int | None = S.LIVE_RETENTION_MIN,
-    clock: Callable[[DataFrame], datetime | None] = newest_arrival,
+    clock: Callable[[DataFrame], datetime | None] = wall_clock,
 ):
     """Append each micro-batch to the live table, then drop what retention has passed.
 
-    Rows lie under their emit minute, the checkpoint's id and the batch number,
+    Rows lie under their emit hour, the checkpoint's id and the batch number,
     so a batch replayed after a failure replaces its own rows: exactly once per
     batch, where the row-by-row consumer was at-least-once.  ``clock`` gives the
-    present for retention: by default the newest arrival in the batch (a replay
-    then prunes as the live job would); pass ``lambda _: datetime.now(timezone.utc)``
-    for the wall clock, or ``retention_minutes=None`` to keep everything.
+    present for retention: the wall clock, against which a row of the future deletes
+    nothing and stays; pass ``replay_clock()`` to prune an old feed as the live job
+    would have, or ``retention_minutes=None`` to keep everything.
     """
     rows = live_plan(raw)
     run: dict[str, str] = {}
@@ -53,14 +72,14 @@ def run_live_stream(
         try:
             now = clock(batch_df) if retention_minutes is not None else None
             fresh = batch_df
-            if now is not None:  # what the next step would delete is not written
-                oldest = (now - timedelta(minutes=retention_minutes)).replace(second=0, microsecond=0)
+            if now is not None:  # what the next step would expire is not written
+                oldest = now - timedelta(minutes=retention_minutes)
                 fresh = batch_df.filter(F.col("emitted_at").isNull() | (F.col("emitted_at") >= F.lit(oldest)))
             append_batch(fresh, batch_id, target_path, run["id"])
         finally:
             batch_df.unpersist()
         if now is not None:
-            prune_minutes(spark, target_path, now, retention_minutes)
+            prune_expired(spark, target_path, now, retention_minutes)
 
     q = (
         rows.writeStream.outputMode("append")
