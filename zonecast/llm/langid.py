@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, DoubleType, StringType, StructField
 
-from .common import annotate, batch, ready, slices
+from .common import annotate, batch, ready, slices, stored
 from .ngrams import letter_counts
 
 UNDETERMINED = "und"
@@ -112,16 +112,18 @@ def _gram_rows(bits: int):
 def _sample(rows: DataFrame, n: int) -> list[tuple]:
     """At most ``n`` distinct (id, lang, key) of each language, those of smallest hash.
 
-    A language's threshold follows from its row count, so only about 1.2 n of its
-    rows leave the tasks; the counts come to the driver, one per language.
+    Repeated rows count once, in the sample and in the counts: a language's threshold
+    follows from its distinct rows, so about 1.2 n of them leave the tasks.  The counts
+    come to the driver, one per language.
     """
     span = 1 << 40
+    rows = stored(rows.distinct(), "langid-rows")
     total = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not total:
         return []
     share = F.create_map(*(x for lang, t in total.items() for x in (F.lit(lang), F.lit(span if t <= 2 * n else int(span * 1.2 * n / t)))))
     hashed = rows.withColumn("place", F.pmod(F.xxhash64("id", "key"), F.lit(span)))
-    near = hashed.filter(F.col("place") < share[F.col("lang")]).distinct().collect()
+    near = hashed.filter(F.col("place") < share[F.col("lang")]).collect()
     out, taken = [], dict.fromkeys(total, 0)
     for r in sorted(near, key=lambda r: (r.place, str(r.id), r.key)):
         if taken[r.lang] < n:
