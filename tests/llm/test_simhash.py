@@ -165,3 +165,48 @@ def test_whole_table(spark):
     want = {k: (f"{p:016x}", c) for (k, p), c in zip(prints, plain_components(prints))}
     got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in collected(simhash.near_duplicates(docs))}
     assert got == want
+
+
+def test_blocks_are_disjoint_and_cover():
+    for path in range(16):
+        masks = simhash.blocks_left(path, 2)
+        assert len(masks) == 4 and all(bin(m).count("1") == 9 for m in masks)
+        assert not any(a & b for i, a in enumerate(masks) for b in masks[:i])
+    assert sum(simhash.blocks_left(0, 0)) == (1 << 64) - 1
+
+
+@pytest.mark.parametrize("hot", [50, 400])
+def test_hot_buckets_lose_no_link(spark, monkeypatch, hot):
+    """A dense ball of prints round one centre, cut by one to three further shuffles, against all pairs."""
+    monkeypatch.setattr(simhash, "HOT_BUCKET", hot)
+    rng = random.Random(11)
+    centre = rng.getrandbits(64)
+    prints = {centre} | {rng.getrandbits(64) for _ in range(200)}
+    while len(prints) < 3000:
+        p = centre
+        for b in rng.sample(range(64), rng.randint(1, 7)):
+            p ^= 1 << b
+        prints.add(p)
+    signed = [p - (1 << 64) if p >> 63 else p for p in sorted(prints)]
+    df = spark.createDataFrame([(p,) for p in signed], "fp long")
+    root = {r.node: r.root for r in simhash.link(df).collect()}
+    want = plain_components([(n, p & (1 << 64) - 1) for n, p in enumerate(signed)])
+    by_want, by_got = {}, {}
+    for n, p in enumerate(signed):
+        by_want.setdefault(want[n], set()).add(p)
+        by_got.setdefault(root.get(p, p), set()).add(p)
+    assert {frozenset(x) for x in by_want.values()} == {frozenset(x) for x in by_got.values()}
+
+
+def test_large_hot_bucket_is_bounded():
+    """Prints of one bucket, met in many batches, are gathered without copying them again and again."""
+    import time
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    prints = np.unique(rng.integers(0, 1 << 62, 200_000)).astype(np.int64)
+    batches = [pa.RecordBatch.from_arrays([pa.array(np.full(len(x), 7)), pa.array(x)], names=["key", "fp"]) for x in np.array_split(prints, 400)]
+    began = time.process_time()
+    assert sum(b.num_rows for b in simhash._compare(3)(iter(batches))) == 0
+    assert time.process_time() - began < 60

@@ -25,8 +25,10 @@ from .components import components
 
 #: larger buckets are first cut by the pigeonhole rule on four 16-bit blocks
 LARGE_BUCKET = 4096
+#: buckets with more values go through further shuffles, each cut by four blocks of the bits not yet equal
+HOT_BUCKET, CUTS = 1 << 15, 3
 _PRINTS = pa.schema([("fp", pa.int64())])
-_KEYS = pa.schema([("key", pa.int32()), ("fp", pa.int64())])
+_KEYS = pa.schema([("key", pa.int64()), ("path", pa.int32()), ("fp", pa.int64())])
 _EDGES = pa.schema([("hi", pa.int64()), ("lo", pa.int64())])
 
 
@@ -65,7 +67,41 @@ def _emit_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches, 1 << 17):
         prints = b.column("fp").to_numpy()
         rows, key = golay.keys(prints.view(np.uint64))
-        yield batch(_KEYS, {"key": key.astype(np.int32), "fp": prints[rows]})
+        yield batch(_KEYS, {"key": key.astype(np.int64), "path": np.zeros(len(rows), np.int32), "fp": prints[rows]})
+
+
+def blocks_left(path: int, cuts: int) -> list[int]:
+    """Masks of the four blocks of the bits that ``path`` (a block number of each earlier cut) has not made equal."""
+    left = list(range(64))
+    for n in range(cuts):
+        size, block = len(left) // 4, path >> (2 * n) & 3
+        left = left[:block * size] + left[(block + 1) * size:]
+    size = len(left) // 4
+    return [sum(1 << b for b in left[k * size:(k + 1) * size]) for k in range(4)]
+
+
+def _cut(cuts: int):
+    """Rows of hot buckets, each into the four buckets of one more equal block.
+
+    Two values with at most three differing bits agree on one of any four blocks, so
+    every link of a bucket survives in one of its parts.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 1 << 20):
+            key, path, prints = (b.column(c).to_numpy() for c in ("key", "path", "fp"))
+            out = []
+            for p in np.unique(path):
+                rows = np.flatnonzero(path == p)
+                for n, mask in enumerate(blocks_left(int(p), cuts)):
+                    z = (key[rows].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (prints[rows].view(np.uint64) & np.uint64(mask))
+                    z = (z ^ (z >> np.uint64(29)) ^ np.uint64(n + 1)) * np.uint64(0xBF58476D1CE4E5B9)
+                    z ^= z >> np.uint64(32)  # buckets whose numbers collide are compared together: no link is lost or made
+                    out.append((z.view(np.int64), np.full(len(rows), int(p) | n << (2 * cuts), np.int32), prints[rows]))
+            if out:
+                yield batch(_KEYS, {name: np.concatenate(x) for name, x in zip(_KEYS.names, zip(*out))})
+
+    return run
 
 
 def _forest(prints: np.ndarray, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -125,7 +161,7 @@ def _links(key: np.ndarray, prints: np.ndarray, most: int) -> list[tuple[np.ndar
 
 def _compare(most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_key, held = np.zeros(0, np.int32), np.zeros(0, np.uint64)
+        held_key, held = [], []  # pieces of the rows not compared yet; all of one bucket but for the last
 
         def rows(links):
             if links:
@@ -135,14 +171,19 @@ def _compare(most: int):
                 yield batch(_EDGES, {"hi": ends[:, 1], "lo": ends[:, 0]})
 
         for b in batches:
-            key = np.concatenate([held_key, b.column("key").to_numpy()])
-            prints = np.concatenate([held, b.column("fp").to_numpy().view(np.uint64)])
+            key, prints = b.column("key").to_numpy(), b.column("fp").to_numpy().view(np.uint64)
             if not len(key):
                 continue
+            held_key.append(key)
+            held.append(prints)
+            if key[-1] == held_key[0][0]:
+                continue  # still the first bucket: nothing is copied
+            key, prints = np.concatenate(held_key), np.concatenate(held)
             whole = int(np.searchsorted(key, key[-1]))  # the last bucket may go on
             yield from rows(_links(key[:whole], prints[:whole], most))
-            held_key, held = key[whole:], prints[whole:]
-        yield from rows(_links(held_key, held, most))
+            held_key, held = [key[whole:]], [prints[whole:]]
+        if held:
+            yield from rows(_links(np.concatenate(held_key), np.concatenate(held), most))
 
     return run
 
@@ -154,9 +195,26 @@ def link(prints: DataFrame, most: int = 3) -> DataFrame:
     """
     if not 0 <= most <= 3:
         raise ValueError("the segments' pigeonhole rule holds up to 3 bits")
-    emitted = prints.select("fp").mapInArrow(_emit_keys, "key int, fp long")
-    buckets = emitted.repartition("key").sortWithinPartitions("key", "fp")
-    return components(buckets.mapInArrow(_compare(most), "hi long, lo long"))
+    shape = "key long, path int, fp long"
+    rows, edges = prints.select("fp").mapInArrow(_emit_keys, shape), []
+
+    def compared(part: DataFrame) -> DataFrame:
+        buckets = part.select("key", "fp").repartition("key").sortWithinPartitions("key", "fp")
+        return buckets.mapInArrow(_compare(most), "hi long, lo long")
+
+    for cuts in range(CUTS):
+        # counts are pre-aggregated; usually no bucket is hot and the rows are compared as they are
+        sizes = rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_BUCKET)
+        hot = stored(sizes.select("key"), "simhash-hot")
+        if not hot.limit(1).count():
+            break
+        rows = stored(rows.join(hot.withColumn("hot", F.lit(True)), "key", "left"), "simhash-buckets")
+        edges.append(stored(compared(rows.filter("hot is null")), "simhash-links"))
+        rows = rows.filter("hot").select("key", "path", "fp").mapInArrow(_cut(cuts), shape)
+    links = compared(rows)
+    for part in edges:
+        links = links.unionByName(part)
+    return components(links)
 
 
 def near_duplicates(
