@@ -179,3 +179,33 @@ def test_language_edges(spark):
     none = langid.train(frame(spark, []))
     assert none.predict(b"abc") == ("und", 0.0, True)
     assert langid.identify(frame(spark, []), none).count() == 0
+
+
+def test_repeated_rows_cost_no_language(spark):
+    """Ten texts, 500 copies each, beside 50 rows of another language: both are learned."""
+    en = [(i, f"the cat number {i} sat upon the mat with another cat", "en") for i in range(10)] * 500
+    de = [(1000 + i, f"der Hund Nummer {i} lag auf der Matte neben dem Ofen", "de") for i in range(50)]
+    model = langid.train(frame(spark, en + de), rows_per_language=5)
+    assert set(model.languages) == {"en", "de"}
+
+
+def test_samples_hold_their_bound_under_repeated_ids(spark, monkeypatch):
+    """One id on 501 documents: the driver gets one row of it."""
+    from zonecast.llm import pii
+
+    docs = frame(spark, [(i, f"good text number {i} call +49 30 {i:06d} 12") for i in range(20)] + [(3, f"copy {n} of id three, call +49 30 123456 {n:02d}") for n in range(500)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    kind = type(docs)
+    most, real = [], kind.collect
+
+    def counted(self):
+        rows = real(self)
+        most.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(kind, "collect", counted)
+    model = quality.train(docs, labels, rows_per_class=5)
+    assert model.weights is not None and max(most) <= 12
+    most.clear()
+    pii.train(docs, sample_rows=6)
+    assert max(most) <= 8

@@ -79,6 +79,12 @@ def hash_sample(rows: DataFrame, key: str, n: int) -> list:
     return sorted(hashed.collect(), key=lambda r: (r["__hash"], r[key]))[:n]
 
 
+def one_text_each(rows: DataFrame) -> DataFrame:
+    """(id, text) with one row per id, its text of smallest hash: what a sample of ids brings to the driver is bounded by the ids."""
+    least = F.min(F.struct(F.xxhash64("text").alias("h"), F.col("text").alias("text")))
+    return rows.groupBy("id").agg(least.alias("t")).select("id", F.col("t.text").alias("text"))
+
+
 def batch(schema: pa.Schema, columns: dict[str, object]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, type=schema.field(n).type)

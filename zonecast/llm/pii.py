@@ -20,13 +20,15 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField
 
-from .common import annotate, hash_sample, unwrapped
+from .common import annotate, hash_sample, one_text_each, unwrapped
 from .pii_base import KINDS, LOCAL, base_spans, joined, luhn
 
 #: an entity has at most so many groups of digits or domain labels, and characters
@@ -51,6 +53,15 @@ class Candidate:
     features: list[str] = field(default_factory=list)
 
 
+class Scored(NamedTuple):
+    """A candidate without its features."""
+
+    start: int
+    end: int
+    kind: str
+    score: float
+
+
 def _side(c: str) -> str:
     """Class of the character beside a span."""
     if not c:
@@ -62,8 +73,7 @@ def _side(c: str) -> str:
     return "blank" if c.isspace() else c
 
 
-def _numeric(text: str) -> list[Candidate]:
-    out = []
+def _numeric(text: str) -> Iterator[Candidate]:
     for chain in _CHAIN.finditer(text):
         groups = [m.span() for m in _DIGITS.finditer(text, *chain.span())]
         total = sum(z - a for a, z in groups)
@@ -90,8 +100,7 @@ def _numeric(text: str) -> list[Candidate]:
                     starts.append(a - 1)
                 for s in starts:
                     shared = _numeric_features(text, s, z, groups[i:j + 1])
-                    out += [Candidate(s, z, k, [f"{k}|{x}" for x in shared]) for k in kinds]
-    return out
+                    yield from (Candidate(s, z, k, [f"{k}|{x}" for x in shared]) for k in kinds)
 
 
 def _numeric_features(text: str, start: int, end: int, groups: list[tuple[int, int]]) -> list[str]:
@@ -116,8 +125,7 @@ def _numeric_features(text: str, start: int, end: int, groups: list[tuple[int, i
     ]
 
 
-def _mail(text: str) -> list[Candidate]:
-    out = []
+def _mail(text: str) -> Iterator[Candidate]:
     for at in _AT.finditer(text):
         left = text[max(0, at.start() - 66):at.start()]
         gap = len(left) - len(left.rstrip(" "))
@@ -143,20 +151,24 @@ def _mail(text: str) -> list[Candidate]:
                     f"left={_side(text[start - 1:start] if start else '')}",
                     f"local={'digit' if any(map(str.isdigit, local[0])) else 'plain'},{min(len(local[0]), 3)}",
                 ]
-                out.append(Candidate(start, m.end(), "email", [f"email|{x}" for x in shared]))
+                yield Candidate(start, m.end(), "email", [f"email|{x}" for x in shared])
             d = _DOT.match(text, m.end())
             if not d:
                 break
             dots.append("." if d[0] == "." else "dot" if d[0][0] == " " and d[0].strip().isalpha() else "bracket")
             m = _LABEL.match(text, d.end())
-    return out
 
 
-def candidates(text: str) -> list[Candidate]:
-    found = _numeric(text) if _DIGITS.search(text) else []
+def generated(text: str) -> Iterator[Candidate]:
+    """Candidates of a whole text, one at a time: numbers, then addresses."""
+    if _DIGITS.search(text):
+        yield from _numeric(text)
     if "@" in text or _AT.search(text):
-        found += _mail(text)
-    return sorted(found, key=lambda c: (c.start, c.end, c.kind))
+        yield from _mail(text)
+
+
+def candidates(text: str) -> list[Candidate]:
+    return sorted(generated(text), key=lambda c: (c.start, c.end, c.kind))
 
 
 def independent(found: list[Candidate]) -> list[list[Candidate]]:
@@ -230,8 +242,10 @@ class Model:
     def spans(self, text: str) -> list[tuple[str, int, int]]:
         """Entities of the best segmentation that are sure enough."""
         out = []
-        for group in independent(candidates(text)):
-            lattice = Lattice(group, [self.score(c) for c in group])
+        # a candidate's features (some two kilobytes) go as soon as it is scored
+        found = sorted((c.start, c.end, c.kind, self.score(c)) for c in generated(text))
+        for group in independent([Scored(*f) for f in found]):
+            lattice = Lattice(group, [c.score for c in group])
             chosen = lattice.best()
             if chosen:
                 sure = lattice.marginals()
@@ -242,10 +256,17 @@ class Model:
 def all_spans(text: str, model: Model) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """Base spans, and all spans: every base one and those of the field that touch none."""
     base = base_spans(text)
-    added = []
-    taken = sorted((a, z) for _, a, z in base)
-    for kind, a, z in model.spans(text):
-        if not any(a < y and x < z for x, y in taken):
+    added, k = [], 0
+    taken: list[list[int]] = []  # base spans, overlapping ones joined
+    for a, z in sorted((a, z) for _, a, z in base):
+        if taken and a < taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], z)
+        else:
+            taken.append([a, z])
+    for kind, a, z in model.spans(text):  # in order, and apart from each other
+        while k < len(taken) and taken[k][1] <= a:
+            k += 1
+        if k == len(taken) or z <= taken[k][0]:
             added.append((kind, a, z))
     return base, sorted(base + added, key=lambda s: (s[1], KINDS.index(s[0])))
 
@@ -419,7 +440,7 @@ def train(docs: DataFrame, *, sample_rows: int = 4000, windows: int = 800, id_co
     if chosen:
         # sample_rows ids: the broadcast side and the collected windows have that bound
         sample = F.broadcast(spark.createDataFrame([(i,) for i in sorted(chosen)], "id long"))
-        texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(sample, "id")
+        texts = one_text_each(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(sample, "id"))
         found = annotate(texts, "text", _window_lists, [StructField("windows", ArrayType(StringType()))])
         rows = found.filter(F.size("windows") > 0).select("windows").collect()
         pool = sorted({w for r in rows for w in r.windows}, key=lambda w: hashlib.md5(w.encode()).digest())[:windows]

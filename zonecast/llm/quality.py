@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, StructField
 
-from .common import annotate, hash_sample, stored, unwrapped
+from .common import annotate, hash_sample, one_text_each, stored, unwrapped
 from .ngrams import indicators
 
 #: fixed by the contract: rows whose remainder is 2 are held out
@@ -146,8 +146,8 @@ def train(
     """Fit on at most ``rows_per_class`` labelled documents of each class (the documented bound).
 
     The sample is every class's rows of smallest hash of the id, held-out rows
-    excluded.  Null labels and labels without a document are left out, repeated
-    ids count once.  With fewer than two rows of either class nothing is fitted:
+    excluded.  Null labels and labels without a document are left out; a repeated
+    id counts once, with its text of smallest hash.  With fewer than two rows of either class nothing is fitted:
     the score is the smoothed share of label 1, and ``accepted`` keeps every row.
     """
     spark = docs.sparkSession
@@ -168,7 +168,8 @@ def train(
         return Model(bits, None, 0.0, 0.0, share_good)
     # bounded by 2 * rows_per_class rows
     sample = F.broadcast(spark.createDataFrame([(r.id, r.good) for r in chosen], "id long, good boolean"))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(sample, "id")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = one_text_each(texts.join(sample.select("id"), "id")).join(sample, "id")
     found = annotate(texts, "text", _indicator_sets(bits), [StructField("seen", BinaryType())])
     rows = sorted(((r.id, r.good, r.seen) for r in found.select("whole.id", "whole.good", "seen").collect()), key=lambda r: (hash_order(r[0]), r[2]))
     return fit_rows([np.frombuffer(r[2], "<u4").astype(np.int32) for r in rows], np.asarray([r[1] for r in rows]), bits, share_good)
