@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import files, ingest, live, models, scoring, streams, traffic, training  # noqa: F401
+from . import files, ingest, live, models, monitor, scoring, streams, traffic, training  # noqa: F401
 from .registry import REGISTRY, Entry, query  # noqa: F401
 
 
@@ -19,6 +19,13 @@ _KIND = {
     "live_trips_stream": "stream",
     "live_stray_events": "stream",
     "normalize_events_stream": "stream",
+    "quarantine_stream": "stream",
+    "monthly_histograms": "files",
+    "monthly_volume": "files",
+    "monthly_quantiles": "files",
+    "busiest_zones_monthly": "files",
+    "contract_counts": "files",
+    "stored_table_checks": "files",
     "stage_history": "model",
     "metrics_document": "model",
     "model_reload": "model",
