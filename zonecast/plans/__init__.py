@@ -32,6 +32,7 @@ _KIND = {
     "score_cycle": "model",
     "train_features_from_files": "files",
     "csv_export": "files",
+    "incremental_history": "files",
     "upsert_after_restart": "files",
     "live_append_after_restart": "files",
     "train_metrics": "model",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources import adapter
+from ..sinks.history import read_history, update_history
 from ..sinks.tables import export_csv
 from ..operators.aggregate import finalize_features, tumbling_partials
 from ..operators.quality import clean_training
@@ -168,6 +169,21 @@ def train_features_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finalize_features(tumbling_partials(clean_training(trips)), digits=6)
 
 
+@query("incremental_history", DUCK_FILE_FEATURES)
+def incremental_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: the same features from partials kept per file: a first load of every other file and of
+    one that later vanishes, then an update that reads the other files only."""
+    files, zones = list_trip_files(spark, write_family_files(spark, sf_dir)), adapter.zones(spark, sf_dir)
+    extra, store = scratch_path(spark, "extra-trips"), scratch_path(spark, "history")
+    spark.read.parquet(files[0]).write.parquet(extra)
+    gone = list_trip_files(spark, extra)
+    update_history(spark, files[::2] + gone, zones, store)
+    change = update_history(spark, files, zones, store)
+    if change.read != sorted(files[1::2]) or change.removed != sorted(gone):
+        raise RuntimeError(f"the update read {len(change.read)} files, {len(change.removed)} went")
+    return finalize_features(read_history(spark, store), digits=6)
+
+
 @query(
     "csv_export",
     adapter.duck_with(base=("zones", "trips", "raw_wide"))

@@ -185,19 +185,23 @@ def read_trip_files(
 
 
 def training_trips_from_files(
-    spark: SparkSession, files: list[str], zones: DataFrame, keep: list[str] | None = None
+    spark: SparkSession, files: list[str], zones: DataFrame, keep: list[str] | None = None, file_col: str | None = None
 ) -> DataFrame | None:
     """S2 + F3 + J2: trips of the usable files with a pickup zone, in the trainer's columns.
 
     A file with a zone id column uses it (rows without a valid id have none and
     fail F2); a file with coordinates only is cut to the city box and snapped to
-    the nearest zone by great-circle distance.
+    the nearest zone by great-circle distance.  ``file_col``: name of a column with the
+    path of each row's file.
     """
     keep = keep or []
     frames = []
     for names, columns, group in _usable(file_families(spark, files), need_tip=True):
         own = [c for c in keep if c in names]
-        rows = canonical(spark.read.parquet(*group).select(*own, *columns), own, by_schema=True)
+        source = [F.col("_metadata.file_path").alias(file_col)] if file_col else []
+        raw = spark.read.parquet(*group).select(*own, *source, *columns)
+        own += [file_col] if file_col else []
+        rows = canonical(raw, own, by_schema=True)
         if names.intersection(S.PU_LOCATION_ALIASES):
             rows = rows.withColumn("pu_location_id", parse_zone_id("pu_location_raw"))
         else:
