@@ -162,9 +162,17 @@ def _interleaved(x: int, y: int) -> int:
 _SPREAD = ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)``, where the value is computed once per row however often the body names it (a lambda's argument)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _spread(x: Column) -> Column:
+    def stage(shift: int, mask: int):
+        return lambda v: v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
+
     for shift, mask in _SPREAD:
-        x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask))
+        x = let(x, stage(shift, mask))
     return x
 
 
@@ -200,12 +208,14 @@ class ZoneIndex:
         a, b = (lat, lon) if self.metric == "euclid" else _canonical(lat, lon)
         half = SPAN / 2
         cell = lambda x: _spread(F.least(F.floor((x + half) * F.lit((1 << LEVELS) / (2 * half))), F.lit((1 << LEVELS) - 1)))
-        code = F.shiftleft(cell(a), 1).bitwiseOR(cell(b))
         starts = self.value["starts"]
         steps = F.array(*(F.lit(1 << k) for k in reversed(range(self.leaves.bit_length()))))
-        # the last leaf that starts at or before the cell
-        found = F.aggregate(steps, F.lit(0), lambda at, s: F.when(F.coalesce(F.get(starts, at + s) <= code, F.lit(False)), at + s).otherwise(at))
-        return F.when((F.abs(a) < half) & (F.abs(b) < half) | (self.metric == "haversine") & (F.abs(a) <= 90) & (F.abs(b) <= 180), found)
+        last = lambda code: F.aggregate(  # noqa: E731  the last leaf that starts at or before the cell
+            steps, F.lit(0), lambda at, s: F.when(F.coalesce(F.get(starts, at + s) <= code, F.lit(False)), at + s).otherwise(at)
+        )
+        inside = lambda p: (F.abs(p["a"]) < half) & (F.abs(p["b"]) < half)
+        code = lambda p: F.shiftleft(cell(p["a"]), 1).bitwiseOR(cell(p["b"]))
+        return let(F.struct(a.alias("a"), b.alias("b")), lambda p: F.when(inside(p), let(code(p), last)))
 
     def nearest(self, lat: Column, lon: Column) -> Column:
         """Id of the nearest zone, the lowest id on ties of the distance rounded to 12 digits; null without coordinates."""
@@ -214,15 +224,17 @@ class ZoneIndex:
         metric = METRICS[self.metric]
         index, ids, zlat, zlon = self.value, self.value["ids"], self.value["lat"], self.value["lon"]
 
-        def best(which: Column) -> Column:
-            by = lambda i: F.struct(rounded(metric(lat, lon, F.get(zlat, i), F.get(zlon, i))).alias("d"), F.get(ids, i).alias("id"))
+        def best(p: Column, which: Column) -> Column:
+            by = lambda i: F.struct(rounded(metric(p["lat"], p["lon"], F.get(zlat, i), F.get(zlon, i))).alias("d"), F.get(ids, i).alias("id"))
             return F.array_min(F.transform(which, by))["id"]
 
-        # the leaf number is bound once: a lambda's argument is evaluated before its body
-        at_leaf = lambda n: best(F.slice(index["candidates"], F.get(index["first"], n) + 1, F.get(index["first"], n + 1) - F.get(index["first"], n)))
-        everywhere = F.sequence(F.lit(0), F.lit(len(self.arrays["ids"]) - 1))
-        leaf = F.transform(F.array(self.leaf(lat, lon)), lambda n: F.when(n.isNotNull(), at_leaf(n)).otherwise(best(everywhere)))
-        return F.when(lat.isNotNull() & lon.isNotNull(), F.get(leaf, F.lit(0))).cast(self.id_type)
+        def found(p: Column) -> Column:
+            of_leaf = lambda n: F.slice(index["candidates"], F.get(index["first"], n) + 1, F.get(index["first"], n + 1) - F.get(index["first"], n))
+            everywhere = F.sequence(F.lit(0), F.lit(len(self.arrays["ids"]) - 1))
+            return let(self.leaf(p["lat"], p["lon"]), lambda n: best(p, F.when(n.isNotNull(), of_leaf(n)).otherwise(everywhere)))
+
+        point = F.when(lat.isNotNull() & lon.isNotNull(), F.struct(lat.alias("lat"), lon.alias("lon")))
+        return let(point, lambda p: F.when(p.isNotNull(), found(p))).cast(self.id_type)
 
     def candidates_per_leaf(self) -> np.ndarray:
         return np.diff(self.arrays["first"])
