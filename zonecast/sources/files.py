@@ -129,23 +129,25 @@ def file_families(spark: SparkSession, files: list[str], files_per_task: int = 2
         return FileFamilies({}, [])
     paths = spark.createDataFrame([(f,) for f in files], "path string")
     tasks = max(1, min(len(files), -(-len(files) // files_per_task), 10_000), min(len(files), spark.sparkContext.defaultParallelism))
-    rows = paths.repartition(tasks).mapInArrow(_footers, "path string, columns string, status string").collect()
+    read = paths.repartition(tasks).mapInArrow(_footers, "path string, columns string, status string")
+    # one row per distinct schema: its text comes to the driver once, with the paths that have it
+    rows = read.groupBy("status", "columns").agg(F.collect_list("path").alias("paths")).collect()
     groups: dict[tuple, list[str]] = {}
     unreadable = []
-    for r in sorted(rows, key=lambda r: r.path):
+    for r in rows:
         if r.status == "store":
-            try:
-                fields = spark.read.parquet(r.path).schema.fields
-                columns = [[f.name, f.dataType.simpleString()] for f in fields]
-            except Exception:  # noqa: BLE001 - any unreadable file is reported
-                unreadable.append(r.path)
-                continue
+            for path in r.paths:
+                try:
+                    fields = spark.read.parquet(path).schema.fields
+                    groups.setdefault(tuple((f.name, f.dataType.simpleString()) for f in fields), []).append(path)
+                except Exception:  # noqa: BLE001 - any unreadable file is reported
+                    unreadable.append(path)
         elif r.status == "unreadable":
-            unreadable.append(r.path)
-            continue
+            unreadable += r.paths
         else:
-            columns = json.loads(r.columns)
-        groups.setdefault(tuple(map(tuple, columns)), []).append(r.path)
+            groups.setdefault(tuple(map(tuple, json.loads(r.columns))), []).extend(r.paths)
+    groups = {key: sorted(group) for key, group in groups.items()}
+    unreadable.sort()
     return FileFamilies(groups, unreadable)
 
 
