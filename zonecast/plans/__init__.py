@@ -30,6 +30,7 @@ _KIND = {
     "metrics_document": "model",
     "model_reload": "model",
     "score_cycle": "model",
+    "score_changed_zones": "files",
     "train_features_from_files": "files",
     "csv_export": "files",
     "incremental_history": "files",

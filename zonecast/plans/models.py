@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..ml.cycle import score_latest
+from ..ml.cycle import Scorer, score_changes, score_latest, scoring_features
 from ..ml.model import (
     StagedModel,
     check_sizes,
@@ -36,7 +36,8 @@ from ..sinks.tables import path_exists, upsert_latest, write_metrics_json
 from ..sources import adapter
 from . import duck as D
 from .registry import query
-from .scoring import as_of, duck_scoring, latest_per_zone
+from ..sinks.changes import upsert_announced
+from .scoring import _PRED_OUT, _round_pred, as_of, duck_scoring, latest_per_zone, traffic_raw
 from .traffic import clean_stream_trips
 from .training import duck_train, positioned
 
@@ -135,19 +136,11 @@ def model_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("differing"))
 
 
-def _scoring_features(latest: DataFrame) -> DataFrame:
-    return (
-        latest.withColumn("hour", F.hour("window_start"))
-        .withColumn("day_of_week", F.weekday("window_start"))
-        .withColumn("is_weekend", (F.col("day_of_week") >= 5).cast("int"))
-    )
-
-
 @query("predict_zones_gbt")
 def predict_zones_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M7-M10 with the boosted model: next-window tip band, fare, surge per zone."""
     model, _, _, _ = trained(spark, sf_dir)
-    scored = model.predict(_scoring_features(latest_per_zone(spark, sf_dir)), "tip_pred")
+    scored = model.predict(scoring_features(latest_per_zone(spark, sf_dir)), "tip_pred")
     return SC.zone_predictions(scored, F.col("tip_pred"), as_of(spark, sf_dir))
 
 
@@ -183,6 +176,28 @@ def score_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("score_changed_zones", duck_scoring() + _PRED_OUT)
+def score_changed_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M12, incremental: a cycle after each of three batches (stale rows of the even zones,
+    the odd zones, the even zones corrected) scores the touched zones only; the last
+    cycle's predictions, by the zone-hour baseline, are those of the whole table."""
+    agg = traffic_raw(spark, sf_dir)
+    train = positioned(spark, sf_dir).filter(F.col("split") == "train")
+    base, mean = baseline_table(train), global_mean(train)
+
+    def predict(latest: DataFrame) -> DataFrame:
+        scored = latest.withColumn("hour", F.hour("window_start")).join(base, ["pu_location_id", "hour"], "left")
+        return scored.withColumn("tip_pred", F.coalesce(F.col("baseline_pred"), mean))
+
+    table, feed, state = (scratch_path(spark, n) for n in ("traffic", "changes", "zone-state"))
+    even = F.col("pu_location_id") % 2 == 0
+    stale = agg.filter(even).withColumn("trip_count", F.col("trip_count") + 7)
+    for n, batch in enumerate((stale, agg.filter(~even), agg.filter(even))):
+        upsert_announced(spark, batch, n, table, feed, run_id="r")
+        out = score_changes(spark, table, feed, state, Scorer("baseline", predict), as_of(spark, sf_dir))
+    return _round_pred(out)
+
+
 @query(
     "missing_feature",
     adapter.duck_with() + """select event_id, cast(pu_location_id as double) as pu_location_id, 0.0::double as avg_speed_mph,

@@ -50,6 +50,17 @@ def list_files(spark: SparkSession, directory: str, suffix: str) -> list[str]:
     return sorted(out)
 
 
+def list_folders(spark: SparkSession, directory: str, prefix: str) -> list[str]:
+    """Sorted paths of the folders in ``directory`` whose names start with ``prefix``."""
+    fs, p = _fs(spark, directory)
+    if not fs.exists(p):
+        return []
+    return sorted(
+        f"{directory.rstrip('/')}/{st.getPath().getName()}" for st in fs.listStatus(p)
+        if st.isDirectory() and st.getPath().getName().startswith(prefix)
+    )
+
+
 # ---------------------------------------------------------------------------
 # K1: keyed upsert, last write wins
 # ---------------------------------------------------------------------------

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import schema as S
 from ..operators.aggregate import sliding_traffic_agg
 from ..operators.quality import clean_stream
+from ..sinks.changes import upsert_announced
 from ..sinks.tables import run_id_of, upsert_latest
 from ..sources.events import decode_events, parse_event_times
 
@@ -25,9 +26,11 @@ def run_traffic_stream(
     checkpoint: str,
     trigger: dict | None = None,
     await_termination: bool = True,
+    changes: str | None = None,
 ):
     """Start the update-mode aggregate into ``target_path`` (keyed upsert per
-    micro-batch).  ``trigger`` defaults to ``{"availableNow": True}``; use
+    micro-batch).  ``changes`` names the folder of a change feed, for scorers that read
+    touched zones only.  ``trigger`` defaults to ``{"availableNow": True}``; use
     ``{"processingTime": "2 seconds"}`` for a continuously running job.
 
     The state-store partition count is fixed by the checkpoint on first start
@@ -40,7 +43,10 @@ def run_traffic_stream(
     def sink(batch_df: DataFrame, batch_id: int) -> None:
         if "id" not in run:
             run["id"] = run_id_of(spark, checkpoint)
-        upsert_latest(spark, batch_df, batch_id, target_path, run_id=run["id"])
+        if changes is None:
+            upsert_latest(spark, batch_df, batch_id, target_path, run_id=run["id"])
+        else:
+            upsert_announced(spark, batch_df, batch_id, target_path, changes, run_id=run["id"])
 
     q = (
         agg.writeStream.outputMode("update")
