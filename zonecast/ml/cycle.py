@@ -86,16 +86,17 @@ def scoring_features(latest: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Scorer:
-    """``predict`` adds ``tip_pred`` to aggregate rows, each on its own; ``version`` names the model."""
+    """``predict`` adds ``tip_pred`` to rows, each on its own; ``version`` names the model."""
 
     version: str
     predict: Callable[[DataFrame], DataFrame]
 
 
-def model_scorer(spark: SparkSession, model_path: str) -> Scorer:
+def model_scorer(spark: SparkSession, model_path: str, features: Callable[[DataFrame], DataFrame] = scoring_features) -> Scorer:
+    """The saved model over aggregate rows, or over rows that ``features`` makes its input of."""
     model = load_model(spark, model_path)
     version = f"{model.trained_at}/{model.training_rows}/{len(model.stages)}"
-    return Scorer(version, lambda latest: model.predict(scoring_features(latest), "tip_pred"))
+    return Scorer(version, lambda latest: model.predict(features(latest), "tip_pred"))
 
 
 _STATE = [*AGG_VALUE_COLUMNS, "tip_pred"]

@@ -111,8 +111,8 @@ def active_zones(stations: DataFrame) -> DataFrame:
     ).withColumn("top_station", top.select(F.first("zone_name")).scalar())
 
 
-def trip_features(trips: DataFrame) -> DataFrame:
-    """M3: per-trip model features with the live-view fallbacks."""
+def trip_features(trips: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """M3: per-trip model features with the live-view fallbacks; ``keep``: columns carried along."""
     pick, drop = F.col("pickup_datetime"), F.col("dropoff_datetime")
     dur = clip(minutes_fractional(pick, drop), S.MIN_DURATION_MIN, S.MAX_DURATION_MIN)
     dur = F.coalesce(dur, F.lit(S.TRIP_DURATION_DEFAULT))
@@ -121,6 +121,7 @@ def trip_features(trips: DataFrame) -> DataFrame:
     dow = F.coalesce(weekday_mon0(pick), F.lit(S.TRIP_DOW_DEFAULT))
     return trips.select(
         "event_id",
+        *(keep or []),
         F.coalesce(F.col("pu_location_id").cast("double"), F.lit(0.0)).alias("pu_location_id"),
         F.coalesce(F.hour(pick), F.lit(S.TRIP_HOUR_DEFAULT)).alias("hour"),
         dow.alias("day_of_week"),

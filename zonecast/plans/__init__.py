@@ -20,6 +20,7 @@ _KIND = {
     "live_stray_events": "stream",
     "normalize_events_stream": "stream",
     "quarantine_stream": "stream",
+    "live_prediction_errors": "stream",
     "monthly_histograms": "files",
     "monthly_volume": "files",
     "monthly_quantiles": "files",

@@ -31,13 +31,17 @@ from ..ml.model import (
 from ..operators import live as L
 from ..operators import scoring as SC
 from ..operators.aggregate import baseline_table, global_mean, sliding_traffic_agg
-from ..session import scratch_path, scratch_root
+from ..functions.numeric import round6 as r6
+from ..session import materialize, scratch_path, scratch_root
 from ..sinks.tables import path_exists, upsert_latest, write_metrics_json
 from ..sources import adapter
+from ..sources.events import json_file_stream
+from ..streaming.forecast import read_errors, run_compared_stream
 from . import duck as D
 from .registry import query
 from ..sinks.changes import upsert_announced
 from .scoring import _PRED_OUT, _round_pred, as_of, duck_scoring, latest_per_zone, traffic_raw
+from .streams import replay_feed
 from .traffic import clean_stream_trips
 from .training import duck_train, positioned
 
@@ -198,6 +202,44 @@ def score_changed_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_pred(out)
 
 
+_AMOUNT = D.r2(D.r("5.0 * greatest(" + D.r("coalesce(b.baseline_pred, g.gmean)", 9) + ", 0.0)", 9))
+DUCK_LIVE_ERRORS = f"""
+select 'baseline' as model_version, date_trunc('hour', t.emitted_at) as emit_hour, t.total_amount as actual, {_AMOUNT} as predicted
+from trips t
+left join (select pu_location_id, hour, avg(avg_tip_amount) as baseline_pred from pos
+           where split = 'train' group by all) b
+  on b.pu_location_id = t.pu_location_id and b.hour = hour(t.pickup_datetime),
+  (select avg(avg_tip_amount) as gmean from pos where split = 'train') g
+"""
+
+
+@query(
+    "live_prediction_errors",
+    duck_scoring(("le", DUCK_LIVE_ERRORS))
+    + f"""select model_version, emit_hour, cast(count(*) as bigint) as trips, cast(count(actual) as bigint) as compared,
+  {D.r6('avg(abs(actual - predicted))')} as mae,
+  {D.r6('avg(abs(actual - predicted) / case when actual = 0 then 1e-6 else actual end) * 100.0')} as mape
+from le group by model_version, emit_hour""",
+)
+def live_prediction_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed replayed through the scoring stream; its amount errors by model version
+    and arrival hour, with the stored zone-hour baseline as the model."""
+    train = positioned(spark, sf_dir).filter(F.col("split") == "train")
+    base, mean = materialize(baseline_table(train)), train.agg(F.avg(S.TARGET)).first()[0]
+
+    def predict(features: DataFrame) -> DataFrame:
+        scored = features.join(base.withColumn("pu_location_id", F.col("pu_location_id").cast("double")), ["pu_location_id", "hour"], "left")
+        return scored.withColumn("tip_pred", F.coalesce(F.col("baseline_pred"), F.lit(mean)))
+
+    feed = replay_feed(spark, sf_dir)
+    rows, errors = scratch_path(spark, "compared"), scratch_path(spark, "errors")
+    run_compared_stream(
+        spark, json_file_stream(spark, feed, max_files_per_trigger=1), lambda: Scorer("baseline", predict), rows, errors,
+        scratch_path(spark, "ckpt-compared"),
+    )
+    return read_errors(spark, errors, ["model_version", "emit_hour"]).withColumn("mae", r6("mae")).withColumn("mape", r6("mape"))
+
+
 @query(
     "missing_feature",
     adapter.duck_with() + """select event_id, cast(pu_location_id as double) as pu_location_id, 0.0::double as avg_speed_mph,
