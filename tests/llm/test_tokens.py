@@ -24,7 +24,6 @@ def direct():
     out = {}
     for path in (BYTES, WORDS):
         t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
         out[path] = lambda x, t=t: t.encode(x, add_special_tokens=False).ids
     return out
 
@@ -163,16 +162,41 @@ def test_damage_is_noticed(spark, tmp_dir):
 
 
 @pytest.mark.parametrize("path,style", [(BYTES, "leading"), (WORDS, "dropped")])
-def test_added_tokens_in_a_text_are_ordinary_letters(path, style):
-    """Against a tokenizer as it is loaded: the ids differ only where a text spells an added token."""
+def test_added_tokens_in_a_text_get_the_ids_of_the_library(direct, path, style):
+    """Against a tokenizer as it is loaded, at every place of a text."""
     from tokenizers import Tokenizer
 
-    plain = Tokenizer.from_file(path)
-    added = {i: t.content for i, t in plain.get_added_tokens_decoder().items()}
+    added = {i: t.content for i, t in Tokenizer.from_file(path).get_added_tokens_decoder().items()}
     assert added
-    spelled = [f"the {t} the" for t in added.values()]
-    texts = [t for t in ODD if not any(a in t for a in added.values())] + spelled
+    texts = []
+    for t in added.values():
+        texts += [f"the {t} the", t, t + t, f"a{t}b", f" {t} ", f"x {t}\n{t} y  z", t[:-1], t[1:], t.upper(), t[:3] + t + t[3:], f"é{t}ü\u3000{t}"]
     for text, got in zip(texts, tokenizer(path, style).encode(texts)):
-        ids, want = np.frombuffer(got, "<u4").tolist(), plain.encode(text, add_special_tokens=False).ids
-        assert not set(ids) & set(added)
-        assert (ids != want and set(want) & set(added)) if text in spelled else ids == want
+        assert np.frombuffer(got, "<u4").tolist() == direct[path](text), repr(text)
+    assert set(added) & set(direct[path](texts[0]))
+
+
+@pytest.mark.parametrize("path,style", [(BYTES, "leading"), (WORDS, "dropped")])
+def test_memos_are_bounded_within_one_text(direct, path, style, monkeypatch):
+    from zonecast.llm import tokens
+
+    monkeypatch.setattr(tokens, "WORD_BYTES", 40_000)
+    monkeypatch.setattr(tokens, "PIECE_BYTES", 50_000)
+    memo, most = tokens.WordMemo(path, style), [0, 0]
+    text = " ".join(f"w{k:x}q, zz{k}" for k in range(20_000)) + " " + "y" * 5000
+
+    def held(d):
+        return sum(100 + s.__sizeof__() + v.__sizeof__() for s, v in d.items())
+
+    make = memo.words.make
+
+    def watched(word):
+        if len(memo.words) % 50 == 0:
+            most[0], most[1] = max(most[0], held(memo.words)), max(most[1], held(memo.pieces))
+        return make(word)
+
+    memo.words.make = watched
+    got = memo.encode([text])[0]
+    assert np.frombuffer(got, "<u4").tolist() == direct[path](text)
+    assert 0 < most[0] <= 40_000 and 0 < most[1] <= 50_000
+    assert max(map(len, memo.words)) <= tokens.LONG and max(map(len, memo.pieces)) <= tokens.LONG

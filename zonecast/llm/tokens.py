@@ -3,9 +3,10 @@
 Byte-pair merges never cross the pre-tokeniser's pieces, so a text can be cut at
 safe blanks, each distinct word split into pieces, each distinct piece merged once
 by the library's model, and the ids joined again.  A text that spells an added token
-(``<|endoftext|>``) gets the ids of its letters, not the special id, which marks
-document ends: ``encode_special_tokens`` is on, unlike the library's default.  The memos live as long as the
-Python worker and are emptied at ``WORDS`` and ``PIECES`` entries; they change the time, never the
+(``<|endoftext|>``) gets that token's id there, as the library gives it; the text
+between such tokens is encoded on its own.  The memos live as long as the
+Python worker and hold at most ``WORD_BYTES`` and ``PIECE_BYTES``, also within one text, and no
+word over ``LONG`` letters; they change the time, never the
 ids.  Texts with unusual blanks, and words beyond plain Latin letters, go through
 the library's full encoder.
 """
@@ -14,11 +15,15 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 from array import array
 
 import numpy as np
 
-WORDS, PIECES = 250_000, 800_000
+#: bounds of the two memos in bytes, and of a remembered word or piece in letters
+WORD_BYTES, PIECE_BYTES, LONG = 64 << 20, 160 << 20, 64
+#: what an entry takes in its dictionary beside the key and the value
+_SLOT = 100
 #: ASCII marks that end a word
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: blanks other than space and newline, which the library and Python may class differently
@@ -50,11 +55,21 @@ _LOADED: dict[tuple[str, str], "WordMemo"] = {}
 
 
 class _Memo(dict):
-    def __init__(self, make):
-        self.make = make
+    """Results of ``make``; emptied before it would hold more than ``limit`` bytes."""
+
+    def __init__(self, make, limit: int):
+        self.make, self.limit, self.held = make, limit, 0
 
     def __missing__(self, key):
-        value = self[key] = self.make(key)
+        value = self.make(key)
+        if len(key) > LONG:
+            return value
+        size = _SLOT + sys.getsizeof(key) + sys.getsizeof(value)
+        if self.held + size > self.limit:
+            self.clear()
+            self.held = 0
+        self.held += size
+        self[key] = value
         return value
 
 
@@ -72,12 +87,19 @@ class WordMemo:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         self.merge = self.tok.model.tokenize
         self.style = style
         self.find = _PIECES[style].findall
-        self.words = _Memo(self.word)
-        self.pieces: dict[str, bytes] = {}
+        self.words = _Memo(self.word, WORD_BYTES)
+        self.pieces = _Memo(self.merged, PIECE_BYTES)
+        self.piece = self.pieces.__getitem__
+        added = self.tok.get_added_tokens_decoder()
+        # tokens that match as they are written, with nothing around them taken in
+        plain = not any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added.values())
+        self.added = {t.content: np.asarray([i], "<u4").tobytes() for i, t in added.items()} if plain else None
+        longest_first = sorted((t.content for t in added.values()), key=len, reverse=True)
+        self.split = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")").split if added else None
+        self.literals = longest_first
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -96,12 +118,9 @@ class WordMemo:
         words[0] = "\0" + words[0]
         return words
 
-    def piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            letters = piece.encode().decode("latin-1").translate(_LETTERS)
-            ids = self.pieces[piece] = array("I", [t.id for t in self.merge(letters)]).tobytes()
-        return ids
+    def merged(self, piece: str) -> bytes:
+        letters = piece.encode().decode("latin-1").translate(_LETTERS)
+        return array("I", [t.id for t in self.merge(letters)]).tobytes()
 
     def word(self, word: str) -> bytes:
         letters = word.rstrip(_MARKS)
@@ -122,18 +141,22 @@ class WordMemo:
             text = _lower(text)
         return b"".join(map(self.piece, self.find(text)))
 
+    def plain(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
+        words = self.cut(text)
+        return self.whole(text) if words is None else b"".join(map(self.words.__getitem__, words))
+
+    def one(self, text: str) -> bytes:
+        if self.added is None:
+            return self.whole(text)
+        if not any(t in text for t in self.literals):
+            return self.plain(text)
+        # odd places hold the added tokens
+        return b"".join(self.added[t] if k % 2 else self.plain(t) for k, t in enumerate(self.split(text)) if t)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        known = self.words
-        out = []
-        for text in texts:
-            words = self.cut(text)
-            if len(known) > WORDS:
-                known.clear()
-            if len(self.pieces) > PIECES:
-                self.pieces.clear()
-            out.append(self.whole(text) if words is None else b"".join(map(known.__getitem__, words)))
-        return out
+        return [self.one(text) for text in texts]
 
 
 def tokenizer(path: str, style: str) -> WordMemo:
