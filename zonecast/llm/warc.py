@@ -124,32 +124,59 @@ def records_of(data: bytes) -> tuple[dict[str, str], bytes]:
     for line in lines[1:]:
         name, _, value = line.decode("utf-8", "replace").partition(":")
         fields[name.strip().lower()] = value.strip()
-    size = int(fields.get("content-length", -1))
+    length = fields.get("content-length", "")
+    size = int(length) if length.isdecimal() else -1
     if size < 0 or len(rest) != size + 4 or rest[size:] != CRLF + CRLF:
         raise DamagedArchive("content length")
     return fields, rest[:size]
 
 
-def members(stream, name: str, chunk: int = 1 << 20) -> Iterator[bytes]:
-    """Unpacked gzip members of a file, one at a time."""
-    held, eof = b"", False
+_MAGIC = b"\x1f\x8b\x08"
+
+
+def members(stream, chunk: int = 1 << 20) -> Iterator[tuple[bytes | None, str | None]]:
+    """Unpacked gzip members of a file, one at a time: (data, None), or (None, reason) for a
+    damaged stretch, after which reading goes on at the next place where a member unpacks.
+
+    The packed bytes of the member at hand are kept, so that a search after damage
+    can start right behind the place where the damaged member began.
+    """
+    held, sound = b"", True
     while True:
-        if not held and not eof:
-            held = stream.read(chunk)
         if not held:
-            return
-        unpack, out = zlib.decompressobj(31), []
+            held = stream.read(chunk)
+            if not held:
+                return
+        unpack, out, packed, reason = zlib.decompressobj(31), [], [held], None
         while not unpack.eof:
             if not held:
                 held = stream.read(chunk)
                 if not held:
-                    raise DamagedArchive(f"{name}: cut short")
+                    reason = "cut short"
+                    break
+                packed.append(held)
             try:
                 out.append(unpack.decompress(held))
-            except zlib.error as e:
-                raise DamagedArchive(f"{name}: {e}") from e
+            except zlib.error:
+                reason = "damaged member"
+                break
             held = unpack.unused_data
-        yield b"".join(out)
+        if reason is None:
+            sound = True
+            yield b"".join(out), None
+            continue
+        if sound:  # one row for a damaged stretch, however many places in it are tried
+            sound = False
+            yield None, reason
+        rest = b"".join(packed)
+        at = rest.find(_MAGIC, 1)
+        while at < 0:
+            more = stream.read(chunk)
+            if not more:
+                return
+            rest = rest[-2:] + more  # the mark may lie across two reads
+            at = rest.find(_MAGIC)
+        held = rest[at:]
 
 
 # --- writing ---------------------------------------------------------------------
@@ -161,10 +188,12 @@ def _clean(value: str | None) -> str | None:
 
 def page_records(
     row: int, page_id: int | None, url: str | None, payload: bytes, first: tuple[int, int | None] | None, segment: int, chunk: int,
+    space: uuid.UUID = _NAMES,
 ) -> list[tuple[str, str, bytes]]:
-    """(record id, type, bytes) of the records of one page; ``first``: row and id of the response it repeats."""
+    """(record id, type, bytes) of the records of one page; ``first``: row and id of the response it repeats,
+    ``space``: the archive's name space, in which records are named by row and segment."""
     def name(n, k=1):
-        return f"<urn:uuid:{uuid.uuid5(_NAMES, f'{n}/{k}')}>"
+        return f"<urn:uuid:{uuid.uuid5(space, f'{n}/{k}')}>"
 
     common = [("WARC-Date", DATE), ("WARC-Target-URI", _clean(url)), ("X-Page-ID", page_id),
               ("WARC-Payload-Digest", f"sha1:{digest(payload)}"), ("X-Payload-Length", len(payload))]
@@ -186,7 +215,7 @@ def page_records(
     return out
 
 
-def _write(folder: str, segment: int, chunk: int, roll_bytes: int):
+def _write(folder: str, segment: int, chunk: int, roll_bytes: int, space: uuid.UUID):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = RollingFiles(folder, ".warc.gz", roll_bytes)
         try:
@@ -195,7 +224,7 @@ def _write(folder: str, segment: int, chunk: int, roll_bytes: int):
                 columns = [b.column(n).to_pylist() for n in ("row", "page_id", "url", "payload", "first_row", "first_id")]
                 for row, page_id, url, payload, first_row, first_id in zip(*columns):
                     first = None if first_row is None or first_row == row else (first_row, first_id)
-                    for rid, kind, data in page_records(row, page_id, url, payload, first, segment, chunk):
+                    for rid, kind, data in page_records(row, page_id, url, payload, first, segment, chunk, space):
                         file, offset = files.write(data)
                         for n, v in zip(_INDEX.names, (file, offset, len(data), rid, kind, page_id)):
                             out[n].append(v)
@@ -216,14 +245,17 @@ def write_archive(
     bytes the one with the smallest id (nulls last, then the first stored row) is
     the response; every other one, also a repeated row, is a revisit.  Null ids
     and urls leave their header out.  Other columns are ignored; an empty table
-    writes no record.
+    writes no record.  Every archive has a name space of its own, chosen here once, so
+    record ids differ between archives and stay the same when a task is retried.
+    Payloads count as equal by SHA-256: SHA-1, which the format states, has known collisions.
     """
+    space = uuid.uuid4()
     spark = pages.sparkSession
     ready(spark)
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
     rows = stored(pages.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("page_id"),
-        F.col(url_col).cast("string").alias("url"), payload.alias("payload"), F.unhex(F.sha1(payload)).alias("sha"),
+        F.col(url_col).cast("string").alias("url"), payload.alias("payload"), F.unhex(F.sha2(payload, 256)).alias("sha"),
     ), "warc-pages")
     # minima are pre-aggregated in each task; only digests that repeat go on to the join.  They are
     # stored first, so the planner knows their size: where it is small no payload is shuffled,
@@ -235,7 +267,7 @@ def write_archive(
         "warc-repeats",
     )
     linked = rows.join(repeats, "sha", "left").select("row", "page_id", "url", "payload", "first_row", "first_id")
-    index = linked.mapInArrow(_write(f"{folder}/records", segment_bytes, chunk_bytes, roll_bytes), _INDEX_DDL)
+    index = linked.mapInArrow(_write(f"{folder}/records", segment_bytes, chunk_bytes, roll_bytes, space), _INDEX_DDL)
     index.write.option("compression", "zstd").parquet(f"{folder}/index")
     return spark.read.schema(_INDEX_DDL).parquet(f"{folder}/index")
 
@@ -278,15 +310,26 @@ def _parse(folder: str):
             out["status"] = "ok"
         return out
 
+    def lost(reason: str | None) -> dict:
+        return dict.fromkeys(_PARSED.names) | {"status": f"archive: {reason}"}
+
+    def parsed(data: bytes) -> dict:
+        try:
+            return row(*records_of(data))
+        except DamagedArchive as e:
+            return lost(str(e))
+        except ValueError:  # a number field that is none
+            return lost("header")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = open_fs(f"{folder}/records")
         for b in batches:
             for name in b.column("file").to_pylist():
                 rows, held = [], 0
                 with fs.open_input_stream(f"{path}/{name}", compression=None) as stream:
-                    for data in members(stream, name):
-                        rows.append(row(*records_of(data)))
-                        held += len(data)
+                    for data, damage in members(stream):
+                        rows.append(lost(damage) if data is None else parsed(data))
+                        held += len(data or b"")
                         if held > 4 << 20:
                             yield batch(_PARSED, {n: [r[n] for r in rows] for n in _PARSED.names})
                             rows, held = [], 0
@@ -329,7 +372,11 @@ def read_archive(spark: SparkSession, folder: str, *, keep_payload: bool = True)
     page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload
     (null for revisits), status.  ``status`` is 'ok', or names the check that
     failed (segment numbers, total length, transfer framing, digests); then the
-    payload is null, and the other records are still read.  A group is the
+    payload is null, and the other records are still read.  What cannot be read as a
+    record at all (a file cut short, a broken gzip member, a wrong length or number in a
+    header) gives one row of nulls with a status 'archive: ...' per stretch, and reading goes
+    on with the next member; a response that lost a segment there has its own status.  A
+    file that the index names and that is not there is an error.  A group is the
     segments of one record, so at most one payload.
     """
     ready(spark)
