@@ -5,8 +5,8 @@ safe blanks, each distinct word split into pieces, each distinct piece merged on
 by the library's model, and the ids joined again.  A text that spells an added token
 (``<|endoftext|>``) gets that token's id there, as the library gives it; the text
 between such tokens is encoded on its own.  The memos live as long as the
-Python worker and hold at most ``WORD_BYTES`` and ``PIECE_BYTES``, also within one text, and no
-word over ``LONG`` letters; they change the time, never the
+Python worker and hold at most ``WORDS`` words and ``PIECE_BYTES`` of pieces, also within one text, and no
+word over ``LONG`` letters, which bounds both in bytes; they change the time, never the
 ids.  Texts with unusual blanks, and words beyond plain Latin letters, go through
 the library's full encoder.
 """
@@ -15,15 +15,15 @@ from __future__ import annotations
 
 import os
 import re
-import sys
 from array import array
 
 import numpy as np
 
-#: bounds of the two memos in bytes, and of a remembered word or piece in letters
-WORD_BYTES, PIECE_BYTES, LONG = 64 << 20, 160 << 20, 64
-#: what an entry takes in its dictionary beside the key and the value
-_SLOT = 100
+#: longest word or piece (letters) that is remembered, and an entry's bytes beside its letters and ids
+LONG, _ENTRY = 32, 210
+#: the words' memo by entries, of at most _ENTRY + LONG * (4 + 16) bytes each: 213 MB, about 60 MB with
+#: ordinary words; the pieces' memo by bytes
+WORDS, PIECE_BYTES = 250_000, 160 << 20
 #: ASCII marks that end a word
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: blanks other than space and newline, which the library and Python may class differently
@@ -55,21 +55,17 @@ _LOADED: dict[tuple[str, str], "WordMemo"] = {}
 
 
 class _Memo(dict):
-    """Results of ``make``; emptied before it would hold more than ``limit`` bytes."""
+    """Results of ``make``, emptied at ``most`` entries; long words are not remembered."""
 
-    def __init__(self, make, limit: int):
-        self.make, self.limit, self.held = make, limit, 0
+    def __init__(self, make, most: int):
+        self.make, self.most = make, most
 
     def __missing__(self, key):
         value = self.make(key)
-        if len(key) > LONG:
-            return value
-        size = _SLOT + sys.getsizeof(key) + sys.getsizeof(value)
-        if self.held + size > self.limit:
-            self.clear()
-            self.held = 0
-        self.held += size
-        self[key] = value
+        if len(key) <= LONG:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = value
         return value
 
 
@@ -90,9 +86,9 @@ class WordMemo:
         self.merge = self.tok.model.tokenize
         self.style = style
         self.find = _PIECES[style].findall
-        self.words = _Memo(self.word, WORD_BYTES)
-        self.pieces = _Memo(self.merged, PIECE_BYTES)
-        self.piece = self.pieces.__getitem__
+        self.words = _Memo(self.word, WORDS)
+        self.pieces: dict[str, bytes] = {}
+        self.piece_bytes = 0
         added = self.tok.get_added_tokens_decoder()
         # tokens that match as they are written, with nothing around them taken in
         plain = not any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added.values())
@@ -118,9 +114,19 @@ class WordMemo:
         words[0] = "\0" + words[0]
         return words
 
-    def merged(self, piece: str) -> bytes:
-        letters = piece.encode().decode("latin-1").translate(_LETTERS)
-        return array("I", [t.id for t in self.merge(letters)]).tobytes()
+    def piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            letters = piece.encode().decode("latin-1").translate(_LETTERS)
+            ids = array("I", [t.id for t in self.merge(letters)]).tobytes()
+            n = len(piece)
+            if n <= LONG:
+                self.piece_bytes += _ENTRY + 4 * n + len(ids)
+                if self.piece_bytes > PIECE_BYTES:
+                    self.pieces.clear()
+                    self.piece_bytes = _ENTRY + 4 * n + len(ids)
+                self.pieces[piece] = ids
+        return ids
 
     def word(self, word: str) -> bytes:
         letters = word.rstrip(_MARKS)
