@@ -12,6 +12,8 @@ batch and scored frame is a distributed DataFrame.
 from __future__ import annotations
 
 import json
+import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
@@ -22,9 +24,16 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..operators.aggregate import mae_mape
 from ..operators.select import batch_index
-from ..session import materialize
+from ..session import materialize, scratch_path
+from ..sinks.tables import delete_path
 
 PRED = "prediction"
+#: rows of a batch in one partition: a tree is a chain of short jobs, each as dear as its tasks are many
+SLICE_ROWS = 32_768
+#: batches whose margins are stored together, and whose stages are validated together
+GROUP_BATCHES = 8
+#: stages written or read at a time
+MODEL_THREADS = 8
 
 
 def ensure_features(df: DataFrame, features: list[str] = S.TIP_FEATURES) -> DataFrame:
@@ -107,6 +116,24 @@ def split_counts(positioned: DataFrame) -> dict[str, int]:
     return r.asDict()
 
 
+def add_margin(df: DataFrame, stages: list[GBTRegressionModel], margin: str = "__f") -> DataFrame:
+    """Add the shares of ``stages`` to ``margin``, one after the other, as ``StagedModel.predict`` does."""
+    for m in stages:
+        scored = m.copy({m.predictionCol: "__share"}).transform(df)
+        df = scored.withColumn(margin, F.col(margin) + F.col("__share")).drop("__share")
+    return df
+
+
+def training_slices(batch: DataFrame, first: int, rows: int) -> DataFrame:
+    """A batch of ``rows`` positions from ``first`` on, ``SLICE_ROWS`` of them to a partition, in their order.
+
+    The partitions depend on the batch alone, not on those of the whole input, whose
+    number grows with it, and so do the rows that the trees sample.
+    """
+    part = F.floor((F.col("rn") - F.lit(first)) / F.lit(SLICE_ROWS)).cast("int")
+    return batch.repartitionById(math.ceil(rows / SLICE_ROWS), part).sortWithinPartitions("rn")
+
+
 def train_staged(
     core: DataFrame,
     val: DataFrame,
@@ -118,37 +145,59 @@ def train_staged(
     """M5: chronological residual stages; returns the best prefix and the history.
 
     ``core`` must carry ``rn`` (global position); batches are
-    floor((rn - first_rn) / rows_per_batch).  The validation rows carry their
-    prediction so far: a stage adds its own share and the sum is stored, so
-    validation costs one stage per batch.
+    floor((rn - first_rn) / rows_per_batch).  Its rows are stored by groups of
+    ``GROUP_BATCHES`` batches, so that each is read for its own group only: there the
+    earlier groups' stages are added once and kept as a margin, and a batch adds
+    those of its group.  The validation rows carry their margin too: a group's
+    stages add their shares in one pass, which gives the errors after each.
     """
-    bounds = core.agg(F.min("rn").alias("first"), F.count(F.lit(1)).alias("n")).first()
+    spark = core.sparkSession
+    bounds = core.agg(F.min("rn").alias("first"), F.max("rn").alias("last"), F.count(F.lit(1)).alias("n")).first()
     check_sizes({"core": bounds.n})
-    core_b = materialize(core.withColumn("__batch", batch_index(F.col("rn") - F.lit(bounds.first) + 1, rows_per_batch)))
-    sizes = {r["__batch"]: r["count"] for r in core_b.groupBy("__batch").count().collect()}
-    running = materialize(assemble(val).withColumn("__f", F.lit(0.0)))
+    store = scratch_path(spark, "batches")
+    batched = assemble(core).withColumn("__batch", batch_index(F.col("rn") - F.lit(bounds.first) + 1, rows_per_batch))
+    grouped = batched.select("rn", target, "features", "__batch", F.floor(F.col("__batch") / F.lit(GROUP_BATCHES)).alias("__group"))
+    grouped.write.partitionBy("__group").parquet(store)
+    rows = spark.read.parquet(store)
+    sizes = {r["__batch"]: r["count"] for r in rows.groupBy("__batch").count().collect()}
+    running = materialize(assemble(val).select(target, "features", F.lit(0.0).alias("__f")))
     stages: list[GBTRegressionModel] = []
     history: list[dict] = []
-    best_mae, best_k = float("inf"), 0
-    for b in sorted(sizes):
-        batch = core_b.filter(F.col("__batch") == b)
-        if stages:
-            scored = StagedModel(stages).predict(batch, "__f")
-            batch = scored.withColumn("__residual", F.col(target) - F.col("__f"))
-            label, n_trees = "__residual", trees_per_batch
-        else:
-            label, n_trees = target, init_trees
-        stage = gbt(n_trees, label).fit(materialize(assemble(batch)))
-        stages.append(stage)
-        added = stage.copy({stage.predictionCol: "__share"}).transform(running)
-        running = materialize(added.withColumn("__f", F.col("__f") + F.col("__share")).drop("__share"))
-        m = mae_mape_frame(running, target, "__f").first()
-        if m.mae is None:
+    for g in sorted({b // GROUP_BATCHES for b in sizes}):
+        done = len(stages)
+        group = materialize(add_margin(rows.filter(F.col("__group") == g).withColumn("__f", F.lit(0.0)), stages))
+        for b in sorted(b for b in sizes if b // GROUP_BATCHES == g):
+            first = bounds.first + b * rows_per_batch
+            batch = training_slices(group.filter(F.col("__batch") == b), first, min(rows_per_batch, bounds.last - first + 1))
+            if stages:
+                label, n_trees = F.col(target) - F.col("__f"), trees_per_batch
+            else:
+                label, n_trees = F.col(target), init_trees
+            labelled = add_margin(batch, stages[done:]).select("features", label.alias("__label"))
+            stages.append(gbt(n_trees, "__label").fit(materialize(labelled)))
+            history.append({"batch": len(stages), "rows": sizes[b], "trees": n_trees})
+        running = _validate(running, stages[done:], history[done:], target)
+    delete_path(spark, store)
+    best_mae, best_k = float("inf"), len(stages)
+    for entry in history:
+        if entry["val_mae"] < best_mae:
+            best_mae, best_k = entry["val_mae"], entry["batch"]
+    return StagedModel(stages[:best_k]), history
+
+
+def _validate(running: DataFrame, stages: list[GBTRegressionModel], history: list[dict], target: str) -> DataFrame:
+    """The validation rows with ``stages`` added to their margin; each stage's errors go into its entry of ``history``."""
+    after = [f"__f{i}" for i in range(len(stages))]
+    for name, stage in zip(after, stages, strict=True):
+        running = add_margin(running, [stage]).withColumn(name, F.col("__f"))
+    running = materialize(running)
+    pairs = [(mae.alias(f"mae{i}"), mape.alias(f"mape{i}")) for i, (mae, mape) in enumerate(mae_mape(target, c) for c in after)]
+    errors = running.agg(*(c for pair in pairs for c in pair)).first()
+    for i, entry in enumerate(history):
+        if errors[f"mae{i}"] is None:
             raise NotEnoughData("no validation rows")
-        history.append({"batch": len(stages), "rows": sizes[b], "trees": n_trees, "val_mae": float(m.mae), "val_mape": float(m.mape)})
-        if m.mae < best_mae:
-            best_mae, best_k = float(m.mae), len(stages)
-    return StagedModel(stages[:best_k] if best_k else stages), history
+        entry |= {"val_mae": float(errors[f"mae{i}"]), "val_mape": float(errors[f"mape{i}"])}
+    return running.drop(*after)
 
 
 def metrics_row(scored: DataFrame, target: str = S.TARGET) -> DataFrame:
@@ -201,8 +250,8 @@ def metrics_document(metrics: dict, history: list[dict], batch_rows: int, init_t
 
 def save_model(spark: SparkSession, model: StagedModel, path: str, history: list[dict] | None = None) -> None:
     """K7: stages first, the description last: a model without one is not complete."""
-    for i, m in enumerate(model.stages):
-        m.write().overwrite().save(f"{path}/stage_{i:03d}")
+    with ThreadPoolExecutor(MODEL_THREADS) as pool:  # small jobs, each of which leaves most cores idle
+        list(pool.map(lambda i: model.stages[i].write().overwrite().save(f"{path}/stage_{i:03d}"), range(len(model.stages))))
     meta = {
         "features": model.features,
         "trained_at": model.trained_at,
@@ -222,5 +271,6 @@ def load_history(spark: SparkSession, path: str) -> list[dict]:
 
 def load_model(spark: SparkSession, path: str) -> StagedModel:
     meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
-    stages = [GBTRegressionModel.load(f"{path}/stage_{i:03d}") for i in range(meta["stages"])]
+    with ThreadPoolExecutor(MODEL_THREADS) as pool:
+        stages = list(pool.map(lambda i: GBTRegressionModel.load(f"{path}/stage_{i:03d}"), range(meta["stages"])))
     return StagedModel(stages, meta["features"], meta["trained_at"], meta["training_rows"])

@@ -46,8 +46,8 @@ from .traffic import clean_stream_trips
 from .training import duck_train, positioned
 
 
-def trained(spark: SparkSession, sf_dir: str) -> tuple[StagedModel, list[dict], DataFrame, str]:
-    """Model, batch history, labelled feature rows and the model's folder."""
+def stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """Labelled feature rows and the folder of the model trained on them."""
     pos = positioned(spark, sf_dir)
     check_sizes(split_counts(pos))
     mark = pos.agg(
@@ -60,6 +60,12 @@ def trained(spark: SparkSession, sf_dir: str) -> tuple[StagedModel, list[dict],
         model.trained_at = datetime.now(timezone.utc).isoformat()
         model.training_rows = pos.filter(F.col("split") == "train").count()
         save_model(spark, model, path, history)
+    return pos, path
+
+
+def trained(spark: SparkSession, sf_dir: str) -> tuple[StagedModel, list[dict], DataFrame, str]:
+    """Model, batch history, labelled feature rows and the model's folder."""
+    pos, path = stored(spark, sf_dir)
     return load_model(spark, path), load_history(spark, path), pos, path
 
 
@@ -169,7 +175,7 @@ def predict_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def score_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One cycle from the stored aggregate table and the stored model to predictions."""
-    _, _, _, model_path = trained(spark, sf_dir)
+    _, model_path = stored(spark, sf_dir)
     table = scratch_path(spark, "traffic")
     upsert_latest(spark, sliding_traffic_agg(clean_stream_trips(spark, sf_dir)), 0, table)
     out = score_latest(spark, table, model_path, as_of(spark, sf_dir))
