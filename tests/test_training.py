@@ -1,5 +1,7 @@
 """Staged training: what a stage costs and learns depends on its batch, not on the layout of the whole input."""
 
+import threading
+
 import pytest
 from pyspark.ml.regression import GBTRegressor
 
@@ -51,3 +53,29 @@ def test_stored_margins_are_those_of_all_stages(spark, rows, monkeypatch):
     assert same == predictions
     errors = [[h[c] for h in run for c in ("val_mae", "val_mape")] for run in (history, again)]
     assert errors[0] == pytest.approx(errors[1], rel=1e-12)
+
+
+def test_a_batch_waits_for_few_stages_however_many_there_are(spark, rows, monkeypatch):
+    core, val = rows.filter("rn <= 250"), rows.filter("rn > 250")
+
+    def run(batches_per_group):
+        waited = []
+        add = M.add_margin
+
+        def watched(df, stages, margin="__f"):
+            if threading.current_thread() is threading.main_thread() and "__batch" in df.columns:
+                waited.append(len(stages))
+            return add(df, stages, margin)
+
+        with monkeypatch.context() as m:
+            m.setattr(M, "GROUP_BATCHES", batches_per_group)
+            m.setattr(M, "add_margin", watched)
+            model, history = M.train_staged(core, val, rows_per_batch=40, init_trees=2, trees_per_batch=1)
+        return waited, history, dict(model.predict(rows, "p").select("rn", "p").collect())
+
+    waited, history, predictions = run(1)
+    assert len(history) == 7 and max(waited) == 1
+    _, whole, same = run(7)
+    assert predictions == same
+    assert [h["rows"] for h in history] == [h["rows"] for h in whole]
+    assert [h["val_mae"] for h in history] == pytest.approx([h["val_mae"] for h in whole], rel=1e-12)

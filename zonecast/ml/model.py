@@ -34,6 +34,8 @@ SLICE_ROWS = 32_768
 GROUP_BATCHES = 8
 #: stages written or read at a time
 MODEL_THREADS = 8
+#: one of this many cores works ahead on margins and validation while trees are fitted
+ASIDE_SHARE = 3
 
 
 def ensure_features(df: DataFrame, features: list[str] = S.TIP_FEATURES) -> DataFrame:
@@ -146,10 +148,12 @@ def train_staged(
 
     ``core`` must carry ``rn`` (global position); batches are
     floor((rn - first_rn) / rows_per_batch).  Its rows are stored by groups of
-    ``GROUP_BATCHES`` batches, so that each is read for its own group only: there the
-    earlier groups' stages are added once and kept as a margin, and a batch adds
-    those of its group.  The validation rows carry their margin too: a group's
-    stages add their shares in one pass, which gives the errors after each.
+    ``GROUP_BATCHES`` batches, so that each is read for its own group only.  Trees are
+    fitted one after the other by short jobs that leave most cores idle; meanwhile a second
+    thread, on a part of the cores, stores the next group's rows with the margin of the
+    groups already fitted, and adds these groups' shares to the validation rows, which
+    gives the errors after each stage.  So a batch itself waits for the stages of its own
+    group and the one before only, however many there are.
     """
     spark = core.sparkSession
     bounds = core.agg(F.min("rn").alias("first"), F.max("rn").alias("last"), F.count(F.lit(1)).alias("n")).first()
@@ -163,20 +167,38 @@ def train_staged(
     running = materialize(assemble(val).select(target, "features", F.lit(0.0).alias("__f")))
     stages: list[GBTRegressionModel] = []
     history: list[dict] = []
-    for g in sorted({b // GROUP_BATCHES for b in sizes}):
-        done = len(stages)
-        group = materialize(add_margin(rows.filter(F.col("__group") == g).withColumn("__f", F.lit(0.0)), stages))
-        for b in sorted(b for b in sizes if b // GROUP_BATCHES == g):
-            first = bounds.first + b * rows_per_batch
-            batch = training_slices(group.filter(F.col("__batch") == b), first, min(rows_per_batch, bounds.last - first + 1))
-            if stages:
-                label, n_trees = F.col(target) - F.col("__f"), trees_per_batch
-            else:
-                label, n_trees = F.col(target), init_trees
-            labelled = add_margin(batch, stages[done:]).select("features", label.alias("__label"))
-            stages.append(gbt(n_trees, "__label").fit(materialize(labelled)))
-            history.append({"batch": len(stages), "rows": sizes[b], "trees": n_trees})
-        running = _validate(running, stages[done:], history[done:], target)
+    groups = sorted({b // GROUP_BATCHES for b in sizes})
+    lanes = max(1, spark.sparkContext.defaultParallelism // ASIDE_SHARE)
+
+    def ahead(g: int, known: list[GBTRegressionModel]) -> DataFrame:
+        return materialize(add_margin(rows.filter(F.col("__group") == g).withColumn("__f", F.lit(0.0)), known).coalesce(lanes))
+
+    def validate(first: int, end: int) -> None:
+        nonlocal running
+        running = _validate(running.coalesce(lanes), stages[first:end], history[first:end], target)
+
+    group, known, checked = materialize(rows.filter(F.col("__group") == groups[0]).withColumn("__f", F.lit(0.0))), 0, 0
+    with ThreadPoolExecutor(1) as aside:
+        for g, following in zip(groups, [*groups[1:], None], strict=True):
+            done = len(stages)
+            waiting = [] if following is None else [aside.submit(ahead, following, stages[:done])]
+            if checked < done:
+                waiting.append(aside.submit(validate, checked, done))
+                checked = done
+            for b in sorted(b for b in sizes if b // GROUP_BATCHES == g):
+                first = bounds.first + b * rows_per_batch
+                batch = training_slices(group.filter(F.col("__batch") == b), first, min(rows_per_batch, bounds.last - first + 1))
+                if stages:
+                    label, n_trees = F.col(target) - F.col("__f"), trees_per_batch
+                else:
+                    label, n_trees = F.col(target), init_trees
+                labelled = add_margin(batch, stages[known:]).select("features", label.alias("__label"))
+                stages.append(gbt(n_trees, "__label").fit(materialize(labelled)))
+                history.append({"batch": len(stages), "rows": sizes[b], "trees": n_trees})
+            results = [w.result() for w in waiting]
+            if following is not None:
+                group, known = results[0], done
+    _validate(running, stages[checked:], history[checked:], target)
     delete_path(spark, store)
     best_mae, best_k = float("inf"), len(stages)
     for entry in history:

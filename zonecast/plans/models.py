@@ -49,7 +49,8 @@ from .training import duck_train, positioned
 def stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
     """Labelled feature rows and the folder of the model trained on them."""
     pos = positioned(spark, sf_dir)
-    check_sizes(split_counts(pos))
+    sizes = split_counts(pos)
+    check_sizes(sizes)
     mark = pos.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.xxhash64("rn", "part", S.TARGET, *S.TIP_FEATURES).cast("decimal(38,0)")).alias("h"),
@@ -58,7 +59,7 @@ def stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
     if not path_exists(spark, f"{path}/meta/_SUCCESS"):
         model, history = train_staged(pos.filter(F.col("part") == "core"), pos.filter(F.col("part") == "val"))
         model.trained_at = datetime.now(timezone.utc).isoformat()
-        model.training_rows = pos.filter(F.col("split") == "train").count()
+        model.training_rows = sizes["train"]
         save_model(spark, model, path, history)
     return pos, path
 
