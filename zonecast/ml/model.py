@@ -171,7 +171,10 @@ def train_staged(
     lanes = max(1, spark.sparkContext.defaultParallelism // ASIDE_SHARE)
 
     def ahead(g: int, known: list[GBTRegressionModel]) -> DataFrame:
-        return materialize(add_margin(rows.filter(F.col("__group") == g).withColumn("__f", F.lit(0.0)), known).coalesce(lanes))
+        out = rows.filter(F.col("__group") == g).withColumn("__f", F.lit(0.0)).coalesce(lanes)
+        for i in range(0, max(len(known), 1), GROUP_BATCHES):  # a few stages a pass: one plan of many is far slower a stage
+            out = materialize(add_margin(out, known[i : i + GROUP_BATCHES]))
+        return out
 
     def validate(first: int, end: int) -> None:
         nonlocal running
